@@ -32,7 +32,7 @@ def build_session(app_name: str = "plantlens", master: str | None = None, **conf
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    settings = {"spark.ui.enabled": "false", **RUNTIME, **conf}
+    settings = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", **RUNTIME, **conf}
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

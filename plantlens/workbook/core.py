@@ -112,15 +112,23 @@ class Shop:
     def user_plants(self) -> DataFrame:
         return user_plant_map(self.raw("plant_master"))
 
+    def dataset(self, name: str) -> DataFrame:
+        view, mart = {
+            semantic.OEE: ("v_dataset_oee_operational", "oee"),
+            semantic.QUALITY: ("v_dataset_quality_decision", "quality"),
+            semantic.SENSOR: ("v_dataset_sensor_hourly", "hourly"),
+            semantic.GOVERNANCE: ("v_dataset_dq_governance", "issue_counts"),
+        }[name]
+        return dashboard.dataset_view(view, getattr(self, mart))
+
     @cached_property
     def datasets(self) -> dict[str, DataFrame]:
-        view = dashboard.dataset_view
-        return {
-            semantic.OEE: view("v_dataset_oee_operational", self.oee),
-            semantic.QUALITY: view("v_dataset_quality_decision", self.quality),
-            semantic.SENSOR: view("v_dataset_sensor_hourly", self.hourly),
-            semantic.GOVERNANCE: view("v_dataset_dq_governance", self.issue_counts),
-        }
+        names = (semantic.OEE, semantic.QUALITY, semantic.SENSOR, semantic.GOVERNANCE)
+        return {n: self.dataset(n) for n in names}
+
+    def chart_source(self, chart: str) -> dict[str, DataFrame]:
+        name = next(c.dataset_name for c in semantic.CHARTS if c.chart_name == chart)
+        return {name: self.dataset(name)}
 
     def scratch(self, label: str) -> str:
         return scratch_path(self.spark, label)

@@ -19,7 +19,7 @@ BASE_TABLES = (
 
 _ORDER_COLUMNS = """
  o_orderkey as work_order_id, o_orderkey as sales_order_id,
- concat('P',cast(n_regionkey as {S})) as plant_id, concat('L',cast(n_nationkey as {S})) as line_id,
+ concat('P0',cast(n_regionkey as {S})) as plant_id, concat('L',cast(n_nationkey as {S})) as line_id,
  o_orderkey % 200 as product_id,
  case o_orderstatus when 'F' then 'Completed' when 'O' then ' In_Progress ' else 'PLANNED' end as work_order_status,
  case when o_custkey % 31 = 0 then null when o_custkey % 7 = 0 then 'Urgent ' else concat(' ',o_orderpriority) end as priority_level,
@@ -33,7 +33,7 @@ _ORDER_SOURCE = (
     "from {orders} join {customer} on o_custkey=c_custkey join {nation} on c_nationkey=n_nationkey"
 )
 _SENSOR_COLUMNS = """
- ts - interval '25' year as timestamp, concat('P',cast(user_id % 5 as {S})) as plant_id,
+ ts - interval '25' year as timestamp, concat('P0',cast(user_id % 5 as {S})) as plant_id,
  concat('L',cast(user_id % 25 as {S})) as line_id, user_id % 10 as machine_id, event_id as sensor_id,
  event_type as operating_state"""
 _SENSOR_VALUES = """
@@ -42,14 +42,14 @@ _SENSOR_VALUES = """
  value/5 as current_amp, value*10 as speed_rpm"""
 
 ENTITIES: dict[str, str] = {
-    "plant_master": "select concat('P',cast(r_regionkey as {S})) as plant_id, r_name as plant_name from {region}",
+    "plant_master": "select concat('P0',cast(r_regionkey as {S})) as plant_id, r_name as plant_name from {region}",
     "line_master": (
         "select concat('L',cast(n_nationkey as {S})) as line_id, "
-        "concat('P',cast(n_regionkey as {S})) as plant_id, n_name as line_name from {nation}"
+        "concat('P0',cast(n_regionkey as {S})) as plant_id, n_name as line_name from {nation}"
     ),
     "machine_master": """
 select s_suppkey as machine_id, concat('L',cast(s_nationkey as {S})) as line_id,
- concat('P',cast(n_regionkey as {S})) as plant_id, s_acctbal/1000 as machine_age_years,
+ concat('P0',cast(n_regionkey as {S})) as plant_id, s_acctbal/1000 as machine_age_years,
  case when s_acctbal<0 then 'critical' when s_acctbal<3000 then 'high' when s_acctbal<6000 then 'medium' else 'low' end as criticality
 from {supplier} left join {nation} on s_nationkey=n_nationkey""",
     "product_master": """
@@ -64,7 +64,7 @@ select concat('S',cast(n_nationkey as {S})) as supplier_id, n_name as supplier_n
     "operator_master": """
 select concat('OP-',cast(s_suppkey as {S})) as operator_id, s_name as operator_hash,
  case when s_acctbal<2000 then 'G3_junior' when s_acctbal<6000 then 'G2_mid' else 'G1_senior' end as fairness_group,
- concat('P',cast(s_nationkey % 5 as {S})) as plant_id,
+ concat('P0',cast(s_nationkey % 5 as {S})) as plant_id,
  case when s_acctbal<2000 then 'junior' when s_acctbal<6000 then 'intermediate' else 'expert' end as certification_level
 from {supplier}""",
     "work_order": f"""
