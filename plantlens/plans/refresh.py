@@ -18,9 +18,13 @@ from ..sources.csv_source import RAW_FILES, first_rows, read_csv
 from ..sources.lake import Lake, row_counts
 from . import clean, dashboard, marts, semantic
 
-TIME_PARTITIONS = {
+# Marts are read by time range, and a day holds few rows: sorted files, no
+# folder per day.
+TIME_COLUMNS = {
     "fact_oee_daily_line": "production_date",
     "fact_quality_daily": "inspection_date",
+    "fact_sensor_hourly": "sensor_hour",
+    "fact_delivery_order": "order_date",
 }
 
 # Settings of the teaching deployment: row cap of the sensor export, issue cap
@@ -34,13 +38,13 @@ def ingest(
     *, sensor_rows: int | None = None,
 ) -> DataFrame:
     """Copy every export into the raw layer and report the row counts."""
-    written = {}
+    frames = {}
     for table, relative in files.items():
         frame = read_csv(spark, f"{source.rstrip('/')}/{relative}")
         if table == "sensor_reading" and sensor_rows is not None:
             frame = first_rows(frame, sensor_rows)
-        written[table] = lake.write("raw", table, frame)
-    return row_counts(written)
+        frames[table] = frame
+    return row_counts(lake.write_all("raw", frames))
 
 
 def build_clean(lake: Lake, *, parity: bool = False, issue_cap: int | None = None) -> DataFrame:
@@ -59,30 +63,26 @@ def build_clean(lake: Lake, *, parity: bool = False, issue_cap: int | None = Non
             cap=issue_cap,
         ),
     }
-    return row_counts({t: lake.write("clean", t, df) for t, df in frames.items()})
+    return row_counts(lake.write_all("clean", frames))
 
 
 def build_marts(lake: Lake) -> DataFrame:
     c = lambda t: lake.read("clean", t)
-    written: dict[str, DataFrame] = {}
-
-    def put(table: str, df: DataFrame) -> DataFrame:
-        day = TIME_PARTITIONS.get(table)
-        written[table] = lake.write("mart", table, df, partition_by=[day] if day else [])
-        return written[table]
-
-    put("fact_oee_daily_line", marts.oee_daily_line(c("production_run"), c("work_order")))
-    put("fact_quality_daily",
-        marts.quality_daily(c("quality_inspection"), c("work_order"), c("product_master")))
-    hourly = put("fact_sensor_hourly", marts.sensor_hourly(c("sensor_reading")))
-    put("fact_delivery_order", marts.delivery_order(c("sales_order"), c("shipment")))
-    put("feature_quality_model", marts.quality_features(
+    order = {t: [time] for t, time in TIME_COLUMNS.items()}
+    facts = lake.write_all("mart", {
+        "fact_oee_daily_line": marts.oee_daily_line(c("production_run"), c("work_order")),
+        "fact_quality_daily": marts.quality_daily(
+            c("quality_inspection"), c("work_order"), c("product_master")),
+        "fact_sensor_hourly": marts.sensor_hourly(c("sensor_reading")),
+        "fact_delivery_order": marts.delivery_order(c("sales_order"), c("shipment")),
+        **{name: semantic.registry(lake.spark, name) for name in semantic.REGISTRIES},
+        "superset_rls_user_plant": user_plant_map(c("plant_master")),
+    }, sort_by=order)
+    # Reads the hourly mart from its files instead of aggregating the sensors again.
+    features = lake.write("mart", "feature_quality_model", marts.quality_features(
         c("production_run"), c("work_order"), c("product_master"), c("machine_master"),
-        c("quality_inspection"), hourly))
-    for name in semantic.REGISTRIES:
-        put(name, semantic.registry(lake.spark, name))
-    put("superset_rls_user_plant", user_plant_map(c("plant_master")))
-    return row_counts(written)
+        c("quality_inspection"), facts["fact_sensor_hourly"]))
+    return row_counts({**facts, "feature_quality_model": features})
 
 
 def datasets(lake: Lake) -> dict[str, DataFrame]:
