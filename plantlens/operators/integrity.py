@@ -38,25 +38,20 @@ ENTITY_MAP = (
 def audit_relation(relation: Relation, tables: Mapping[str, DataFrame]) -> DataFrame:
     """Row counts of one relation.
 
-    Both sides shrink to one row per key before they meet, so a hot key costs
-    one row in the join.
+    Keys of both sides are stacked and counted together: one shuffle with
+    map-side combine, no join, and a hot key costs one row per task.
     """
-    child = (
-        tables[relation.child]
-        .groupBy(F.col(relation.child_key).alias("_k"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    parent = (
-        tables[relation.parent]
-        .select(F.col(relation.parent_key).alias("_p"))
-        .filter(F.col("_p").isNotNull())
-        .distinct()
-        .withColumn("_found", F.lit(True))
-    )
-    joined = child.join(parent, child["_k"] == parent["_p"], "left")
-    missing, orphan = F.col("_k").isNull(), F.col("_k").isNotNull() & F.col("_found").isNull()
+    def side(table: str, key: str, child: int) -> DataFrame:
+        return tables[table].select(
+            F.col(key).alias("_k"), F.lit(child).alias("_child"), F.lit(1 - child).alias("_parent"))
+
+    keys = side(relation.child, relation.child_key, 1).unionByName(
+        side(relation.parent, relation.parent_key, 0)
+    ).groupBy("_k").agg(F.sum("_child").alias("_n"), F.max("_parent").alias("_found"))
+    missing = F.col("_k").isNull()
+    orphan = ~missing & (F.col("_found") == 0)
     total = lambda condition: F.coalesce(F.sum(F.when(condition, F.col("_n"))), F.lit(0).cast("bigint"))
-    return joined.agg(
+    return keys.agg(
         total(F.lit(True)).alias("child_rows"),
         total(missing).alias("missing_key_rows"),
         total(orphan).alias("orphan_rows"),

@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.coerce import coerce, composite_key, holds, severity_rank
@@ -153,12 +153,14 @@ def issue_log(
     cap: int | None = None,
     order: Mapping[str, Sequence[str]] | None = None,
     stamp: bool = True,
+    pass_row: bool = True,
 ) -> DataFrame:
     """Issues of every table that has rules, with a pass row when there are none.
 
     ``cap=None`` logs every issue; ``cap=500`` is the row limit per rule of the
     teaching pipeline and then needs an ``order`` per table (the ingest position
-    by default).
+    by default).  The lazy pass row probes the issues once more; a caller that
+    writes the log can leave it out and add ``pass_rows`` to an empty table.
     """
     parts = []
     for table in dict.fromkeys(r.table for r in rules):
@@ -173,18 +175,25 @@ def issue_log(
                 raise ValueError(f"a capped log of {table} needs an order")
             part = capped(table_issues(table, frame, rules, by), by, cap)
         parts.append(part.select(*ISSUE_COLUMNS))
-    issues = with_pass_row(reduce(DataFrame.unionByName, parts))
+    issues = reduce(DataFrame.unionByName, parts)
+    if pass_row:
+        issues = with_pass_row(issues)
     return issues.withColumn("created_at", F.current_timestamp()) if stamp else issues
 
 
-def with_pass_row(issues: DataFrame) -> DataFrame:
-    """Add the fixed "nothing found" row if, and only if, the log is empty."""
-    passed = issues.sparkSession.createDataFrame(
-        [("all", "none", "DQ-PASS", "info", "No critical issues detected in the loaded sample.", 1)],
-        ", ".join(f"{c} string" for c in ISSUE_COLUMNS) + ", _probe int",
+def pass_rows(spark: SparkSession) -> DataFrame:
+    """The fixed row that stands for "nothing found"."""
+    return spark.createDataFrame(
+        [("all", "none", "DQ-PASS", "info", "No critical issues detected in the loaded sample.")],
+        ", ".join(f"{c} string" for c in ISSUE_COLUMNS),
     )
+
+
+def with_pass_row(issues: DataFrame) -> DataFrame:
+    """Add the pass row if, and only if, the log is empty."""
     # Each task of the probe stops at its first issue.
     found = issues.select(F.lit(1).alias("_probe")).limit(1)
+    passed = pass_rows(issues.sparkSession).withColumn("_probe", F.lit(1))
     return issues.unionByName(passed.join(found, "_probe", "left_anti").drop("_probe"))
 
 

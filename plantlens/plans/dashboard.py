@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import RATE, exact_avg, exact_sum, ratio, round_half_up
+from ..operators.running import running_total
 
 
 def clamp_limit(limit: int) -> int:
@@ -68,12 +69,16 @@ def oee_daily(oee: DataFrame, limit: int = 200) -> DataFrame:
     return top(oee_listing(oee), order, limit)
 
 
-def defect_pareto(quality: DataFrame, limit: int = 50) -> DataFrame:
-    totals = quality.groupBy("defect_code").agg(
+def defect_totals(quality: DataFrame) -> DataFrame:
+    return quality.groupBy("defect_code").agg(
         exact_sum("defect_count").alias("defect_count"),
         exact_sum("sample_size").alias("sample_size"),
     )
-    rated = totals.withColumn("defect_rate", round_half_up(ratio("defect_count", "sample_size")))
+
+
+def defect_pareto(quality: DataFrame, limit: int = 50) -> DataFrame:
+    rated = defect_totals(quality).withColumn(
+        "defect_rate", round_half_up(ratio("defect_count", "sample_size")))
     return top(rated, [F.desc_nulls_first("defect_count"), F.asc_nulls_last("defect_code")], limit)
 
 
@@ -92,21 +97,15 @@ def line_performance(oee: DataFrame, limit: int = 100) -> DataFrame:
 def pareto_shares(totals: DataFrame, category: str, value: str) -> DataFrame:
     """Share and cumulative share per category, largest first.
 
-    The running sum adds unrounded shares and rounds last.  Its window has no
-    partition and therefore runs in one task, on one row per category: call it
-    on totals of a code list, never on facts.
+    The running sum adds unrounded shares and rounds last.
     """
-    whole = Window.partitionBy()
-    running = Window.orderBy(F.desc(value), F.asc_nulls_last(category)).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    exact = F.col(value).cast("decimal(28,6)")
-    total = F.sum(exact).over(whole).cast("double")
-    share = lambda c: round_half_up(ratio(c, total))
-    return totals.select(
+    order = [F.desc(value), F.asc_nulls_last(category)]
+    running = running_total(totals.select(category, value), value, order, "_running")
+    total = running.agg(exact_sum(value)).scalar()
+    return running.select(
         category, value,
-        share(F.col(value)).alias("defect_pct"),
-        share(F.sum(exact).over(running).cast("double")).alias("cum_pct"),
+        round_half_up(ratio(value, total)).alias("defect_pct"),
+        round_half_up(ratio("_running", total)).alias("cum_pct"),
     )
 
 

@@ -8,13 +8,13 @@ the ordered group is bounded by the calendar and not by the number of rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.coerce import date_of, flag
 from ..functions.numeric import RATE, exact_avg, exact_sum, ratio
+from ..operators.dedup import join_side, null_safe_on
 
 # Holidays of the published calendar year.
 HOLIDAYS = (
@@ -227,29 +227,33 @@ def drift_report(reference: DataFrame, current: DataFrame, features: Sequence[st
     values outside fall into the edge bins, and an empty bin counts as 0.0001
     of its window.  Missing values are left out.
     """
-    parts = []
-    for name in features:
-        both = (
-            reference.select(F.lit("ref").alias("side"), F.col(name).cast("double").alias("x"))
-            .unionByName(current.select(F.lit("cur").alias("side"), F.col(name).cast("double").alias("x")))
-            .filter(F.col("x").isNotNull())
-        )
-        bounds = reference.agg(F.min(F.col(name).cast("double")).alias("lo"),
-                               F.max(F.col(name).cast("double")).alias("hi"))
-        low, high = bounds.select("lo").scalar(), bounds.select("hi").scalar()
-        slot = F.floor(F.try_divide((F.col("x") - low) * bins, high - low))
-        binned = both.withColumn(
-            "bin", F.coalesce(F.greatest(F.lit(0), F.least(F.lit(bins - 1), slot)), F.lit(0)).cast("int")
-        )
-        parts.append(
-            binned.groupBy(F.lit(name).alias("feature"), "bin").agg(
-                F.count_if(F.col("side") == "ref").alias("ref_n"),
-                F.count_if(F.col("side") == "cur").alias("cur_n"),
-                exact_sum(F.when(F.col("side") == "ref", F.col("x"))).alias("ref_sum"),
-                exact_sum(F.when(F.col("side") == "cur", F.col("x"))).alias("cur_sum"),
-            )
-        )
-    counts = reduce(DataFrame.unionByName, parts)
+    value = lambda c: F.col(c).cast("double")
+    both = (
+        reference.select(F.lit(1).alias("_ref"), *[value(c).alias(c) for c in features])
+        .unionByName(current.select(F.lit(0).alias("_ref"), *[value(c).alias(c) for c in features]))
+        .unpivot("_ref", list(features), "feature", "x")
+        .filter(F.col("x").isNotNull())
+    )
+    limits = reference.agg(*[
+        F.struct(F.min(value(c)).alias("lo"), F.max(value(c)).alias("hi")).alias(c) for c in features
+    ])
+    # One row with a range per feature, looked up as a scalar.
+    ranges = limits.select(
+        F.create_map(*[part for c in features for part in (F.lit(c), F.col(c))])
+    ).scalar()
+    of_feature = F.element_at(ranges, F.col("feature"))
+    low, high = of_feature.getField("lo"), of_feature.getField("hi")
+    slot = F.floor(F.try_divide((F.col("x") - low) * bins, high - low))
+    binned = both.withColumn(
+        "bin", F.coalesce(F.greatest(F.lit(0), F.least(F.lit(bins - 1), slot)), F.lit(0)).cast("int")
+    )
+    is_ref = F.col("_ref") == 1
+    counts = binned.groupBy("feature", "bin").agg(
+        F.count_if(is_ref).alias("ref_n"),
+        F.count_if(~is_ref).alias("cur_n"),
+        exact_sum(F.when(is_ref, F.col("x"))).alias("ref_sum"),
+        exact_sum(F.when(~is_ref, F.col("x"))).alias("cur_sum"),
+    )
     # At most ``bins`` rows per feature from here on.
     of = Window.partitionBy("feature")
     total = lambda c: F.sum(c).over(of)
@@ -292,14 +296,10 @@ def with_group_size(records: DataFrame, quasi_identifiers: Sequence[str]) -> Dat
     Sizes are counted map-side and joined back, so a group that holds a third
     of the records is never gathered; missing values match each other.
     """
-    sizes = anonymity_groups(records, quasi_identifiers)
-    renamed = sizes.select(
-        *[F.col(c).alias(f"_{c}") for c in quasi_identifiers], "k_anonymity_group_size"
-    )
-    condition = reduce(
-        lambda a, b: a & b, [records[c].eqNullSafe(renamed[f"_{c}"]) for c in quasi_identifiers]
+    sizes = join_side(records, quasi_identifiers, "k_anonymity_group_size")
+    return records.join(sizes, null_safe_on(records, sizes, quasi_identifiers), "left").drop(
+        *[f"_{c}" for c in quasi_identifiers]
     )
-    return records.join(renamed, condition, "left").drop(*[f"_{c}" for c in quasi_identifiers])
 
 
 # -- partitions, graph, cohorts -----------------------------------------------

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.coerce import date_of
 from ..functions.numeric import exact_avg, exact_sum, ratio
+from ..operators.joins import left_join_many
 
 
 def runs_with_orders(runs: DataFrame, work_orders: DataFrame) -> DataFrame:
@@ -126,7 +127,7 @@ def delivery_order(sales_orders: DataFrame, shipments: DataFrame) -> DataFrame:
         F.col("ordered_quantity") * F.col("unit_price")
         * (F.lit(1.0) - F.coalesce(F.col("discount_pct"), F.lit(0.0)) / F.lit(100.0))
     )
-    return sales_orders.join(shipped, keys, "left").select(
+    return left_join_many(sales_orders, shipped, keys).select(
         *keys, "customer_id", "product_id", "order_date", "promised_delivery_date",
         "ordered_quantity", "unit_price", "discount_pct", "customer_priority",
         "ship_date", "shipped_quantity",
@@ -145,11 +146,7 @@ def quality_features(
     inspections: DataFrame,
     hourly: DataFrame,
 ) -> DataFrame:
-    """Run-level feature table; a run with several inspections gives several rows.
-
-    Inspections join first: deduplicated runs are already partitioned by
-    ``run_id``, so only the inspection side moves.
-    """
+    """Run-level feature table; a run with several inspections gives several rows."""
     facts = runs.select(
         "run_id", "work_order_id", "machine_id", "run_start_datetime",
         "setup_minutes", "runtime_minutes", "idle_minutes", "speed_ratio", "scrap_rate",
@@ -160,7 +157,7 @@ def quality_features(
     build = machines.select("machine_id", "machine_age_years", "criticality")
     daily = machine_day(hourly)
     return (
-        facts.join(risk, "run_id", "left")
+        left_join_many(facts, risk, ["run_id"])
         .join(place, "work_order_id", "left")
         .join(kind, "product_id", "left")
         .join(build, "machine_id", "left")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import quality_rules
 from ..operators.access import user_plant_map
@@ -60,10 +61,14 @@ def build_clean(lake: Lake, *, parity: bool = False, issue_cap: int | None = Non
         **{m: clean.master(m, raw(m)) for m in clean.MASTERS},
         "dq_issue_log": quality_rules.issue_log(
             {t: raw(t) for t in ("work_order", "production_run", "quality_inspection", "sensor_reading")},
-            cap=issue_cap,
+            cap=issue_cap, pass_row=False,
         ),
     }
-    return row_counts(lake.write_all("clean", frames))
+    written = lake.write_all("clean", frames)
+    if written["dq_issue_log"].isEmpty():
+        passed = quality_rules.pass_rows(lake.spark).withColumn("created_at", F.current_timestamp())
+        written["dq_issue_log"] = lake.append("clean", "dq_issue_log", passed)
+    return row_counts(written)
 
 
 def build_marts(lake: Lake) -> DataFrame:

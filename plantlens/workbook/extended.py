@@ -21,8 +21,7 @@ select defect_code, defect_count, {r4('defect_count/nullif(cast(sum(cast(defect_
  {r4('cast(sum(cast(defect_count as decimal(28,6))) over (order by defect_count desc, defect_code rows unbounded preceding) as double)/nullif(cast(sum(cast(defect_count as decimal(28,6))) over () as double),0)')} as cum_pct
 from {_TOTALS}""")
 def b01(shop):
-    totals = dashboard.defect_pareto(shop.quality, 2000).select("defect_code", "defect_count")
-    return dashboard.pareto_shares(totals, "defect_code", "defect_count")
+    return dashboard.pareto_shares(dashboard.defect_totals(shop.quality), "defect_code", "defect_count")
 
 
 @query("b02_plant_performance", f"""
