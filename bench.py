@@ -19,7 +19,7 @@ HEADLINE = (
     "q11_issue_log", "q14_issue_summary", "q21_referential_audit",
     "m01_oee_daily_line", "m02_quality_daily", "m03_sensor_hourly", "m04_delivery_order",
     "m05_quality_features", "m06_dashboard_kpis", "m08_oee_daily_listing",
-    "a07_defect_pareto", "a08_line_performance", "l02_metrics_by_plant", "l07_access_policy",
+    "a07_defect_pareto", "a08_line_performance", "l02_metrics_by_plant", "j06_access_membership",
     "b06_machine_failure_features", "b07_quality_risk", "b09_daily_demand", "b10_drift_report",
     "b13_supplier_machines", "b14_broken_chain_links", "b16_alarm_watchlist",
 )

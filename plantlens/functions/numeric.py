@@ -1,20 +1,23 @@
 """Arithmetic shared by the clean tables and the marts.
 
 Measures are fixed-point quantities written to doubles by the exporting
-systems.  Summing them as decimals is exact and independent of the order in
-which partitions arrive, so a retried task or another partitioning gives the
-same bits; the result goes back to double for the mart column.
+systems.  Their sums are taken over scaled 64-bit integers: exact, independent
+of the order in which partitions arrive (a retried task or another partitioning
+gives the same bits), and as fast as adding doubles, where decimals cost about
+ten times as much.  A group that does not fit, because its total overflows or a
+value is too large or not a number, falls back to the plain double sum.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from .coerce import column
 
-MEASURE = "decimal(28,6)"
-RATE = "decimal(28,10)"
+MEASURE = 6   # decimal places kept of a measured quantity
+RATE = 10     # decimal places kept of a ratio
 
 
 def ratio(numerator: str | Column, denominator: str | Column) -> Column:
@@ -28,12 +31,22 @@ def clamp_zero(c: str | Column) -> Column:
     return F.when(value < 0, F.lit(0.0)).otherwise(value)
 
 
-def exact_sum(c: str | Column, kind: str = MEASURE) -> Column:
-    return F.sum(column(c).cast(kind)).cast("double")
+def exact_sum(c: str | Column, places: int = MEASURE, over: WindowSpec | None = None) -> Column:
+    """Order-independent sum to ``places`` decimals, as a double."""
+    value = column(c).cast("double")
+    scale = float(10 ** places)
+    raised = value * F.lit(scale)
+    # The nudge sends decimal ties away from zero where binary noise hides them.
+    scaled = F.rint(raised + F.signum(raised) * F.lit(1e-9)).try_cast("bigint")
+    of = (lambda aggregate: aggregate) if over is None else (lambda aggregate: aggregate.over(over))
+    unfit = of(F.count_if(value.isNotNull() & scaled.isNull()))
+    exact = of(F.try_sum(scaled)).cast("double") / F.lit(scale)
+    plain = of(F.sum(value))
+    return F.when(unfit == 0, F.coalesce(exact, plain)).otherwise(plain)
 
 
-def exact_avg(c: str | Column, kind: str = MEASURE) -> Column:
-    return F.try_divide(exact_sum(c, kind), F.count(column(c)))
+def exact_avg(c: str | Column, places: int = MEASURE) -> Column:
+    return F.try_divide(exact_sum(c, places), F.count(column(c)))
 
 
 def round_half_up(c: str | Column, places: int = 4) -> Column:

@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numeric import exact_sum
+
 
 @dataclass(frozen=True)
 class Relation:
@@ -81,7 +83,7 @@ def over_shipped_lines(sales_orders: DataFrame, shipments: DataFrame) -> DataFra
     keys = ["sales_order_id", "order_line_id"]
     ordered = sales_orders.groupBy(*keys).agg(F.max("ordered_quantity").alias("ordered_quantity"))
     shipped = shipments.groupBy(*keys).agg(
-        F.sum(F.col("shipped_quantity").cast("decimal(28,6)")).cast("double").alias("shipped_quantity")
+        exact_sum("shipped_quantity").alias("shipped_quantity")
     )
     return shipped.join(ordered, keys, "inner").filter(
         F.col("shipped_quantity") > F.col("ordered_quantity")

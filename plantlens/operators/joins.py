@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def left_join_many(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -14,8 +16,15 @@ def left_join_many(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Da
     right would land in one task.  Matched rows therefore come from an inner
     join, where either side can be split, and unmatched left rows from an anti
     join against the distinct keys.  Same rows as a left join.
+
+    Rows without a key match nothing and pass by both joins; with the same
+    filter in front of them the two joins share one shuffle of the left side.
     """
     keys = list(keys)
-    matched = left.join(right, keys, "inner")
-    unmatched = left.join(right.select(*keys).distinct(), keys, "left_anti")
-    return matched.unionByName(unmatched, allowMissingColumns=True)
+    complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    keyed = left.filter(complete)
+    matched = keyed.join(right, keys, "inner")
+    unmatched = keyed.join(right.select(*keys).distinct(), keys, "left_anti")
+    return matched.unionByName(
+        unmatched.unionByName(left.filter(~complete)), allowMissingColumns=True
+    )

@@ -116,7 +116,7 @@ def daily_demand(sales_orders: DataFrame) -> DataFrame:
             "lag_1": F.lag(quantity, 1).over(by_day),
             "lag_7": F.lag(quantity, 7).over(by_day),
             "mean_prior_7d": F.try_divide(
-                F.sum(quantity.cast("decimal(28,6)")).over(week).cast("double"),
+                exact_sum(quantity, over=week),
                 F.count(quantity).over(week),
             ),
         })

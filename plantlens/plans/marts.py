@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.coerce import date_of
-from ..functions.numeric import exact_avg, exact_sum, ratio
+from ..functions.numeric import RATE, exact_avg, exact_sum, ratio
 from ..operators.joins import left_join_many
 
 
@@ -109,9 +109,9 @@ def sensor_measures():
 def machine_day(hourly: DataFrame) -> DataFrame:
     """Machine-day rollup of the hourly mart: unweighted average of averages."""
     return hourly.groupBy(date_of("sensor_hour").alias("sensor_date"), "machine_id").agg(
-        exact_avg("avg_temperature_c", "decimal(28,10)").alias("avg_temperature_c"),
+        exact_avg("avg_temperature_c", RATE).alias("avg_temperature_c"),
         F.max("max_vibration_mm_s").alias("max_vibration_mm_s"),
-        exact_avg("sensor_valid_rate", "decimal(28,10)").alias("sensor_valid_rate"),
+        exact_avg("sensor_valid_rate", RATE).alias("sensor_valid_rate"),
     )
 
 

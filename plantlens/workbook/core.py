@@ -40,13 +40,16 @@ class Shop:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
         self._raw: dict[str, DataFrame] = {}
+        self._base: dict[str, DataFrame] = {}
 
     def base(self, table: str) -> DataFrame:
-        return fixtures.base(self.spark, self.sf_dir, table)
+        if table not in self._base:
+            self._base[table] = fixtures.base(self.spark, self.sf_dir, table)
+        return self._base[table]
 
     def raw(self, name: str) -> DataFrame:
         if name not in self._raw:
-            self._raw[name] = fixtures.entity(self.spark, self.sf_dir, name)
+            self._raw[name] = fixtures.entity(name, self.base)
         return self._raw[name]
 
     @cached_property

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.coerce import date_of
-from ..functions.numeric import round_half_up
+from ..functions.numeric import exact_sum, round_half_up
 from ..operators import integrity
 from ..plans import dashboard, extended
 from ..streaming import telemetry
@@ -46,7 +46,7 @@ from m_delivery group by 1,2,3""")
 def b04(shop):
     """Sales fact of the star schema: customer, product and day."""
     return shop.delivery.groupBy("customer_id", "product_id", date_of("order_date").alias("order_day")).agg(
-        F.sum(F.col("net_order_value").cast("decimal(28,6)")).cast("double").alias("net_order_value"),
+        exact_sum("net_order_value").alias("net_order_value"),
         F.count(F.lit(1)).alias("order_lines"))
 
 
@@ -261,7 +261,7 @@ select machine_id, cast(downtime_start as date) as day, {xsum('downtime_minutes'
 def b18_events(shop):
     """Downtime log by machine and day."""
     return shop.raw("downtime_event").groupBy("machine_id", date_of("downtime_start").alias("day")).agg(
-        F.sum(F.col("downtime_minutes").cast("decimal(28,6)")).cast("double").alias("minutes"),
+        exact_sum("downtime_minutes").alias("minutes"),
         F.count(F.lit(1)).alias("events"))
 
 

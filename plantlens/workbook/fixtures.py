@@ -9,6 +9,7 @@ the regular rows.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -144,11 +145,11 @@ def base(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def entity(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def entity(name: str, base_table: Callable[[str], DataFrame]) -> DataFrame:
     """The factory entity as a Spark frame over the base tables it needs."""
     text = ENTITIES[name].replace("{S}", "string")
-    needed = sorted(set(_PLACEHOLDER.findall(text)))
-    return spark.sql(text, **{t: base(spark, sf_dir, t) for t in needed})
+    tables = {t: base_table(t) for t in sorted(set(_PLACEHOLDER.findall(text)))}
+    return next(iter(tables.values())).sparkSession.sql(text, **tables)
 
 
 def duckdb_text(name: str) -> str:

@@ -248,3 +248,16 @@ def test_limits(spark):
     df = spark.range(3000)
     assert dashboard.top(df, ["id"], 0).count() == 1
     assert dashboard.top(df, ["id"], 9999).count() == 2000
+
+
+def test_exact_sum_is_order_free_and_falls_back(spark):
+    from plantlens.functions.numeric import exact_sum
+
+    total = lambda values, **kw: spark.createDataFrame([(v,) for v in values], "x double").agg(
+        exact_sum("x", **kw).alias("s")).first()["s"]
+    assert total([0.1] * 10) == 1.0 and total([0.1, 0.2, 0.3, -0.6]) == 0.0
+    assert total([0.15, -0.25, 0.35], places=1) == 0.3   # ties away from zero: 0.2 - 0.3 + 0.4
+    assert total([None, None]) is None
+    assert total([1e15, 1.0]) == 1e15 + 1                # value too large to scale
+    assert total([9e12, 9e12]) == 1.8e13                 # total too large to scale
+    assert str(total([float("nan"), 1.0])) == "nan"
