@@ -36,8 +36,8 @@ def exact_sum(c: str | Column, places: int = MEASURE, over: WindowSpec | None =
     value = column(c).cast("double")
     scale = float(10 ** places)
     raised = value * F.lit(scale)
-    # The nudge sends decimal ties away from zero where binary noise hides them.
-    scaled = F.rint(raised + F.signum(raised) * F.lit(1e-9)).try_cast("bigint")
+    # Ties go away from zero, also where binary noise puts them just below.
+    scaled = (F.signum(raised) * F.floor(F.abs(raised) + F.lit(0.5 + 1e-9))).try_cast("bigint")
     of = (lambda aggregate: aggregate) if over is None else (lambda aggregate: aggregate.over(over))
     unfit = of(F.count_if(value.isNotNull() & scaled.isNull()))
     exact = of(F.try_sum(scaled)).cast("double") / F.lit(scale)

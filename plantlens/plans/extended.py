@@ -63,14 +63,14 @@ def calendar_columns(day: str, holidays: Sequence[str] = HOLIDAYS) -> list[Colum
     holiday = d.isin(*[F.to_date(F.lit(h)) for h in holidays])
     return [
         d.alias("date"),
-        F.year(d).alias("year"),
-        F.month(d).alias("month"),
+        F.year(d).cast("bigint").alias("year"),
+        F.month(d).cast("bigint").alias("month"),
         F.date_format(d, "MMM").alias("month_name"),
         F.floor((F.dayofyear(d) + 7 - F.dayofweek(d)) / 7).cast("int").alias("week_of_year"),
         F.date_format(d, "EEEE").alias("day_of_week"),
         F.dayofweek(d).isin(1, 7).cast("int").alias("is_weekend"),
         flag(holiday).alias("is_holiday"),
-        (F.year(d) + F.when(F.month(d) >= 10, 1).otherwise(0)).alias("fiscal_year"),
+        (F.year(d) + F.when(F.month(d) >= 10, 1).otherwise(0)).cast("bigint").alias("fiscal_year"),
     ]
 
 
@@ -211,7 +211,7 @@ def delivery_risk(delivery: DataFrame, customers: DataFrame, products: DataFrame
     """Delivery lines with customer segment, product family and promised lead time."""
     who = customers.select("customer_id", "customer_segment", "credit_risk_score")
     what = products.select("product_id", "product_family", "complexity_score")
-    lead = F.datediff(date_of("promised_delivery_date"), date_of("order_date"))
+    lead = F.datediff(date_of("promised_delivery_date"), date_of("order_date")).cast("bigint")
     return (
         delivery.join(who, "customer_id", "left").join(what, "product_id", "left")
         .withColumn("promised_lead_days", lead)

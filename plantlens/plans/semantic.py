@@ -272,10 +272,10 @@ def readiness(spark: SparkSession, datasets: Mapping[str, DataFrame]) -> DataFra
         metrics = [m for m in METRICS if m.dataset_name == d.dataset_name]
         row = datasets[d.dataset_name].agg(F.count(F.lit(1)).alias("row_count")).select(
             F.lit(d.dataset_name).alias("dataset_name"), "row_count",
-            F.lit(len(metrics)).cast("bigint").alias("metric_count"),
-            F.lit(sum(c.dataset_name == d.dataset_name for c in CHARTS)).cast("bigint").alias("chart_count"),
-            F.lit(sum(p.dataset_name == d.dataset_name for p in POLICIES)).cast("bigint").alias("policy_count"),
-            F.lit(sum(m.metric_name in broken for m in metrics)).cast("bigint").alias("unresolved_metrics"),
+            F.lit(len(metrics)).alias("metric_count"),
+            F.lit(sum(c.dataset_name == d.dataset_name for c in CHARTS)).alias("chart_count"),
+            F.lit(sum(p.dataset_name == d.dataset_name for p in POLICIES)).alias("policy_count"),
+            F.lit(sum(m.metric_name in broken for m in metrics)).alias("unresolved_metrics"),
         )
         parts = row if parts is None else parts.unionByName(row)
     return parts

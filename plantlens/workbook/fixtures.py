@@ -81,7 +81,7 @@ select concat(cast(l_orderkey as {S}),'-',cast(l_linenumber as {S})) as run_id,
  l_shipdate as run_start_datetime,
  case when l_returnflag='R' and l_linenumber=1 then l_shipdate - interval '1' hour else l_shipdate + interval '8' hour end as run_end_datetime,
  l_quantity as input_quantity, l_quantity*(1+l_tax*4) as output_quantity, l_quantity*l_discount as scrap_quantity,
- l_quantity*10 as runtime_minutes, l_quantity*l_tax*10 as idle_minutes, l_linenumber*5 as setup_minutes,
+ l_quantity*10 as runtime_minutes, l_quantity*l_tax*10 as idle_minutes, cast(l_linenumber*5 as double) as setup_minutes,
  cast(l_linenumber as double) as speed_actual_ppm,
  case when l_partkey % 50 = 0 then cast(0 as double) else cast(1+l_partkey % 5 as double) end as speed_standard_ppm,
  l_extendedprice as seq_a, l_tax as seq_b, l_discount as seq_c, l_returnflag as seq_d, l_linestatus as seq_e

@@ -368,7 +368,7 @@ join {_DATASET_ROWS} using (dataset_name)""")
 def l08(shop):
     """Registered metrics per dataset, next to the dataset's rows."""
     listed = semantic.listing(shop.spark, "superset_metric_layer").groupBy("dataset_name").agg(
-        F.count(F.lit(1)).alias("metrics"))
+        F.count(F.lit(1)).cast("int").alias("metrics"))
     counts = semantic.readiness(shop.spark, shop.datasets).select("dataset_name", "row_count")
     return listed.join(counts, "dataset_name", "inner")
 
