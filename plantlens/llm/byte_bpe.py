@@ -29,9 +29,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .frames import digest, map_arrow, map_batches, table, with_columns
+from .frames import digest, map_arrow, table, with_columns
 
-CORPUS_CHARS = 16_000_000  # characters replayed together; bounds a task's memory
+CORPUS_CHARS = 5_000_000  # bytes replayed together; bounds a task's memory
 
 
 class Merges:
@@ -70,6 +70,11 @@ def merges(path: str) -> Merges:
     return Merges(path)
 
 
+@lru_cache(maxsize=2)
+def token_array(path: str) -> np.ndarray:
+    return np.array(merges(path).token, dtype=object)
+
+
 @lru_cache(maxsize=2)
 def splitter(pattern: str):
     """The pattern with white space as Unicode defines it, as the tiktoken library reads it."""
@@ -196,8 +201,8 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", out: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            for start in range(0, batch.num_rows, 1000):
-                part = batch.slice(start, 1000)
+            for start in range(0, batch.num_rows, 200):
+                part = batch.slice(start, 200)
                 held.append(part)
                 size += part.column(part.schema.get_field_index(text)).nbytes
                 if size >= CORPUS_CHARS:
@@ -211,16 +216,27 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", out: st
 
 def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """``df`` with the bytes that the ids stand for; null ids give empty bytes."""
-    def columns(batch: pa.RecordBatch):
+    schema = with_columns(df, f"`{out}` binary")
+    kept = [f.name for f in schema][:-1]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, 200):
+                part = batch.slice(start, 200)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(part.schema.get_field_index(k)) for k in kept] + [joined(part)], names=schema.names)
+
+    def joined(batch: pa.RecordBatch) -> pa.Array:
         column = batch.column(batch.schema.get_field_index(ids))
-        token = np.array(merges(path).token, dtype=object)
-        values = column.values.to_numpy(zero_copy_only=False)
+        token = token_array(path)
         at = column.offsets.to_numpy()
+        values = column.values.slice(at[0], at[-1] - at[0]).to_numpy(zero_copy_only=False)
+        at = at - at[0]
         valid = column.is_valid().to_numpy(zero_copy_only=False)
-        yield pa.array([b"".join(token[values[a:b]]) if ok else b""
-                        for a, b, ok in zip(at[:-1], at[1:], valid, strict=True)], type=pa.binary())
+        return pa.array([b"".join(token[values[a:b]]) if ok else b""
+                         for a, b, ok in zip(at[:-1], at[1:], valid, strict=True)], type=pa.binary())
 
-    return map_batches(df, f"`{out}` binary", columns)
+    return map_arrow(df, run, schema)
 
 
 def vocabulary() -> tuple[str, str]:
