@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 from .byte_bpe import op7_byte_bpe
+from .jaccard_join import OP9_ORACLE, op9_jaccard_join
 from .toxicity import op1_toxicity
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op7_byte_bpe": op7_byte_bpe,
+    "op9_jaccard_join": op9_jaccard_join,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op9_jaccard_join": OP9_ORACLE,
+}
