@@ -1,7 +1,8 @@
 """Corpus pipeline: documents in, tokens out.
 
 Each stage takes (spark, docs, sf_dir) and returns a frame that is written and
-read again as the next stage's docs.
+read again as the next stage's docs.  All but the last return the columns of
+``docs``; a stage that rewrites texts also renews ``n_chars``.
 """
 
 from __future__ import annotations
@@ -9,14 +10,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plantlens.llm import byte_bpe, toxicity
+from plantlens.llm import byte_bpe, decontamination, jaccard_join, line_templates, toxicity
 from plantlens.llm.frames import table, written
 
 
+def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose doc_id is among ``ids``; null is an id like others."""
+    return docs.join(ids.select(F.col("doc_id").alias("_id")).distinct(), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the lexicon, learnt from these documents' labels, doesn't call toxic."""
+    """Documents that the lexicon, learnt from the labels of these documents, doesn't call toxic."""
     lexicon = toxicity.trained(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, lexicon, out="toxicity").where(F.col("toxicity") < toxicity.THRESHOLD).select(*docs.columns)
+    return toxicity.score(docs, lexicon, out="_toxicity").where(F.col("_toxicity") < toxicity.THRESHOLD).select(*docs.columns)
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without recurring messages; a document that loses all of its text goes."""
+    cut = line_templates.dedup_lines(docs).where(~((F.col("n_dropped") > 0) & (F.col("text") == "")))
+    if "n_chars" in docs.columns:
+        cut = cut.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
+    return cut.select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of least id of each group of near copies."""
+    linked = jaccard_join.link(docs.select("doc_id", "text"))
+    first = linked.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    repeated = not linked.groupBy("doc_id").count().where("count > 1").isEmpty()
+    kept = _only(docs, first)
+    return kept.dropDuplicates(["doc_id", "text"]) if repeated else kept
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that aren't contaminated with items of the benchmark."""
+    flagged = decontamination.contaminated(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return _only(docs, flagged.where("not contaminated"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,7 +53,13 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return byte_bpe.tokenised(docs)
 
 
-STAGES = [("toxicity", drop_toxic), ("byte_bpe", encode)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("line_dedup", dedup_lines),
+    ("jaccard_join", drop_near_copies),
+    ("decontamination", decontaminate),
+    ("byte_bpe", encode),
+]
 
 #: The lexicon is learnt and the merges are replayed, which SQL doesn't express.
 ORACLE_SQL = None

@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 from .byte_bpe import op7_byte_bpe
+from .decontamination import OP8_ORACLE, op8_decontamination
 from .jaccard_join import OP9_ORACLE, op9_jaccard_join
+from .line_templates import op4_line_templates
 from .toxicity import op1_toxicity
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op4_line_templates": op4_line_templates,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_decontamination": op8_decontamination,
     "op9_jaccard_join": op9_jaccard_join,
 }
 
 ORACLES: dict[str, str] = {
+    "op8_decontamination": OP8_ORACLE,
     "op9_jaccard_join": OP9_ORACLE,
 }
