@@ -6,17 +6,22 @@ from .byte_bpe import op7_byte_bpe
 from .decontamination import OP8_ORACLE, op8_decontamination
 from .jaccard_join import OP9_ORACLE, op9_jaccard_join
 from .line_templates import op4_line_templates
+from .reply_trees import OP10_ORACLE, op10_reply_trees
 from .toxicity import op1_toxicity
+from .winnowing import op2_winnowing
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_winnowing": op2_winnowing,
     "op4_line_templates": op4_line_templates,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_decontamination": op8_decontamination,
     "op9_jaccard_join": op9_jaccard_join,
+    "op10_reply_trees": op10_reply_trees,
 }
 
 ORACLES: dict[str, str] = {
     "op8_decontamination": OP8_ORACLE,
     "op9_jaccard_join": OP9_ORACLE,
+    "op10_reply_trees": OP10_ORACLE,
 }
