@@ -6,14 +6,18 @@ from .byte_bpe import op7_byte_bpe
 from .decontamination import OP8_ORACLE, op8_decontamination
 from .jaccard_join import OP9_ORACLE, op9_jaccard_join
 from .line_templates import op4_line_templates
+from .quality import op3_quality
 from .reply_trees import OP10_ORACLE, op10_reply_trees
+from .secret_scan import op6_secret_scan
 from .toxicity import op1_toxicity
 from .winnowing import op2_winnowing
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_winnowing": op2_winnowing,
+    "op3_quality": op3_quality,
     "op4_line_templates": op4_line_templates,
+    "op6_secret_scan": op6_secret_scan,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_decontamination": op8_decontamination,
     "op9_jaccard_join": op9_jaccard_join,
