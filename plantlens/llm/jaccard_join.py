@@ -14,11 +14,13 @@ with equal sets form one class (node).  Two nodes link when 100 * intersection
   common, which needs no list at all.  The boundary is the largest size for
   which the subsets are fewer than the list entries read.
 
-Lists are not expanded into pairs.  Each member is compared with four pivots
+Lists are not expanded into pairs.  Each member is compared with eight pivots
 of its list; links make components; then only members outside a list's largest
-component are compared with the others of that list, so no link between
-different components is missed and a group of n near copies costs about n
-comparisons.  Candidates are verified on the whole sets.
+component meet the others of that list, so no link between different
+components is missed.  There, a sketch of ``SKETCH`` parity bits a set bounds
+the symmetric difference from below, so pairs that cannot link leave the join
+at once and a group of n near copies costs about n verifications.  Candidates
+are verified on the whole sets.
 
 Null texts and texts without words have empty sets and link with nothing.
 Repeated rows share a node.  A null doc_id takes part but is never the least
@@ -47,7 +49,10 @@ FREQUENT = 1 << 16       # frequent shingles that are broadcast with their count
 FREQUENT_FROM = 8        # sets, at least, that a frequent shingle stands in
 HELD = 1 << 21           # shingles that a task collects before it hands them on
 
-_PIVOTS = (0x5555555555555555, 0x3333333333333333)
+SKETCH = 512             # parity bits of a set
+
+# Patterns that turn the least id into another member of a list.
+_PIVOTS = tuple(int(f"{i:04b}" * 16, 2) & (1 << 63) - 1 for i in (3, 5, 6, 9, 10, 12))
 
 
 def needed(s: int, t: int, percent: int = PERCENT) -> int:
@@ -107,6 +112,17 @@ def node_ids(shingles: np.ndarray, first: np.ndarray) -> np.ndarray:
         return mix(sums[first[1:]] - sums[first[:-1]] + np.diff(first).astype(np.uint64))
 
 
+def sketches(shingles: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Parity of each set's shingles in ``SKETCH`` cells, as 64-bit words.
+
+    Two sets differ in at least as many shingles as their sketches in bits.
+    """
+    n = len(first) - 1
+    cell = (mix(shingles ^ np.uint64(0x1234567890ABCDEF)) % np.uint64(SKETCH)).astype(np.int64)
+    odd = np.bincount(row_of(first) * SKETCH + cell, minlength=n * SKETCH) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64).reshape(n, SKETCH // 64)
+
+
 def _bucket(shingles: np.ndarray, buckets: int) -> np.ndarray:
     return (shingles >> np.uint64(32)) % np.uint64(buckets)
 
@@ -242,7 +258,8 @@ def emit(docs: DataFrame, gram: int, percent: int) -> DataFrame:
 
         def rows(kind: str, n: int, **columns) -> pa.RecordBatch:
             types = {"doc_id": pa.int64(), "node": pa.int64(), "size": pa.int32(),
-                     "key": pa.int64(), "place": pa.int32(), "shingles": pa.list_(pa.int64())}
+                     "key": pa.int64(), "place": pa.int32(), "shingles": pa.list_(pa.int64()),
+                     "sketch": pa.list_(pa.int64())}
             return pa.RecordBatch.from_arrays(
                 [pa.array([kind] * n, type=pa.string())]
                 + [columns.get(k) if columns.get(k) is not None else pa.nulls(n, t) for k, t in types.items()],
@@ -282,6 +299,7 @@ def emit(docs: DataFrame, gram: int, percent: int) -> DataFrame:
                 yield rows("entry", len(key), node=pa.array(nodes[row].view(np.int64)),
                            size=pa.array(sizes[row].astype(np.int32)), key=pa.array(key.view(np.int64)),
                            place=pa.array(np.concatenate(entry_place).astype(np.int32)))
+                sketch = sketches(shingles, first)
                 for some in np.array_split(np.unique(row), max(1, len(row) // 2000)):
                     lengths = sizes[some]
                     ends = np.cumsum(lengths)
@@ -292,14 +310,17 @@ def emit(docs: DataFrame, gram: int, percent: int) -> DataFrame:
                                size=pa.array(lengths.astype(np.int32)),
                                shingles=pa.ListArray.from_arrays(
                                    pa.array(np.concatenate(([0], ends)).astype(np.int32)),
-                                   pa.array(shingles[take].view(np.int64))))
+                                   pa.array(shingles[take].view(np.int64))),
+                               sketch=pa.ListArray.from_arrays(
+                                   pa.array(np.arange(len(some) + 1, dtype=np.int32) * (SKETCH // 64)),
+                                   pa.array(sketch[some].ravel())))
 
     path = scratch_path(spark, "jaccard")
     map_arrow(docs.select("doc_id", "text"), run,
-              "kind string, doc_id long, node long, size int, key long, place int, shingles array<long>"
+              "kind string, doc_id long, node long, size int, key long, place int, shingles array<long>, sketch array<long>"
               ).write.partitionBy("kind").parquet(path)
     return spark.read.schema(
-        "doc_id long, node long, size int, key long, place int, shingles array<long>, kind string").parquet(path)
+        "doc_id long, node long, size int, key long, place int, shingles array<long>, sketch array<long>, kind string").parquet(path)
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -326,14 +347,14 @@ def link(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT) -> DataFrame
     # A node that several tasks saw is held once.
     entries = kept(rows.where("kind = 'entry'").groupBy("key", "node").agg(
         F.max("size").alias("size"), F.min("place").alias("place")), "entries")
-    sets = kept(rows.where("kind = 'set'").select("node", "shingles").dropDuplicates(["node"]), "sets")
+    sets = kept(rows.where("kind = 'set'").select("node", "shingles", "sketch").dropDuplicates(["node"]), "sets")
 
     pivots = entries.groupBy("key").agg(
         F.min("node").alias("p0"), F.max("node").alias("p1"),
         *[F.min(F.col("node").bitwiseXOR(F.lit(c))).bitwiseXOR(F.lit(c)).alias(f"p{i + 2}")
           for i, c in enumerate(_PIVOTS)]).where("p0 <> p1")
     near = entries.select("key", "node").join(pivots, "key").select(
-        "node", F.explode(F.array_distinct(F.array("p0", "p1", "p2", "p3"))).alias("pivot")).where("node <> pivot")
+        "node", F.explode(F.array_distinct(F.array(*[c for c in pivots.columns if c != "key"]))).alias("pivot")).where("node <> pivot")
     pairs = near.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
     links = kept(verified(pairs, sets, percent), "first")
     labels = components(links)
@@ -343,16 +364,18 @@ def link(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT) -> DataFrame
         "key", "node", "size", "place", "label")
     own = kept(own, "labelled")
     divided = own.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
-    open_ = kept(own.join(divided, "key", "left_semi"), "open")
+    open_ = kept(own.join(divided, "key", "left_semi").join(sets.select("node", "sketch"), "node"), "open")
     largest = open_.groupBy("key", "label").count().groupBy("key").agg(
         F.max(F.struct("count", "label")).alias("top")).select("key", F.col("top.label").alias("major"))
     minor = open_.join(largest, "key").where("label <> major").select(
-        "key", F.col("node").alias("x"), F.col("size").alias("sx"), F.col("place").alias("px"), F.col("label").alias("lx"))
-    met = minor.join(open_, "key").where(
-        (F.col("lx") != F.col("label"))
-        & (100 * F.least("sx", "size") >= percent * F.greatest("sx", "size"))
-        & ((100 + percent) * (1 + F.least(F.col("sx") - F.col("px"), F.col("size") - F.col("place")))
-           >= percent * (F.col("sx") + F.col("size"))))
+        "key", F.col("node").alias("x"), F.col("size").alias("sx"), F.col("place").alias("px"),
+        F.col("label").alias("lx"), F.col("sketch").alias("kx"))
+    common = F.ceil(F.lit(percent) * (F.col("sx") + F.col("size")) / F.lit(100 + percent))
+    apart = sum((F.bit_count(F.get("kx", F.lit(i)).bitwiseXOR(F.get("sketch", F.lit(i)))) for i in range(SKETCH // 64)), F.lit(0))
+    met = minor.join(open_, (minor["key"] == open_["key"]) & (F.col("lx") != F.col("label"))
+                     & (100 * F.least("sx", "size") >= percent * F.greatest("sx", "size"))
+                     & (F.least(F.col("sx") - F.col("px"), F.col("size") - F.col("place")) >= common)
+                     & (apart <= F.col("sx") + F.col("size") - 2 * common))
     rest = met.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
     more = kept(verified(rest.join(links, ["a", "b"], "left_anti"), sets, percent), "second")
     every = links.union(more)
