@@ -21,7 +21,7 @@ from __future__ import annotations
 import base64
 import heapq
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .frames import digest, map_arrow, table, with_columns
 
-CORPUS_CHARS = 5_000_000  # bytes replayed together; bounds a task's memory
+CORPUS_BYTES = 4_000_000  # of text replayed together; bounds a task's memory
 
 
 class Merges:
@@ -181,10 +181,30 @@ def encode_texts(texts: list[str | None], table: Merges, pattern: str) -> tuple[
     return taken, np.concatenate(([0], ends))[np.cumsum(counts)]
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", out: str = "ids") -> DataFrame:
-    """``docs`` with the token ids of ``text`` as an array of int."""
-    schema = with_columns(docs, f"`{out}` array<int>")
-    kept = [f.name for f in schema][:-1]
+def joined_tokens(ids: pa.Array, path: str) -> pa.Array:
+    """The bytes that lists of ids stand for; a null list gives empty bytes."""
+    token = token_array(path)
+    at = ids.offsets.to_numpy()
+    values = ids.values.slice(at[0], at[-1] - at[0]).to_numpy(zero_copy_only=False)
+    valid = ids.is_valid().to_numpy(zero_copy_only=False)
+    at = at - at[0]
+    return pa.array([b"".join(token[values[a:b]]) if ok else b""
+                     for a, b, ok in zip(at[:-1], at[1:], valid, strict=True)], type=pa.binary())
+
+
+def _slices(batches: Iterable[pa.RecordBatch], rows: int = 200) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
+def encode(
+    docs: DataFrame, path: str, pattern: str, text: str = "text", out: str = "ids", decoded: str | None = None,
+) -> DataFrame:
+    """``docs`` with the token ids of ``text`` as an array of int, and, if
+    ``decoded`` names a column, the bytes that these ids decode to."""
+    schema = with_columns(docs, f"`{out}` array<int>" + (f", `{decoded}` binary" if decoded else ""))
+    kept = schema.names[:-2] if decoded else schema.names[:-1]
 
     def flush(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = [t for b in held for t in b.column(b.schema.get_field_index(text)).to_pylist()]
@@ -192,22 +212,22 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", out: st
         row = 0
         for b in held:
             at = starts[row:row + b.num_rows + 1]
-            made = pa.ListArray.from_arrays(
-                pa.array((at - at[0]).astype(np.int32)), pa.array(ids[at[0]:at[-1]], type=pa.int32()))
             row += b.num_rows
+            made = [pa.ListArray.from_arrays(
+                pa.array((at - at[0]).astype(np.int32)), pa.array(ids[at[0]:at[-1]], type=pa.int32()))]
+            if decoded:
+                made.append(joined_tokens(made[0], path))
             yield pa.RecordBatch.from_arrays(
-                [b.column(b.schema.get_field_index(k)) for k in kept] + [made], names=schema.names)
+                [b.column(b.schema.get_field_index(k)) for k in kept] + made, names=schema.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        for batch in batches:
-            for start in range(0, batch.num_rows, 200):
-                part = batch.slice(start, 200)
-                held.append(part)
-                size += part.column(part.schema.get_field_index(text)).nbytes
-                if size >= CORPUS_CHARS:
-                    yield from flush(held)
-                    held, size = [], 0
+        for part in _slices(batches):
+            held.append(part)
+            size += part.column(part.schema.get_field_index(text)).nbytes
+            if size >= CORPUS_BYTES:
+                yield from flush(held)
+                held, size = [], 0
         if held:
             yield from flush(held)
 
@@ -217,24 +237,12 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", out: st
 def decode(df: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """``df`` with the bytes that the ids stand for; null ids give empty bytes."""
     schema = with_columns(df, f"`{out}` binary")
-    kept = [f.name for f in schema][:-1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start in range(0, batch.num_rows, 200):
-                part = batch.slice(start, 200)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(part.schema.get_field_index(k)) for k in kept] + [joined(part)], names=schema.names)
-
-    def joined(batch: pa.RecordBatch) -> pa.Array:
-        column = batch.column(batch.schema.get_field_index(ids))
-        token = token_array(path)
-        at = column.offsets.to_numpy()
-        values = column.values.slice(at[0], at[-1] - at[0]).to_numpy(zero_copy_only=False)
-        at = at - at[0]
-        valid = column.is_valid().to_numpy(zero_copy_only=False)
-        return pa.array([b"".join(token[values[a:b]]) if ok else b""
-                         for a, b, ok in zip(at[:-1], at[1:], valid, strict=True)], type=pa.binary())
+        for part in _slices(batches):
+            made = joined_tokens(part.column(part.schema.get_field_index(ids)), path)
+            yield pa.RecordBatch.from_arrays(
+                [part.column(part.schema.get_field_index(k)) for k in schema.names[:-1]] + [made], names=schema.names)
 
     return map_arrow(df, run, schema)
 
@@ -249,7 +257,7 @@ def vocabulary() -> tuple[str, str]:
 def tokenised(docs: DataFrame) -> DataFrame:
     """doc_id, number of tokens and the digests of ids and decoded bytes."""
     path, pattern = vocabulary()
-    coded = decode(encode(docs.select("doc_id", "text"), path, pattern), path)
+    coded = encode(docs.select("doc_id", "text"), path, pattern, decoded="decoded").drop("text")
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
