@@ -5,6 +5,7 @@ from __future__ import annotations
 from .byte_bpe import op7_byte_bpe
 from .decontamination import OP8_ORACLE, op8_decontamination
 from .jaccard_join import OP9_ORACLE, op9_jaccard_join
+from .kneser_ney import op5_kneser_ney
 from .line_templates import op4_line_templates
 from .quality import op3_quality
 from .reply_trees import OP10_ORACLE, op10_reply_trees
@@ -17,6 +18,7 @@ QUERIES = {
     "op2_winnowing": op2_winnowing,
     "op3_quality": op3_quality,
     "op4_line_templates": op4_line_templates,
+    "op5_kneser_ney": op5_kneser_ney,
     "op6_secret_scan": op6_secret_scan,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_decontamination": op8_decontamination,

@@ -38,8 +38,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plantlens.session import scratch_path
+
 from .components import components
-from .frames import map_arrow, scratch_path, table
+from .frames import map_arrow, table
 from .textarrays import mix, pieces, row_of, words
 
 GRAM = 4
