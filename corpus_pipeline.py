@@ -11,25 +11,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plantlens.llm import byte_bpe, decontamination, jaccard_join, line_templates, toxicity
-from plantlens.llm.frames import table, written
+from plantlens.llm.frames import free_name, table, written
 
 
 def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose doc_id is among ``ids``; null is an id like others."""
-    return docs.join(ids.select(F.col("doc_id").alias("_id")).distinct(), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    name = free_name(docs, "kept_id")
+    return docs.join(
+        ids.select(F.col("doc_id").alias(name)).distinct(), F.col("doc_id").eqNullSafe(F.col(name)), "left_semi")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the lexicon, learnt from the labels of these documents, doesn't call toxic."""
     lexicon = toxicity.trained(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, lexicon, out="_toxicity").where(F.col("_toxicity") < toxicity.THRESHOLD).select(*docs.columns)
+    name = free_name(docs, "toxicity")
+    return toxicity.score(docs, lexicon, out=name).where(F.col(name) < toxicity.THRESHOLD).drop(name)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without recurring messages; a document that loses all of its text goes."""
     cut = line_templates.dedup_lines(docs).where(~((F.col("n_dropped") > 0) & (F.col("text") == "")))
     if "n_chars" in docs.columns:
-        cut = cut.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
+        cut = cut.withColumn(
+            "n_chars", F.when(F.col("n_dropped") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
     return cut.select(*docs.columns)
 
 

@@ -49,6 +49,14 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def with_columns(df: DataFrame, new: str) -> T.StructType:
     """Schema of ``df`` plus the new columns; one of the same name is replaced."""
     added = T.StructType.fromDDL(new)

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .frames import map_arrow, table, with_columns, written
+from .frames import free_name, map_arrow, table, with_columns, written
 from .textarrays import IS_SPACE, LOWER, byte_table, mix, pieces, row_of, span_hash, spans
 
 LEAD = 3
@@ -189,16 +189,19 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     base = docs.drop("n_dropped")
     texts = base.select("doc_id", "text", F.xxhash64("text").alias("h"))
     again = written(recurring(texts), "line-templates")
-    gone = drops(texts, again).select(F.col("doc_id").alias("_doc"), F.col("h").alias("_h"), F.col("gone").alias("_gone"))
-    joined = base.withColumn("_key", F.xxhash64("text")).join(
-        gone, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_h")), "left"
-    ).drop("_doc", "_h", "_key")
+    gone = drops(texts, again).select(F.col("doc_id").alias("of"), F.col("h").alias("of_h"), "gone")
+    # The row travels as one value, so its names meet no others.
+    whole = base.select(F.struct(*[F.col(f"`{c}`") for c in base.columns]).alias("row"), F.xxhash64("text").alias("h"))
+    extra = free_name(base, "gone")
+    joined = whole.join(
+        gone, F.col("row.doc_id").eqNullSafe(F.col("of")) & (F.col("h") == F.col("of_h")), "left"
+    ).select("row.*", F.col("gone").alias(extra))
     schema = with_columns(base, "n_dropped int")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = schema.names.index("text")
         for batch in batches:
-            gone_ = batch.column(batch.schema.get_field_index("_gone")).to_pylist()
+            gone_ = batch.column(batch.schema.get_field_index(extra)).to_pylist()
             texts_ = batch.column(at)
             lost = np.zeros(batch.num_rows, dtype=np.int32)
             changed = [i for i, g in enumerate(gone_) if g]

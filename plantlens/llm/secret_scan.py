@@ -31,6 +31,7 @@ from .frames import digest, map_arrow, map_batches, table
 LEAST = 16
 TOTAL = 20.0
 EACH = 0.6
+BACK = 5.0     # weight of single characters in the models, in pairs
 
 # The rules.
 KINDS = ("assign", "access", "hex", "markov")
@@ -95,8 +96,11 @@ def train(docs: DataFrame) -> np.ndarray | None:
         counts[1, row.cell] += row.n_ordinary
     if (counts.sum(axis=1) <= _SIZE * _SIZE).any():
         return None
-    inside = counts.reshape(2, _SIZE, _SIZE)[:, :, 1:]
-    chance = np.log(inside / inside.sum(axis=2, keepdims=True))
+    inside = counts.reshape(2, _SIZE, _SIZE)[:, :, 1:] - 1
+    alone = inside.sum(axis=1, keepdims=True) + 1
+    alone /= alone.sum(axis=2, keepdims=True)
+    # A character's own frequency stands in for pairs that are rare.
+    chance = np.log((inside + BACK * alone) / (inside.sum(axis=2, keepdims=True) + BACK))
     ratio = np.zeros((_SIZE, _SIZE))
     ratio[:, 1:] = chance[0] - chance[1]
     return ratio

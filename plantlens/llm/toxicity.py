@@ -98,7 +98,7 @@ class Lexicon:
 
     weights: dict[str, float]
     exceptions: tuple[str, ...] = ()
-    curve: tuple[float, float, float] = (-4.0, 4.0, 0.0)  # intercept, of log(1 + sum), of density
+    curve: tuple[float, float, float] = (-4.0, 4.0, 1.0)  # intercept, of log(1 + sum), of density
     _automaton: object = field(default=None, repr=False, compare=False)
 
     def automaton(self):
