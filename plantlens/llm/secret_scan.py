@@ -31,7 +31,7 @@ from .frames import digest, map_arrow, map_batches, table
 LEAST = 16
 TOTAL = 20.0
 EACH = 0.6
-BACK = 5.0     # weight of single characters in the models, in pairs
+BACK = 200.0   # weight of single characters in the models, in pairs
 
 # The rules.
 KINDS = ("assign", "access", "hex", "markov")
