@@ -119,9 +119,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, gr
     items = benchmark.select("item_id", words_of(F.col("text")).alias("words"))
     found, index = occurrences(keyed, items, window, gram)
     # A document's places, each with the furthest end, then merged from the left.
-    spans = found.groupBy("key").agg(
+    spans = written(found.groupBy("key").agg(
         F.array_sort(F.collect_set(F.struct("place", F.col("w_size").alias("size")))).alias("spans"),
-        F.collect_set("w_id").alias("w_ids"))
+        F.collect_set("w_id").alias("w_ids")), "benchmark-hits")
     start = F.struct(F.lit(0).alias("hit"), F.lit(0).alias("reached"))
 
     def cover(so_far: Column, span: Column) -> Column:
