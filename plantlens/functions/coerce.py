@@ -24,6 +24,7 @@ NULL_TOKENS = (
 # pass another list where a source writes month first.
 TIMESTAMP_FORMATS = (
     "yyyy-MM-dd[ ]['T'][HH:mm[:ss[.SSSSSS]]]",
+    "yyyy-MM-dd[ ]['T']HH:mm[:ss[.SSSSSSSSS]][XXX]",  # zones and finer fractions
     "yyyy/MM/dd[ HH:mm[:ss]]",
     "dd/MM/yyyy[ HH:mm[:ss]]",
     "dd-MM-yyyy[ HH:mm[:ss]]",
@@ -64,11 +65,14 @@ def to_timestamp(
     return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in tried])
 
 
+def finite(value: Column) -> Column:
+    """A double that is a number; NaN and the infinities become null."""
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
+
+
 def to_number(c: str | Column) -> Column:
     """Text to double; anything that is not a finite number becomes null."""
-    value = F.trim(column(c)).try_cast("double")
-    finite = ~F.isnan(value) & (F.abs(value) != F.lit(float("inf")))
-    return F.when(finite, value)
+    return finite(F.trim(column(c)).try_cast("double"))
 
 
 def coerce(
@@ -91,7 +95,7 @@ def coerce(
         if isinstance(kinds.get(name), T.StringType):
             changed[name] = to_number(name)
         elif name in kinds:
-            changed[name] = F.nanvl(F.col(name).cast("double"), F.lit(None).cast("double"))
+            changed[name] = finite(F.col(name).cast("double"))
     return df.withColumns(changed) if changed else df
 
 

@@ -246,17 +246,23 @@ def issue_counts(
     return reduce(DataFrame.unionByName, frames).filter(F.col("issue_count") > 0)
 
 
-def ranked_summary(summary: DataFrame, limit: int | None = 200) -> DataFrame:
-    ordered = summary.orderBy(severity_rank(), F.desc("issue_count"), "rule_id", "table_name")
-    return ordered if limit is None else ordered.limit(max(1, min(limit, 2000)))
+def first(ordered: DataFrame, limit: int | None) -> DataFrame:
+    """The whole listing, or as many rows as the caller asks for."""
+    if limit is None:
+        return ordered
+    if limit < 1:
+        raise ValueError(f"limit has to be at least 1, not {limit}")
+    return ordered.limit(limit)
 
 
-def ranked_issues(issues: DataFrame, limit: int = 100) -> DataFrame:
+def ranked_summary(summary: DataFrame, limit: int | None = None) -> DataFrame:
+    return first(summary.orderBy(severity_rank(), F.desc("issue_count"), "rule_id", "table_name"), limit)
+
+
+def ranked_issues(issues: DataFrame, limit: int | None = None) -> DataFrame:
     """Issue listing, worst severity and newest first; keys break ties."""
     newest = [F.desc("created_at")] if "created_at" in issues.columns else []
-    return issues.orderBy(
-        severity_rank(), *newest, "table_name", "rule_id", "business_key"
-    ).limit(max(1, min(limit, 2000)))
+    return first(issues.orderBy(severity_rank(), *newest, "table_name", "rule_id", "business_key"), limit)
 
 
 def evaluate_rules(found: DataFrame, truth: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -9,16 +9,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import RATE, exact_avg, exact_sum, ratio, round_half_up
+from ..operators.quality_rules import first
 from ..operators.running import running_total
 
 
-def clamp_limit(limit: int) -> int:
-    return max(1, min(limit, 2000))
+def top(df: DataFrame, order: Sequence, limit: int | None = None) -> DataFrame:
+    """Ordered listing: whole, or the first ``limit`` rows."""
+    return first(df.orderBy(*order), limit)
 
 
-def top(df: DataFrame, order: Sequence, limit: int = 200) -> DataFrame:
-    """Ordered listing with the row limit of the read API (1 to 2000 rows)."""
-    return df.orderBy(*order).limit(clamp_limit(limit))
+def page(df: DataFrame, order: Sequence, limit: int = 200) -> DataFrame:
+    """Ordered listing as the read API pages it: 1 to 2000 rows, others clamped."""
+    return top(df, order, max(1, min(limit, 2000)))
 
 
 def single_row(parts: Sequence[DataFrame]) -> DataFrame:
@@ -62,7 +64,7 @@ def oee_listing(oee: DataFrame) -> DataFrame:
                       "run_count", "output_quantity", "good_quantity")
 
 
-def oee_daily(oee: DataFrame, limit: int = 200) -> DataFrame:
+def oee_daily(oee: DataFrame, limit: int | None = None) -> DataFrame:
     """Newest day first, then plant and line."""
     order = [F.desc_nulls_first("production_date"), F.asc_nulls_last("plant_id"),
              F.asc_nulls_last("line_id")]
@@ -76,13 +78,13 @@ def defect_totals(quality: DataFrame) -> DataFrame:
     )
 
 
-def defect_pareto(quality: DataFrame, limit: int = 50) -> DataFrame:
+def defect_pareto(quality: DataFrame, limit: int | None = None) -> DataFrame:
     rated = defect_totals(quality).withColumn(
         "defect_rate", round_half_up(ratio("defect_count", "sample_size")))
     return top(rated, [F.desc_nulls_first("defect_count"), F.asc_nulls_last("defect_code")], limit)
 
 
-def line_performance(oee: DataFrame, limit: int = 100) -> DataFrame:
+def line_performance(oee: DataFrame, limit: int | None = None) -> DataFrame:
     lines = oee.groupBy("plant_id", "line_id").agg(
         round_half_up(exact_avg("oee", RATE)).alias("avg_oee"),
         round_half_up(exact_avg("scrap_rate", RATE)).alias("avg_scrap_rate"),

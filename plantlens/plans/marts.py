@@ -107,22 +107,28 @@ def sensor_measures():
 
 
 def machine_day(hourly: DataFrame) -> DataFrame:
-    """Machine-day rollup of the hourly mart: unweighted average of averages."""
-    return hourly.groupBy(date_of("sensor_hour").alias("sensor_date"), "machine_id").agg(
+    """Machine-day rollup of the hourly mart: unweighted average of averages.
+
+    Grouped by ``spread`` next to the keys, so a join on the keys shuffles this
+    small side again and AQE can split a hot machine-day of the other.
+    """
+    day = date_of("sensor_hour").alias("sensor_date")
+    spread_ = F.xxhash64(date_of("sensor_hour"), F.col("machine_id")).alias("_spread")
+    return hourly.groupBy(spread_, day, "machine_id").agg(
         exact_avg("avg_temperature_c", RATE).alias("avg_temperature_c"),
         F.max("max_vibration_mm_s").alias("max_vibration_mm_s"),
         exact_avg("sensor_valid_rate", RATE).alias("sensor_valid_rate"),
-    )
+    ).drop("_spread")
 
 
 def delivery_order(sales_orders: DataFrame, shipments: DataFrame) -> DataFrame:
     """Order lines with their shipments; an unshipped line counts as on time."""
     keys = ["sales_order_id", "order_line_id"]
-    optional = [c for c in ("delay_days",) if c in shipments.columns]
+    if "delay_days" not in shipments.columns:
+        raise ValueError("shipments have no delay_days")
     shipped = shipments.select(
-        *keys, "ship_date", "shipped_quantity", "late_delivery_flag", "root_cause", *optional
+        *keys, "ship_date", "shipped_quantity", "late_delivery_flag", "root_cause", "delay_days"
     )
-    delay = F.col("delay_days") if optional else F.lit(None).cast("double")
     net = (
         F.col("ordered_quantity") * F.col("unit_price")
         * (F.lit(1.0) - F.coalesce(F.col("discount_pct"), F.lit(0.0)) / F.lit(100.0))
@@ -132,7 +138,7 @@ def delivery_order(sales_orders: DataFrame, shipments: DataFrame) -> DataFrame:
         "ordered_quantity", "unit_price", "discount_pct", "customer_priority",
         "ship_date", "shipped_quantity",
         F.coalesce(F.col("late_delivery_flag"), F.lit(0)).alias("late_delivery_flag"),
-        F.coalesce(delay, F.lit(0.0)).alias("delay_days"),
+        F.coalesce("delay_days", F.lit(0.0)).alias("delay_days"),
         "root_cause",
         net.alias("net_order_value"),
     )

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.access import visible_to
+from ..operators.quality_rules import first
 
 
 @dataclass(frozen=True)
@@ -168,9 +169,9 @@ def registry(spark: SparkSession, name: str) -> DataFrame:
     return spark.createDataFrame(rows, ", ".join(f"{n} string" for n in names))
 
 
-def listing(spark: SparkSession, name: str, limit: int = 200) -> DataFrame:
-    """Registry listing in its published order, 1 to 1000 rows."""
-    return registry(spark, name).orderBy(*REGISTRIES[name][1]).limit(max(1, min(limit, 1000)))
+def listing(spark: SparkSession, name: str, limit: int | None = None) -> DataFrame:
+    """Registry listing in its published order."""
+    return first(registry(spark, name).orderBy(*REGISTRIES[name][1]), limit)
 
 
 def dashboard_charts(spark: SparkSession) -> DataFrame:

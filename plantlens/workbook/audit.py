@@ -85,7 +85,7 @@ def q14_capped(shop):
 
 @query("q15_ranked_summary", """
 select severity, rule_id, table_name, issue_count from dq_summary
-order by case severity when 'high' then 1 when 'medium' then 2 when 'low' then 3 else 4 end, issue_count desc limit 200""")
+order by case severity when 'high' then 1 when 'medium' then 2 when 'low' then 3 else 4 end, issue_count desc""")
 def q15(shop):
     return qr.ranked_summary(shop.issue_counts)
 
@@ -96,6 +96,12 @@ order by case severity when 'high' then 1 when 'medium' then 2 when 'low' then 3
  table_name, rule_id, business_key limit 100""")
 def q15_issues(shop):
     """The hundred issues to look at first."""
+    return qr.ranked_issues(qr.issue_log(shop.core_raw, stamp=False), 100)
+
+
+@query("q15_every_issue", "select table_name, business_key, rule_id, severity, issue_message from dq_issues")
+def q15_every(shop):
+    """All issues, worst first."""
     return qr.ranked_issues(qr.issue_log(shop.core_raw, stamp=False))
 
 

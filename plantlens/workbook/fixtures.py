@@ -126,7 +126,8 @@ from {lineitem} join {orders} on l_orderkey=o_orderkey""",
 select concat('S',cast(l_orderkey as {S}),'-',cast(l_linenumber as {S})) as shipment_id,
  l_orderkey as sales_order_id, l_linenumber as order_line_id, l_shipdate as ship_date,
  l_quantity+(case when l_tax=0.08 then 1 else 0 end) as shipped_quantity,
- case when l_shipdate>o_orderdate + interval '30' day then 1 else 0 end as late_delivery_flag, l_returnflag as root_cause
+ case when l_shipdate>o_orderdate + interval '30' day then 1 else 0 end as late_delivery_flag, l_returnflag as root_cause,
+ case when l_linenumber=4 then null else cast(l_linenumber*0.5 - 1 as double) end as delay_days
 from {lineitem} join {orders} on l_orderkey=o_orderkey where l_linestatus='F'""",
     "customer_complaint": """
 select o_orderkey as complaint_id, concat('S',cast(o_orderkey as {S}),'-1') as shipment_id

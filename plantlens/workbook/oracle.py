@@ -99,7 +99,7 @@ from c_sensor_reading group by 1,2,3,4""",
     "m_delivery": """
 select so.sales_order_id, so.order_line_id, so.customer_id, so.product_id, so.order_date, so.promised_delivery_date,
  so.ordered_quantity, so.unit_price, so.discount_pct, so.customer_priority, sh.ship_date, sh.shipped_quantity,
- cast(coalesce(sh.late_delivery_flag,0) as double) as late_delivery_flag, 0::double as delay_days, sh.root_cause,
+ cast(coalesce(sh.late_delivery_flag,0) as double) as late_delivery_flag, cast(coalesce(sh.delay_days,0) as double) as delay_days, sh.root_cause,
  so.ordered_quantity*so.unit_price*(1::double-coalesce(so.discount_pct,0)/100::double) as net_order_value
 from sales_order so left join shipment sh on so.sales_order_id=sh.sales_order_id and so.order_line_id=sh.order_line_id""",
     "m_machine_day": f"""

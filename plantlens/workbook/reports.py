@@ -125,15 +125,24 @@ def a06(shop):
 @query("a07_defect_pareto", f"""
 select defect_code, {xsum('defect_count')} as defect_count, {xsum('sample_size')} as sample_size,
  {r4(xsum('defect_count') + '/nullif(' + xsum('sample_size') + ',0)')} as defect_rate
-from m_quality group by 1 order by 2 desc, 1 limit 50""")
+from m_quality group by 1""")
 def a07(shop):
     return dashboard.defect_pareto(shop.quality)
 
 
+@query("a07_defect_pareto_top3", f"""
+select defect_code, {xsum('defect_count')} as defect_count, {xsum('sample_size')} as sample_size,
+ {r4(xsum('defect_count') + '/nullif(' + xsum('sample_size') + ',0)')} as defect_rate
+from m_quality group by 1 order by 2 desc, 1 limit 3""")
+def a07_top(shop):
+    """The three most frequent defects."""
+    return dashboard.defect_pareto(shop.quality, 3)
+
+
 @query("a08_line_performance", f"""
 select plant_id, line_id, {r4(xavg('oee', 10))} as avg_oee, {r4(xavg('scrap_rate', 10))} as avg_scrap_rate,
  {xsum('output_quantity')} as output_quantity, {xsum('good_quantity')} as good_quantity, count(*) as production_days
-from m_oee group by 1,2 order by 3 desc nulls first, 1 nulls last, 2 nulls last limit 100""")
+from m_oee group by 1,2""")
 def a08(shop):
     return dashboard.line_performance(shop.oee)
 
@@ -216,11 +225,21 @@ def m07_governance(shop):
 select production_date, plant_id, line_id, {r4('oee')} as oee, {r4('availability')} as availability,
  {r4('performance')} as performance, {r4('quality')} as quality, {r4('scrap_rate')} as scrap_rate,
  run_count, output_quantity, good_quantity from m_oee
-order by production_date desc nulls first, plant_id nulls last, line_id nulls last limit 200""")
+""")
 def m08(shop):
     return dashboard.oee_daily(shop.oee)
 
 
+@query("m08_oee_newest", f"""
+select production_date, plant_id, line_id, {r4('oee')} as oee, {r4('availability')} as availability,
+ {r4('performance')} as performance, {r4('quality')} as quality, {r4('scrap_rate')} as scrap_rate,
+ run_count, output_quantity, good_quantity from m_oee
+order by production_date desc nulls first, plant_id nulls last, line_id nulls last limit 200""")
+def m08_newest(shop):
+    """The newest 200 lines."""
+    return dashboard.oee_daily(shop.oee, 200)
+
+
 @query("m08_oee_trend", "select production_date, plant_id, line_id, oee, availability, performance, quality, scrap_rate from m_oee")
 def m08_trend(shop):
     """Whole trend, oldest first."""
@@ -442,7 +461,7 @@ def t02(shop):
     """Asked for 9,999 and for 0 rows; the read API gives 2,000 and 1."""
     orders = shop.base("orders").select("o_orderkey", "o_totalprice")
     order = [F.desc_nulls_first("o_totalprice"), F.asc_nulls_last("o_orderkey")]
-    return dashboard.top(orders, order, 9_999).unionByName(dashboard.top(orders, order, 0))
+    return dashboard.page(orders, order, 9_999).unionByName(dashboard.page(orders, order, 0))
 
 
 @query("t04_physical_head", """

@@ -1,7 +1,9 @@
 """Missing-value, parsing and ordering behaviour on small hand-made frames."""
 
 import datetime as dt
+from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from plantlens.functions import coerce as fx
@@ -246,18 +248,55 @@ def test_registries_resolve(spark):
 
 def test_limits(spark):
     df = spark.range(3000)
-    assert dashboard.top(df, ["id"], 0).count() == 1
-    assert dashboard.top(df, ["id"], 9999).count() == 2000
+    assert dashboard.top(df, ["id"]).count() == 3000 and dashboard.top(df, ["id"], 2500).count() == 2500
+    assert dashboard.page(df, ["id"], 0).count() == 1 and dashboard.page(df, ["id"], 9999).count() == 2000
+    for refused in (lambda: dashboard.top(df, ["id"], 0), lambda: qr.ranked_summary(df, 0), lambda: qr.ranked_issues(df, -1)):
+        with pytest.raises(ValueError, match="limit"):
+            refused()
 
 
-def test_exact_sum_is_order_free_and_falls_back(spark):
+def test_shipments_without_delay_are_refused(spark):
+    orders = spark.createDataFrame([(1, 1)], "sales_order_id int, order_line_id int")
+    with pytest.raises(ValueError, match="delay_days"):
+        marts.delivery_order(orders, orders)
+
+
+def test_timestamps_with_zones_and_fine_fractions(spark):
+    texts = ["2025-08-01T00:00:00Z", "2025-08-01T07:00:00+07:00", "2025-08-01 00:00:00.123456789"]
+    got = [r["t"] for r in spark.createDataFrame([(t,) for t in texts], "x string").select(fx.to_timestamp("x").alias("t")).collect()]
+    assert got == [dt.datetime(2025, 8, 1), dt.datetime(2025, 8, 1), dt.datetime(2025, 8, 1, 0, 0, 0, 123456)]
+
+
+def test_infinite_readings_are_missing(spark):
+    df = spark.createDataFrame([(float("inf"),), (float("nan"),), (1.5,)], "x double")
+    assert column(fx.coerce(df, numbers=("x",)), "x") == [None, None, 1.5]
+
+
+@pytest.fixture
+def total(spark):
     from plantlens.functions.numeric import exact_sum
 
-    total = lambda values, **kw: spark.createDataFrame([(v,) for v in values], "x double").agg(
+    return lambda values, **kw: spark.createDataFrame([(v,) for v in values], "x double").agg(
         exact_sum("x", **kw).alias("s")).first()["s"]
+
+
+def test_exact_sum_is_order_free(total):
     assert total([0.1] * 10) == 1.0 and total([0.1, 0.2, 0.3, -0.6]) == 0.0
     assert total([0.15, -0.25, 0.35], places=1) == 0.3   # ties away from zero: 0.2 - 0.3 + 0.4
     assert total([None, None]) is None
-    assert total([1e15, 1.0]) == 1e15 + 1                # value too large to scale
-    assert total([9e12, 9e12]) == 1.8e13                 # total too large to scale
-    assert str(total([float("nan"), 1.0])) == "nan"
+    mixed = [5e12, 5e12, -5e12, -5e12] + [0.1] * 10
+    assert total(mixed) == total(mixed[::-1]) == total(mixed[2:] + mixed[:2]) == 1.0
+
+
+def test_exact_sum_equals_decimals(total):
+    for values, places in (([1e13], 6), ([1e15], 6), ([1e13, -5.0], 6), ([1e15, 1.0], 6), ([9e12, 9e12], 6), ([2e9], 10),
+                           ([1e-7] * 10, 10), ([-1e15, 0.000001, 1e15], 6), ([123456.789012, -0.000001] * 7, 6)):
+        want = sum(Decimal(repr(v)).quantize(Decimal(1).scaleb(-places)) for v in values)
+        assert total(values, places=places) == float(want), values
+
+
+def test_exact_sum_leaves_out_what_is_no_number(total):
+    assert total([float("inf"), 2.5, float("nan"), float("-inf")]) == 2.5
+    assert total([float("nan")]) is None
+    with pytest.raises(Exception, match="too large"):
+        total([1e30, 1.0])
