@@ -28,12 +28,6 @@ TIME_COLUMNS = {
     "fact_delivery_order": "order_date",
 }
 
-# Settings of the teaching deployment: row cap of the sensor export, issue cap
-# per rule.  Both are off by default.
-SENSOR_ROW_CAP = 200_000
-ISSUE_CAP = 500
-
-
 def ingest(
     spark: SparkSession, source: str, lake: Lake, files: Mapping[str, str] = RAW_FILES,
     *, sensor_rows: int | None = None,
@@ -119,11 +113,41 @@ def create_views(lake: Lake) -> list[str]:
     return sorted(views)
 
 
+# Lasting views of the mart layer: the table they read and what they show of it.
+LASTING_VIEWS = {
+    "v_dataset_oee_operational": ("mart", "fact_oee_daily_line"),
+    "v_dataset_quality_decision": ("mart", "fact_quality_daily"),
+    "v_dataset_sensor_hourly": ("mart", "fact_sensor_hourly"),
+    "v_dataset_dq_governance": ("clean", "dq_issue_log"),
+}
+
+
+def register_all(lake: Lake, audits: Mapping[str, Mapping[str, int]]) -> None:
+    """Catalog entries of all written tables, and views that outlive the session."""
+    layers = {"ingest_raw_data": "raw", "clean_and_validate": "clean", "build_feature_marts": "mart"}
+    for step, layer in layers.items():
+        for table in audits.get(step, ()):
+            lake.register(layer, table)
+    for view, (layer, table) in LASTING_VIEWS.items():
+        columns = dashboard.DATASET_COLUMNS[view]
+        grouped = "issue_count" in columns
+        shown = ", ".join("count(*) as issue_count" if c == "issue_count" else c for c in columns)
+        by = f" group by {', '.join(c for c in columns if c != 'issue_count')}" if grouped else ""
+        lake.spark.sql(
+            f"CREATE OR REPLACE VIEW `{lake.database('mart')}`.`{view}` AS "
+            f"SELECT {shown} FROM `{lake.database(layer)}`.`{table}`{by}")
+
+
 def run_all(
     spark: SparkSession, source: str, lake: Lake, files: Mapping[str, str] = RAW_FILES, *,
-    parity: bool = False, sensor_rows: int | None = None, issue_cap: int | None = None,
+    parity: bool = False, sensor_rows: int | None = None, issue_cap: int | None = None, register: bool = False,
 ) -> dict[str, DataFrame]:
-    """Ingest, clean, build marts, register views; returns the row-count audits."""
+    """Ingest, clean, build marts, create views; returns the row-count audits.
+
+    ``sensor_rows`` caps the rows taken of the sensor export and ``issue_cap``
+    the issues logged per rule; both are off by default.  ``register`` also
+    enters tables and views in the catalog, where ``lake.tables()`` lists them.
+    """
     configure(spark)
     size_shuffles(spark, source)
     steps = {
@@ -131,11 +155,14 @@ def run_all(
         "clean_and_validate": lambda: build_clean(lake, parity=parity, issue_cap=issue_cap),
         "build_feature_marts": lambda: build_marts(lake),
     }
-    audits = {}
+    audits, counted = {}, {}
     for step, run in steps.items():
         audits[step] = run()
         # The audit is one row per table, so its size does not grow with the data.
         counts = {r["table_name"]: r["row_count"] for r in audits[step].collect()}
         lake.log(step, "ok", {"status": "ok", "tables": counts})
+        counted[step] = counts
     create_views(lake)
+    if register:
+        register_all(lake, counted)
     return audits

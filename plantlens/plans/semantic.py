@@ -6,6 +6,7 @@ A metric is a SQL aggregate over the columns of a dataset; evaluating it is a
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
@@ -16,6 +17,8 @@ from pyspark.sql import functions as F
 from ..operators.access import visible_to
 from ..operators.quality_rules import first
 
+logger = logging.getLogger(__name__)
+
 
 @dataclass(frozen=True)
 class Dataset:
@@ -259,6 +262,7 @@ def unresolved_metrics(datasets: Mapping[str, DataFrame]) -> list[str]:
                 raise KeyError(metric.dataset_name)
             evaluate(df, [metric]).schema
         except Exception:
+            logger.exception("metric %s does not resolve", metric.metric_name)
             broken.append(metric.metric_name)
     return broken
 

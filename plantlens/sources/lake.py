@@ -1,19 +1,29 @@
-"""Layered Parquet tables (raw, clean, mart, lab), run log, upsert, audit."""
+"""Layered Parquet tables (raw, clean, mart, lab), run log, upsert, audit.
+
+A table is a folder of versions ``v1``, ``v2``, ...  An overwrite writes a new
+version; it counts from the moment Spark commits it (``_SUCCESS``), so a write
+that fails or is cut off leaves the table as it was.  The version before the
+current one stays for readers that still use it, older ones are deleted.
+
+A table that a stream merges into may have parts (``part-0``, ...), each with
+versions of its own, so that a merge rewrites only the parts it touches.
+"""
 
 from __future__ import annotations
 
 import json
+import logging
+import re
 import uuid
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+logger = logging.getLogger(__name__)
 
 LAYERS = ("raw", "clean", "mart", "lab")
 
@@ -29,20 +39,46 @@ class Lake:
     def __init__(self, spark: SparkSession, root: str, prefix: str = ""):
         self.spark, self.root, self.prefix = spark, root.rstrip("/"), prefix
 
-    def path(self, layer: str, table: str) -> str:
+    def folder(self, layer: str, table: str) -> str:
         if layer not in LAYERS:
             raise ValueError(f"unknown layer {layer!r}")
         return f"{self.root}/{layer}/{table}"
 
-    def read(self, layer: str, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(layer, table))
+    # -- versions ----------------------------------------------------------
+
+    def _children(self, folder: str) -> list[str]:
+        """Names in a folder of any file system that Spark reads; none if it doesn't exist."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        fs = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        return [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+
+    def _delete(self, folder: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def _versions(self, folder: str) -> tuple[list[int], int]:
+        """Committed versions in ascending order, and the highest number in use."""
+        numbers = sorted(int(n[1:]) for n in self._children(folder) if re.fullmatch(r"v\d+", n))
+        done = [n for n in numbers if "_SUCCESS" in self._children(f"{folder}/v{n}")]
+        return done, max(numbers, default=0)
+
+    def parts(self, layer: str, table: str) -> list[str]:
+        return sorted(n for n in self._children(self.folder(layer, table)) if re.fullmatch(r"part-\d+", n))
+
+    def paths(self, layer: str, table: str) -> list[str]:
+        """Current version of a table, or of each of its parts; none if it was never written."""
+        folder = self.folder(layer, table)
+        roots = [folder, *(f"{folder}/{part}" for part in self.parts(layer, table))]
+        current = [(root, self._versions(root)[0]) for root in roots]
+        return [f"{root}/v{done[-1]}" for root, done in current if done]
 
     def exists(self, layer: str, table: str) -> bool:
-        try:
-            self.read(layer, table)
-        except AnalysisException:
-            return False
-        return True
+        """Whether a version was committed; a folder that can't be listed raises."""
+        return bool(self.paths(layer, table))
+
+    def read(self, layer: str, table: str) -> DataFrame:
+        paths = self.paths(layer, table)
+        return self.spark.read.parquet(*(paths or [self.folder(layer, table)]))
 
     def write(
         self, layer: str, table: str, df: DataFrame, *,
@@ -50,9 +86,11 @@ class Lake:
     ) -> DataFrame:
         """Write and read back; ``overwrite`` is the full refresh.
 
-        ``sort_by`` orders rows inside each file (no shuffle), which lets the
-        column indexes skip pages on a range filter; it suits marts that hold
-        too few rows per value for folders of their own.
+        ``df`` may read the table itself: the new version stands beside the old.
+
+        ``sort_by`` deals rows to tasks by ranges and orders them inside each
+        file, so a range filter opens few files; it suits marts that hold too
+        few rows per value for folders of their own.
 
         With partition columns the rows are rebalanced on them first: one task
         per value instead of every task writing every value, and AQE splits the
@@ -60,11 +98,22 @@ class Lake:
         """
         rows = df.hint("rebalance", *partition_by) if partition_by else df
         if sort_by:
+            if not partition_by:
+                rows = rows.repartitionByRange(*sort_by)
             rows = rows.sortWithinPartitions(*partition_by, *sort_by)
-        writer = rows.write.mode(mode)
+        folder = self.folder(layer, table)
+        done, highest = self._versions(folder)
+        target = f"{folder}/v{done[-1]}" if mode == "append" and done else f"{folder}/v{highest + 1}"
+        writer = rows.write.mode("append" if mode == "append" else "errorifexists")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(self.path(layer, table))
+        writer.parquet(target)
+        if mode != "append":
+            for old in done[:-1]:
+                self._delete(f"{folder}/v{old}")
+            name = f"{self.database(layer)}.{table}"
+            if self.spark.catalog.databaseExists(self.database(layer)) and self.spark.catalog.tableExists(name):
+                self.register(layer, table)
         return self.read(layer, table)
 
     def write_all(
@@ -86,21 +135,9 @@ class Lake:
     def append(self, layer: str, table: str, df: DataFrame) -> DataFrame:
         return self.write(layer, table, df, mode="append")
 
-    def write_bucketed(
-        self, layer: str, table: str, df: DataFrame, keys: Sequence[str], buckets: int
-    ) -> DataFrame:
-        """Catalog table bucketed on join keys, so joins on them do not shuffle."""
-        name = f"{self.database(layer)}.{table}"
-        self.create_database(layer)
-        (df.repartition(buckets, *keys).write.mode("overwrite").format("parquet")
-           .option("path", self.path(layer, table))
-           .bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name))
-        return self.spark.table(name)
-
     def upsert(self, layer: str, table: str, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
-        """Replace rows by key, add new ones; cut from the old files before overwriting."""
-        merged = upsert(self.read(layer, table), updates, keys)
-        return self.write(layer, table, cut_lineage(merged))
+        """Replace rows by key, add new ones, as a new version."""
+        return self.write(layer, table, upsert(self.read(layer, table), updates, keys))
 
     # -- catalog ---------------------------------------------------------
 
@@ -117,7 +154,8 @@ class Lake:
         self.create_database(layer)
         name = f"`{self.database(layer)}`.`{table}`"
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-        self.spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{self.path(layer, table)}'")
+        current, = self.paths(layer, table)
+        self.spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{current}'")
         if any(c.isPartition for c in self.spark.catalog.listColumns(name.replace("`", ""))):
             self.spark.sql(f"MSCK REPAIR TABLE {name}")
         return name
@@ -134,11 +172,12 @@ class Lake:
     # -- run log ---------------------------------------------------------
 
     def log(self, step: str, status: str, detail: Mapping) -> bool:
-        """Append a run record; a failed append never fails the step itself."""
+        """Append a run record; a failed append is logged and never fails the step itself."""
         try:
             self.append("lab", "run_log", run_record(self.spark, step, status, detail))
             return True
         except Exception:
+            logger.exception("run record of %s was not written", step)
             return False
 
 

@@ -76,17 +76,20 @@ def alarm_stream(alarms: DataFrame, threshold: int = 2, lateness: str = "1 day")
     )
 
 
-def drain(stream: DataFrame, label: str) -> DataFrame:
+def drain(
+    stream: DataFrame, label: str, *, checkpoint: str | None = None, target: str | None = None,
+) -> DataFrame:
     """Process everything available into Parquet and read it back.
 
-    Checkpoint and output are fresh paths in the shared folder, so the run
-    restarts from its checkpoint if executors are lost.
+    With a ``checkpoint`` and a ``target`` of the caller's, a later call (or a
+    restart after a failure) goes on where the last one stopped and adds to the
+    same output.  Otherwise both are fresh paths in the shared folder.
     """
     spark = stream.sparkSession
-    target = scratch_path(spark, f"{label}-out")
+    target = target or scratch_path(spark, f"{label}-out")
     query = (
         stream.writeStream.outputMode("append").format("parquet")
-        .option("checkpointLocation", scratch_path(spark, f"{label}-ckpt"))
+        .option("checkpointLocation", checkpoint or scratch_path(spark, f"{label}-ckpt"))
         .trigger(availableNow=True)
         .start(target)
     )
@@ -94,18 +97,28 @@ def drain(stream: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(target)
 
 
-def upsert_latest(stream: DataFrame, lake, layer: str, table: str, keys: list[str], order: list[str], checkpoint: str):
+def upsert_latest(
+    stream: DataFrame, lake, layer: str, table: str, keys: list[str], order: list[str], checkpoint: str, *, parts: int = 16,
+):
     """Keep the newest record per key of an unbounded stream in a layer table.
 
     Latest-record dedup has no append form; each batch is merged with the rows
-    already kept, so a late older record does not replace a newer one.
+    already kept, so a late older record does not replace a newer one.  The
+    table lies in ``parts`` by key hash (fixed for the table's life); a batch
+    reads and rewrites only the parts that it has rows for, each as a new
+    version.  Merging a batch twice gives the same rows, so a restart between
+    two parts is harmless.
     """
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
-        rows = batch
-        if lake.exists(layer, table):
-            rows = lake.read(layer, table).unionByName(batch)
-        lake.write(layer, table, cut_lineage(keep_last(rows, keys, order)))
+        part = F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int")
+        newest = cut_lineage(keep_last(batch, keys, order).withColumn("_part", part))
+        for row in newest.select("_part").distinct().collect():  # at most ``parts``
+            name = f"{table}/part-{row['_part']}"
+            rows = newest.where(F.col("_part") == row["_part"]).drop("_part")
+            if lake.exists(layer, name):
+                rows = keep_last(lake.read(layer, name).unionByName(rows), keys, order)
+            lake.write(layer, name, rows)
 
     return (
         stream.writeStream.foreachBatch(merge)

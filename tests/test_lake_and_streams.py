@@ -68,12 +68,30 @@ def test_catalog_listing(spark, lake):
     assert spark.table(f"{lake.database('raw')}.a").count() == 3
 
 
-def test_bucketed_join_does_not_shuffle(spark, lake, conf):
-    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false")
-    left = lake.write_bucketed("clean", "l", spark.range(100).withColumn("x", F.lit(1)), ["id"], 4)
-    right = lake.write_bucketed("clean", "r", spark.range(100).withColumn("y", F.lit(2)), ["id"], 4)
-    joined = left.join(right, "id", "left")
-    assert joined.count() == 100 and "Exchange" not in plan(joined)
+def test_failed_writes_leave_the_table(spark, lake):
+    """A task that fails midway, an upsert that fails, and a version that was cut off."""
+    lake.write("lab", "m", spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"))
+    kept = [(1, "a"), (2, "b")]
+    broken = spark.range(4, numPartitions=4).select(
+        F.col("id").cast("int").alias("k"),
+        F.when(F.col("id") == 3, F.raise_error(F.lit("midway")).cast("string")).otherwise("x").alias("v"))
+    for attempt in (lambda: lake.write("lab", "m", broken), lambda: lake.upsert("lab", "m", broken, ["k"])):
+        with pytest.raises(Exception, match="midway"):
+            attempt()
+        assert sorted(map(tuple, lake.read("lab", "m").collect())) == kept
+    highest = max(int(n[1:]) for n in lake._children(lake.folder("lab", "m")))
+    spark.range(1).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(
+        f"{lake.folder('lab', 'm')}/v{highest + 1}")
+    assert sorted(map(tuple, lake.read("lab", "m").collect())) == kept
+    lake.write("lab", "m", lake.read("lab", "m").where("k = 1"))
+    assert [tuple(r) for r in lake.read("lab", "m").collect()] == [(1, "a")]
+
+
+def test_registered_table_follows_its_versions(spark, lake):
+    lake.write("raw", "a", spark.range(3))
+    name = lake.register("raw", "a")
+    lake.write("raw", "a", spark.range(5))
+    assert spark.table(name).count() == 5
 
 
 def plan(df):
@@ -128,8 +146,13 @@ def test_full_refresh_and_rerun(spark, tmp_path, lake):
     for table, text in FILES.items():
         put(tmp_path / "src" / csv_source.RAW_FILES[table], text)
     for _ in range(2):  # a second run replaces everything
-        audits = refresh.run_all(spark, str(tmp_path / "src"), lake, issue_cap=refresh.ISSUE_CAP,
-                                 sensor_rows=refresh.SENSOR_ROW_CAP)
+        audits = refresh.run_all(spark, str(tmp_path / "src"), lake, issue_cap=500, sensor_rows=200_000,
+                                 register=True)
+    listed = {tuple(r) for r in lake.tables().collect()}
+    assert {("raw", "work_order"), ("clean", "dq_issue_log"), ("mart", "fact_oee_daily_line"),
+            ("mart", "v_dataset_oee_operational"), ("mart", "v_dataset_dq_governance")} <= listed
+    view = spark.table(f"{lake.database('mart')}.v_dataset_dq_governance")
+    assert view.agg(F.sum("issue_count")).first()[0] == 3
     clean_rows = {r["table_name"]: r["row_count"] for r in audits["clean_and_validate"].collect()}
     assert (clean_rows["work_order"], clean_rows["production_run"], clean_rows["sensor_reading"]) == (1, 1, 2)
     oee = lake.read("mart", "fact_oee_daily_line").first()
@@ -182,6 +205,38 @@ def test_latest_record_stream(spark, lake, tmp_path):
     assert sorted(map(tuple, lake.read("clean", "latest").collect())) == [(1, 3, "new"), (2, 5, "y"), (3, 1, "z")]
 
 
+def test_latest_record_stream_rewrites_touched_parts_only(spark, lake, tmp_path):
+    schema, source = "k int, at int", str(tmp_path / "s")
+    stream = lambda: spark.readStream.schema(schema).parquet(source)
+    args = (lake, "clean", "latest", ["k"], ["at"], str(tmp_path / "c"))
+    spark.range(100).selectExpr("cast(id as int) k", "1 at").coalesce(1).write.mode("append").parquet(source)
+    telemetry.upsert_latest(stream(), *args, parts=8).awaitTermination()
+    before = set(lake.paths("clean", "latest"))
+    spark.createDataFrame([(5, 2)], schema).coalesce(1).write.mode("append").parquet(source)
+    telemetry.upsert_latest(stream(), *args, parts=8).awaitTermination()
+    assert len(before) == 8 and len(before - set(lake.paths("clean", "latest"))) == 1
+    assert lake.read("clean", "latest").where("k = 5").first()["at"] == 2 and lake.read("clean", "latest").count() == 100
+
+
+def test_drain_goes_on_where_it_stopped(spark, tmp_path):
+    source, schema = str(tmp_path / "s"), "k int"
+    places = dict(checkpoint=str(tmp_path / "c"), target=str(tmp_path / "t"))
+    for k in (1, 2):
+        spark.createDataFrame([(k,)], schema).write.mode("append").parquet(source)
+        got = telemetry.drain(spark.readStream.schema(schema).parquet(source), "d", **places)
+    assert sorted(r["k"] for r in got.collect()) == [1, 2]
+
+
+def test_date_filter_opens_few_files(spark, lake, conf):
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    hours = spark.range(0, 24 * 400, numPartitions=8).select(
+        F.timestamp_seconds(F.col("id") * 3600).alias("sensor_hour"), (F.col("id") % 7).alias("machine_id"))
+    mart = lake.write("mart", "hours", hours.repartition(8), sort_by=["sensor_hour"])
+    files = mart.select(F.input_file_name().alias("f"), "sensor_hour")
+    day = F.col("sensor_hour").between(F.lit("1970-03-01").cast("timestamp"), F.lit("1970-03-02").cast("timestamp"))
+    assert files.select("f").distinct().count() >= 4 and files.where(day).select("f").distinct().count() <= 2
+
+
 def test_shuffle_width():
     tera = 1 << 40
     assert session.shuffle_partitions_for(1000, 8) == 8
