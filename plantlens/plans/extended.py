@@ -80,9 +80,9 @@ def date_span(df: DataFrame, column: str, name: str = "date") -> DataFrame:
     return bounds.select(F.explode(F.sequence("lo", "hi")).alias(name))
 
 
-def calendar(df: DataFrame, column: str) -> DataFrame:
+def calendar(df: DataFrame, column: str, holidays: Sequence[str] = HOLIDAYS) -> DataFrame:
     """Calendar dimension over the dates a fact table spans."""
-    return date_span(df, column, "_day").select(*calendar_columns("_day"))
+    return date_span(df, column, "_day").select(*calendar_columns("_day", holidays))
 
 
 def daily_demand(sales_orders: DataFrame) -> DataFrame:
