@@ -37,41 +37,42 @@ ENTITY_MAP = (
 )
 
 
-def audit_relation(relation: Relation, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Row counts of one relation.
+def audit_relations(
+    tables: Mapping[str, DataFrame], relations: Sequence[Relation] = ENTITY_MAP
+) -> DataFrame:
+    """Row counts of every relation whose two tables are present.
 
-    Keys of both sides are stacked and counted together: one shuffle with
-    map-side combine, no join, and a hot key costs one row per task.
+    Each table is read once: a row gives its keys for all relations it takes
+    part in.  The keys of both sides are counted together by relation and key:
+    one shuffle with map-side combine, no join, and a hot key costs one row per
+    task.
     """
-    def side(table: str, key: str, child: int) -> DataFrame:
-        return tables[table].select(
-            F.col(key).alias("_k"), F.lit(child).alias("_child"), F.lit(1 - child).alias("_parent"))
-
-    keys = side(relation.child, relation.child_key, 1).unionByName(
-        side(relation.parent, relation.parent_key, 0)
-    ).groupBy("_k").agg(F.sum("_child").alias("_n"), F.max("_parent").alias("_found"))
+    known = [r for r in relations if r.parent in tables and r.child in tables]
+    spark = tables[known[0].child].sparkSession
+    stacked = []
+    for table in dict.fromkeys(t for r in known for t in (r.child, r.parent)):
+        sides = [(i, r.child_key, 1) for i, r in enumerate(known) if r.child == table]
+        sides += [(i, r.parent_key, 0) for i, r in enumerate(known) if r.parent == table]
+        keys = [F.struct(F.lit(i).alias("_relation"), F.col(k).cast("string").alias("_k"), F.lit(child).alias("_child"))
+                for i, k, child in sides]
+        stacked.append(tables[table].select(F.explode(F.array(*keys)).alias("_side")).select("_side.*"))
+    keys = reduce(DataFrame.unionByName, stacked).groupBy("_relation", "_k").agg(
+        F.sum("_child").alias("_n"), F.max(F.lit(1) - F.col("_child")).alias("_found"))
     missing = F.col("_k").isNull()
     orphan = ~missing & (F.col("_found") == 0)
-    total = lambda condition: F.coalesce(F.sum(F.when(condition, F.col("_n"))), F.lit(0).cast("bigint"))
-    return keys.agg(
-        total(F.lit(True)).alias("child_rows"),
+    total = lambda condition: F.sum(F.when(condition, F.col("_n")))
+    counted = keys.groupBy("_relation").agg(
+        F.sum("_n").alias("child_rows"),
         total(missing).alias("missing_key_rows"),
         total(orphan).alias("orphan_rows"),
         F.count_if(orphan).alias("orphan_keys"),
-    ).select(
-        F.lit(relation.parent).alias("from_table"),
-        F.lit(relation.child).alias("to_table"),
-        F.lit(relation.child_key).alias("to_key"),
-        "child_rows", "missing_key_rows", "orphan_rows", "orphan_keys",
     )
-
-
-def audit_relations(
-    tables: Mapping[str, DataFrame], relations: Sequence[Relation] = ENTITY_MAP
-) -> DataFrame:
-    """Every relation whose two tables are present."""
-    known = [r for r in relations if r.parent in tables and r.child in tables]
-    return reduce(DataFrame.unionByName, [audit_relation(r, tables) for r in known])
+    listed = spark.createDataFrame(
+        [(i, r.parent, r.child, r.child_key) for i, r in enumerate(known)],
+        "_relation int, from_table string, to_table string, to_key string")
+    counts = ("child_rows", "missing_key_rows", "orphan_rows", "orphan_keys")
+    return listed.join(counted, "_relation", "left").select(
+        "from_table", "to_table", "to_key", *[F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in counts])
 
 
 def over_shipped_lines(sales_orders: DataFrame, shipments: DataFrame) -> DataFrame:

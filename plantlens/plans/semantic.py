@@ -10,6 +10,7 @@ import logging
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -235,6 +236,21 @@ def secured(
     return df
 
 
+def visible_rows(
+    datasets: Mapping[str, DataFrame], user_plants: DataFrame, users: Sequence[str],
+) -> DataFrame:
+    """Rows of each policy dataset that each user sees, from one pass over each dataset."""
+    granted = user_plants.filter(F.col("username").isin(*users)).select("username", "plant_id").distinct()
+    listed = user_plants.sparkSession.createDataFrame([(u,) for u in users], "username string")
+    parts = []
+    for name, df in datasets.items():
+        by_plant = df.groupBy("plant_id").agg(F.count(F.lit(1)).alias("_n"))
+        seen = by_plant.join(granted, "plant_id").groupBy("username").agg(F.sum("_n").alias("_n"))
+        parts.append(listed.join(seen, "username", "left").select(
+            F.lit(name).alias("dataset_name"), "username", F.coalesce("_n", F.lit(0).cast("bigint")).alias("visible_rows")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def dashboard_filter(
     *, time_column: str | None = None, start: date | None = None, end: date | None = None,
     plants: Sequence[str] = (), lines: Sequence[str] = (), families: Sequence[str] = (),

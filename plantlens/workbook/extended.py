@@ -87,15 +87,13 @@ def b06(shop):
 
 
 @query("b07_quality_risk", """
-select f.run_id, f.product_id, f.defect_rate, f.high_defect_risk, p.primary_supplier_id as supplier_id,
+select f.*, p.primary_supplier_id as supplier_id,
  s.quality_score as supplier_quality_score, r.operator_id, o.fairness_group as operator_fairness_group
 from m_features f left join c_production_run r on f.run_id=r.run_id left join product_master p on f.product_id=p.product_id
 left join supplier_master s on p.primary_supplier_id=s.supplier_id left join operator_master o on r.operator_id=o.operator_id""")
 def b07(shop):
     return extended.quality_risk(
-        shop.features, shop.runs, shop.raw("product_master"), shop.raw("supplier_master"), shop.raw("operator_master")
-    ).select("run_id", "product_id", "defect_rate", "high_defect_risk", "supplier_id",
-             "supplier_quality_score", "operator_id", "operator_fairness_group")
+        shop.features, shop.runs, shop.raw("product_master"), shop.raw("supplier_master"), shop.raw("operator_master"))
 
 
 @query("b08_delivery_risk", """

@@ -42,10 +42,10 @@ def j03(shop):
 
 
 @query("j04_feature_star", """
-select run_id, product_id, product_family, complexity_score, machine_age_years, criticality, defect_rate, high_defect_risk from m_features""")
+select * from m_features where product_family is not null""")
 def j04(shop):
-    return shop.features.select("run_id", "product_id", "product_family", "complexity_score",
-                                "machine_age_years", "criticality", "defect_rate", "high_defect_risk")
+    """The whole star, sensors included, of the runs whose product is known."""
+    return shop.features.filter(F.col("product_family").isNotNull())
 
 
 @query("j05_run_machine_day", """
@@ -371,14 +371,16 @@ def l06(shop):
     for user in ("admin", "plant_p01_user", "stranger")))
 def l07(shop):
     """Visible rows per policy dataset for an admin, a plant user, a stranger."""
-    parts = None
-    for dataset in (semantic.OEE, semantic.QUALITY, semantic.SENSOR):
-        for user in ("admin", "plant_p01_user", "stranger"):
-            seen = semantic.secured(dataset, shop.dataset(dataset), shop.user_plants, user).agg(
-                F.lit(dataset).alias("dataset_name"), F.lit(user).alias("username"),
-                F.count(F.lit(1)).alias("visible_rows"))
-            parts = seen if parts is None else parts.unionByName(seen)
-    return parts
+    datasets = {name: shop.dataset(name) for name in (semantic.OEE, semantic.QUALITY, semantic.SENSOR)}
+    return semantic.visible_rows(datasets, shop.user_plants, ["admin", "plant_p01_user", "stranger"])
+
+
+@query("l07_secured_dataset", f"""
+select * from m_quality where plant_id in (select plant_id from {_USER_PLANTS} where username='plant_p01_user')""")
+def l07_secured(shop):
+    """The quality dataset as a plant user sees it."""
+    columns = shop.quality.columns
+    return semantic.secured(semantic.QUALITY, shop.quality, shop.user_plants, "plant_p01_user").select(*columns)
 
 
 @query("l08_metric_listing", f"""
