@@ -135,15 +135,23 @@ def table_issues(
     return reduce(DataFrame.unionByName, parts)
 
 
+CAP_PARTS = 64  # parts of a rule's issues that are ranked on their own
+
+
 def capped(issues: DataFrame, order: Sequence[str], cap: int) -> DataFrame:
     """First ``cap`` issues per rule in row order.
 
-    The rank filter prunes to ``cap`` rows per rule and task before the shuffle,
-    so the few rule groups stay small whatever the issue count.
+    Ranked within salted parts of a rule first, so at most ``CAP_PARTS * cap``
+    rows of a rule meet for the final rank, whatever the cap and the count.
     """
-    window = Window.partitionBy("rule_id").orderBy(*[F.col(c).asc_nulls_last() for c in order])
-    ranked = issues.withColumn("_rank", F.row_number().over(window))
-    return ranked.filter(F.col("_rank") <= cap).drop("_rank")
+    position = [F.col(c).asc_nulls_last() for c in order]
+
+    def ranked(rows: DataFrame, *parts: str) -> DataFrame:
+        rank = F.row_number().over(Window.partitionBy("rule_id", *parts).orderBy(*position))
+        return rows.withColumn("_rank", rank).filter(F.col("_rank") <= cap).drop("_rank")
+
+    salted = issues.withColumn("_part", F.pmod(F.xxhash64(*order), F.lit(CAP_PARTS)))
+    return ranked(ranked(salted, "_part")).drop("_part")
 
 
 def issue_log(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -71,8 +71,22 @@ def read_csv(
 
 
 def first_rows(df: DataFrame, n: int, order: Sequence[str] = INGEST_ORDER) -> DataFrame:
-    """The first ``n`` records in file order (a plain limit takes any rows)."""
-    return df.orderBy(*order).limit(n)
+    """The first ``n`` records in file order (a plain limit takes any rows).
+
+    Blocks (file, split) are counted first; only those that reach into the
+    first ``n`` rows go on, and only the last of them is cut by rank, so no
+    task gets more rows than a block has.
+    """
+    *block, row = order
+    sizes = df.groupBy(*block).agg(F.count(F.lit(1)).alias("_size"))
+    earlier = F.sum("_size").over(Window.orderBy(*block).rowsBetween(Window.unboundedPreceding, -1))
+    reached = sizes.withColumn("_before", F.coalesce(earlier, F.lit(0))).filter(F.col("_before") < n)
+    placed = df.join(reached, block)
+    within = placed.filter(F.col("_before") + F.col("_size") <= n)
+    rank = F.row_number().over(Window.partitionBy(*block).orderBy(row))
+    last = placed.filter(F.col("_before") + F.col("_size") > n).withColumn("_rank", rank).filter(
+        F.col("_rank") <= n - F.col("_before")).drop("_rank")
+    return within.unionByName(last).select(*df.columns).orderBy(*order)
 
 
 def read_documents(spark: SparkSession, path: str, schema: T.StructType = DOCUMENT_SCHEMA) -> DataFrame:

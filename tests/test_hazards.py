@@ -250,7 +250,7 @@ def test_limits(spark):
     df = spark.range(3000)
     assert dashboard.top(df, ["id"]).count() == 3000 and dashboard.top(df, ["id"], 2500).count() == 2500
     assert dashboard.page(df, ["id"], 0).count() == 1 and dashboard.page(df, ["id"], 9999).count() == 2000
-    for refused in (lambda: dashboard.top(df, ["id"], 0), lambda: qr.ranked_summary(df, 0), lambda: qr.ranked_issues(df, -1)):
+    for refused in (lambda: dashboard.top(df, ["id"], 0), lambda: qr.first(df, 0), lambda: qr.first(df, -1)):
         with pytest.raises(ValueError, match="limit"):
             refused()
 
