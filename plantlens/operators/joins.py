@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .dedup import spread
+
 
 def left_join_many(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join whose right side may hold most of its rows under one key.
@@ -19,12 +21,15 @@ def left_join_many(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Da
 
     Rows without a key match nothing and pass by both joins; with the same
     filter in front of them the two joins share one shuffle of the left side.
+    A key that is hot on the left is split in both.
     """
     keys = list(keys)
     complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     keyed = left.filter(complete)
     matched = keyed.join(right, keys, "inner")
-    unmatched = keyed.join(right.select(*keys).distinct(), keys, "left_anti")
+    # Grouped by their hash too, so the join shuffles the keys again and can split the left side.
+    known = right.select(spread(keys).alias("_spread"), *keys).distinct().drop("_spread")
+    unmatched = keyed.join(known, keys, "left_anti")
     return matched.unionByName(
         unmatched.unionByName(left.filter(~complete)), allowMissingColumns=True
     )

@@ -243,7 +243,7 @@ def test_registries_resolve(spark):
         "superset_dataset_registry": 5, "superset_metric_layer": 12, "superset_chart_registry": 6,
         "superset_dashboard_registry": 2, "superset_rls_policy_registry": 3}
     assert semantic.dashboard_charts(spark).count() == 7
-    assert column(semantic.listing(spark, "superset_metric_layer", 0), "metric_name") == ["dq_issue_count"]
+    assert column(semantic.listing(spark, "superset_metric_layer", 1), "metric_name") == ["dq_issue_count"]
 
 
 def test_limits(spark):

@@ -68,7 +68,8 @@ def test_hot_work_order_is_split(spark, tight):
 def test_hot_order_line_is_split(spark, tight):
     shipped = facts(spark).select(F.col("k").alias("sales_order_id"), F.lit(1).alias("order_line_id"),
                                   F.col("pad").alias("ship_date"), F.lit(1.0).alias("shipped_quantity"),
-                                  F.lit(1).alias("late_delivery_flag"), F.lit("x").alias("root_cause"))
+                                  F.lit(1).alias("late_delivery_flag"), F.lit("x").alias("root_cause"),
+                                  F.lit(0.5).alias("delay_days"))
     orders = spark.range(200_000).select(
         F.col("id").alias("sales_order_id"), F.lit(1).alias("order_line_id"),
         *[F.lit(1.0).alias(c) for c in ("customer_id", "product_id", "order_date", "promised_delivery_date",
@@ -76,6 +77,14 @@ def test_hot_order_line_is_split(spark, tight):
     assert "skew=true" in finished(marts.delivery_order(orders, shipped))
 
 
+def test_hot_machine_day_is_split(spark, tight):
+    hourly = spark.range(200_000).select(
+        F.lit("2026-01-01 08:00:00").cast("timestamp").alias("sensor_hour"), F.col("id").alias("machine_id"),
+        *[F.lit(1.0).alias(c) for c in ("avg_temperature_c", "max_vibration_mm_s", "sensor_valid_rate")])
+    runs = facts(spark).select(F.col("k").alias("machine_id"), F.to_date(F.lit("2026-01-01")).alias("sensor_date"), "pad")
+    assert "skew=true" in finished(runs.join(marts.machine_day(hourly), ["sensor_date", "machine_id"], "left"))
+
+
 def test_masters_broadcast_only_below_the_threshold(spark, conf):
     shop = Shop(spark, SMALL)
     assert "BroadcastHashJoin" in plan(shop.features)
