@@ -21,10 +21,9 @@ RUNTIME = {
 }
 
 SHUFFLE_TARGET_BYTES = 256 * 1024 * 1024
-SHUFFLE_CEILING = 40_000
+SHUFFLE_CEILING = 100_000
 
 _scratch_roots: dict[str, str] = {}
-_input_bytes: dict[tuple[str, str], int] = {}
 
 
 def build_session(app_name: str = "plantlens", master: str | None = None, **conf: str) -> SparkSession:
@@ -50,24 +49,22 @@ def shuffle_partitions_for(input_bytes: int, parallelism: int) -> int:
 
     AQE merges small reduce partitions but never adds any, so the initial
     number has to fit the data: about 256 MB per partition, at least one per
-    core, and a ceiling that keeps map-output metadata manageable.
+    core, and a ceiling that keeps map-output metadata in the driver's memory
+    (1 GB of input per partition at 100 TB, of which a shuffle moves a part).
     """
     wanted = math.ceil(input_bytes / SHUFFLE_TARGET_BYTES)
     return max(parallelism, min(wanted, SHUFFLE_CEILING))
 
 
 def input_bytes(spark: SparkSession, path: str, pattern: str = "*") -> int:
-    """Total file size under ``path``; only file metadata is read."""
-    key = (spark.sparkContext.applicationId, f"{path}|{pattern}")
-    if key not in _input_bytes:
-        files = (
-            spark.read.format("binaryFile")
-            .option("pathGlobFilter", pattern)
-            .option("recursiveFileLookup", "true")
-            .load(path)
-        )
-        _input_bytes[key] = int(files.agg(F.sum("length")).first()[0] or 0)
-    return _input_bytes[key]
+    """Total file size under ``path`` as it is now; only file metadata is read."""
+    files = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", pattern)
+        .option("recursiveFileLookup", "true")
+        .load(path)
+    )
+    return int(files.agg(F.sum("length")).first()[0] or 0)
 
 
 def size_shuffles(spark: SparkSession, path: str, pattern: str = "*") -> int:
