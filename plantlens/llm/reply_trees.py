@@ -66,10 +66,11 @@ def _links(nodes: DataFrame) -> list[DataFrame]:
     while reach < total and not level.where("up is not null").isEmpty():
         far = level.select(F.col("conv_id").alias("_c"), F.col("node").alias("_n"),
                            F.col("up").alias("_up"), F.col("gained").alias("_gained"))
-        level = written(level.join(
-            far, F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("up") == F.col("_n")), "left"
-        ).select("conv_id", "node", F.col("_up").alias("up"),
-                 (F.col("gained") + F.coalesce("_gained", F.lit(0.0))).alias("gained")), "reply-links")
+        # Only links that aren't past their root yet go on.
+        longer = level.where("up is not null").join(
+            far, F.col("conv_id").eqNullSafe(F.col("_c")) & (F.col("up") == F.col("_n"))
+        ).select("conv_id", "node", F.col("_up").alias("up"), (F.col("gained") + F.col("_gained")).alias("gained"))
+        level = written(level.where("up is null").union(longer), "reply-links")
         levels.append(level)
         reach *= 2
     return levels
