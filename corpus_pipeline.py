@@ -29,8 +29,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without recurring messages; a document that loses all of its text goes."""
-    cut = line_templates.dedup_lines(docs).where(~((F.col("n_dropped") > 0) & (F.col("text") == "")))
+    """Texts without recurring messages and lines; a document that loses all of its text goes."""
+    cut = line_templates.dedup_lines(docs, whole_lines=True).where(~((F.col("n_dropped") > 0) & (F.col("text") == "")))
     if "n_chars" in docs.columns:
         cut = cut.withColumn(
             "n_chars", F.when(F.col("n_dropped") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))

@@ -12,8 +12,13 @@ So a message has one or three templates, and a template's key needs no
 neighbour to be computed.  A template recurs if it stands in two different
 texts or more.  Its messages are dropped everywhere but in the text of least
 hash, so the passage stays once; copies of a text count as one text and are
-treated alike.  Messages of fewer than ``LEAST`` tokens are dropped only
-between two dropped ones.
+treated alike.  Messages of fewer than ``LEAST`` tokens have no template of
+their own and are dropped between two dropped longer ones.
+
+With ``whole_lines``, which the query and the pipeline ask for, a line of any
+length is a template too: its number of tokens and all of them, with the same
+wildcards; a line of wildcards only has to agree in its characters.  A line
+that recurs loses all its messages in the same way.
 
 The counts are minima and maxima of text hashes by key, so they combine before
 the shuffle and a line that a third of all documents hold is a few rows.  The
@@ -51,22 +56,24 @@ def messages(data: np.ndarray, offsets: np.ndarray):
     """Token bounds and messages of some texts.
 
     Returns token starts and ends, masked token hashes, each message's first
-    token (one entry more than messages), and each text's first message.
+    token (one entry more than messages), each text's first message, and each
+    line's first message (one entry more than lines that hold tokens).
     """
     starts, ends, first = spans(~IS_SPACE[data], offsets)
     n = len(starts)
     if n == 0:
         none = np.zeros(1, dtype=np.int64)
-        return starts, ends, np.empty(0, np.uint64), none, np.zeros(len(offsets), dtype=np.int64)
+        return starts, ends, np.empty(0, np.uint64), none, np.zeros(len(offsets), dtype=np.int64), none
     hashed = span_hash(LOWER[data], starts, ends)
     digits = np.concatenate(([0], np.cumsum(_DIGIT[data], dtype=np.int64)))
     hashed[digits[ends] > digits[starts]] = _WILD
     breaks = np.concatenate(([0], np.cumsum(data == 0x0A, dtype=np.int64)))
-    last = _STOP[data[ends - 1]]
-    last[:-1] |= breaks[starts[1:]] > breaks[ends[:-1]]
-    last[first[1:][np.diff(first) > 0] - 1] = True
-    bounds = np.concatenate(([0], np.flatnonzero(last) + 1))
-    return starts, ends, hashed, bounds, np.searchsorted(bounds, first)
+    ended = np.zeros(n, dtype=bool)
+    ended[:-1] = breaks[starts[1:]] > breaks[ends[:-1]]
+    ended[first[1:][np.diff(first) > 0] - 1] = True
+    bounds = np.concatenate(([0], np.flatnonzero(_STOP[data[ends - 1]] | ended) + 1))
+    lines = np.searchsorted(bounds, np.concatenate(([0], np.flatnonzero(ended) + 1)))
+    return starts, ends, hashed, bounds, np.searchsorted(bounds, first), lines
 
 
 def template_keys(hashed: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -85,11 +92,31 @@ def template_keys(hashed: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, n
     return np.concatenate((usable, usable[long], usable[long])), np.concatenate((exact, late, early))
 
 
+def line_keys(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashed: np.ndarray, bounds: np.ndarray, lines: np.ndarray,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first message, number of messages, key) of the lines whose template is
+    not that of their only message."""
+    begin, end = bounds[lines[:-1]], bounds[lines[1:]]
+    usable = np.flatnonzero((np.diff(lines) > 1) | (end - begin < LEAST))
+    begin, end = begin[usable], end[usable]
+    at, count = lines[usable], lines[usable + 1] - lines[usable]
+    if not len(usable):
+        return at, count, np.empty(0, np.uint64)
+    with np.errstate(over="ignore"):
+        keys = mix(mix(span_hash(hashed, begin, end) + (end - begin).astype(np.uint64)) * np.uint64(11))
+        fixed = np.concatenate(([0], np.cumsum(hashed != _WILD, dtype=np.int64)))
+        bare = fixed[end] == fixed[begin]
+        if bare.any():
+            keys[bare] = mix(span_hash(data, starts[begin[bare]], ends[end[bare] - 1]) * np.uint64(13))
+    return at, count, keys
+
+
 def _place(keys: np.ndarray) -> np.ndarray:
     return (keys & np.uint64(BITMAP_BITS - 1)).astype(np.int64)
 
 
-def recurring(texts: DataFrame) -> DataFrame:
+def recurring(texts: DataFrame, whole_lines: bool = False) -> DataFrame:
     """(key, keep): templates of two different texts or more, and the hash of
     the text that keeps them.  ``texts`` has text and its hash ``h``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,8 +136,11 @@ def recurring(texts: DataFrame) -> DataFrame:
         for batch in batches:
             marks = batch.column(1).to_numpy(zero_copy_only=False)
             for start, end, data, offsets in pieces(batch.column(0)):
-                _, _, hashed, bounds, first = messages(data, offsets)
+                starts, ends, hashed, bounds, first, lines = messages(data, offsets)
                 at, keys = template_keys(hashed, bounds)
+                if whole_lines:
+                    line_at, _, more = line_keys(data, starts, ends, hashed, bounds, lines)
+                    at, keys = np.concatenate((at, line_at)), np.concatenate((keys, more))
                 if len(keys):
                     held.append((keys, marks[start:end][row_of(first)[at]]))
                     size += len(keys)
@@ -134,20 +164,32 @@ def _bitmap(keys: DataFrame) -> np.ndarray:
     return bitmap
 
 
-def drops(texts: DataFrame, again: DataFrame) -> DataFrame:
+def drops(texts: DataFrame, again: DataFrame, whole_lines: bool = False) -> DataFrame:
     """(doc_id, h, gone): numbers of the messages that each row loses."""
     shared = texts.sparkSession.sparkContext.broadcast(_bitmap(again))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = shared.value
+
+        def marked(keys: np.ndarray) -> np.ndarray:
+            place = _place(keys)
+            return (bitmap[place >> 6] >> (place & 63)) & 1 == 1
+
         for batch in batches:
             marks = batch.column(2).to_numpy(zero_copy_only=False)
             for start, end, data, offsets in pieces(batch.column(1)):
-                _, _, hashed, bounds, first = messages(data, offsets)
+                starts, ends, hashed, bounds, first, lines = messages(data, offsets)
                 at, keys = template_keys(hashed, bounds)
-                place = _place(keys)
-                likely = (bitmap[place >> 6] >> (place & 63)) & 1 == 1
+                likely = marked(keys)
                 at, keys = at[likely], keys[likely]
+                if whole_lines:
+                    line_at, count, more = line_keys(data, starts, ends, hashed, bounds, lines)
+                    likely = marked(more)
+                    line_at, count, more = line_at[likely], count[likely], more[likely]
+                    # A line's key goes with each of its messages.
+                    within = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                    at = np.concatenate((at, np.repeat(line_at, count) + within))
+                    keys = np.concatenate((keys, np.repeat(more, count)))
                 rows = row_of(first)[at]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(start, end - start).take(pa.array(rows)), pa.array(marks[start:end][rows]),
@@ -163,12 +205,11 @@ def drops(texts: DataFrame, again: DataFrame) -> DataFrame:
 def without(text: str, gone: list[int]) -> tuple[str, int]:
     """The text without these messages and short ones between them, and how many went."""
     data = np.frombuffer(text.encode(), dtype=np.uint8)
-    starts, ends, _, bounds, _ = messages(data, np.array([0, len(data)]))
+    starts, ends, _, bounds, _, _ = messages(data, np.array([0, len(data)]))
     n = len(bounds) - 1
     drop = np.zeros(n, dtype=bool)
     drop[[g for g in gone if g < n]] = True
-    short = np.diff(bounds) < LEAST
-    fixed = np.flatnonzero(~short | drop)
+    fixed = np.flatnonzero(np.diff(bounds) >= LEAST)
     for left, right in zip(fixed[:-1], fixed[1:], strict=True):
         if drop[left] and drop[right]:
             drop[left:right] = True
@@ -183,13 +224,14 @@ def without(text: str, gone: list[int]) -> tuple[str, int]:
     return bytes(out).decode().rstrip(), int(drop.sum())
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, text, ...) with recurring messages removed from
-    ``text`` and their number as ``n_dropped``."""
+def dedup_lines(docs: DataFrame, whole_lines: bool = False) -> DataFrame:
+    """``docs`` (doc_id, text, ...) with recurring messages, and recurring
+    lines of any length if ``whole_lines``, removed from ``text`` and the
+    number of messages that went as ``n_dropped``."""
     base = docs.drop("n_dropped")
     texts = base.select("doc_id", "text", F.xxhash64("text").alias("h"))
-    again = written(recurring(texts), "line-templates")
-    gone = drops(texts, again).select(F.col("doc_id").alias("of"), F.col("h").alias("of_h"), "gone")
+    again = written(recurring(texts, whole_lines), "line-templates")
+    gone = drops(texts, again, whole_lines).select(F.col("doc_id").alias("of"), F.col("h").alias("of_h"), "gone")
     # The row travels as one value, so its names meet no others.
     whole = base.select(F.struct(*[F.col(f"`{c}`") for c in base.columns]).alias("row"), F.xxhash64("text").alias("h"))
     extra = free_name(base, "gone")
@@ -217,4 +259,4 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
 
 
 def op4_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), whole_lines=True)

@@ -154,6 +154,47 @@ def test_shared_passage_stays_once(docs):
     assert all("opens in its very own way" in t for t in got) is False or len(got) == 3
 
 
+def _line_key(line):
+    tokens = ["*" if re.search("[0-9]", t) else t.lower() for t in line.split()]
+    return ("line", tuple(tokens)) if set(tokens) != {"*"} else ("line", tuple(line.split()))
+
+
+def test_whole_lines_by_hand(spark):
+    rows = spark.read.parquet(f"{SF}/documents.parquet").limit(250).select("doc_id", "text")
+    texts = {r.doc_id: r.text for r in rows.collect()}
+    hashes = {r.doc_id: r.h for r in rows.select("doc_id", F.xxhash64("text").alias("h")).collect()}
+    lines = {d: [ln for ln in t.split("\n") if ln.split()] for d, t in texts.items()}
+    seen = {}
+    for d in texts:
+        for ln in lines[d]:
+            for k in [_line_key(ln), *(k for m in _messages(ln) for k in _keys(m))]:
+                seen.setdefault(k, set()).add(hashes[d])
+    got = {r.doc_id: r for r in line_templates.dedup_lines(rows, whole_lines=True).collect()}
+    again = lambda k, d: len(seen[k]) > 1 and min(seen[k]) != hashes[d]
+    short = 0
+    for d, t in texts.items():
+        gone, kept = [], _messages(t)
+        for ln in lines[d]:
+            whole = again(_line_key(ln), d)
+            short += whole and len(ln.split()) < line_templates.LEAST
+            gone += [whole or any(again(k, d) for k in _keys(m)) for m in _messages(ln)]
+        fixed = [i for i, m in enumerate(kept) if len(m) >= line_templates.LEAST]
+        for a, b in zip(fixed, fixed[1:]):
+            if gone[a] and gone[b]:
+                gone[a:b] = [True] * (b - a)
+        assert got[d].n_dropped == sum(gone)
+        assert got[d].text.split() == [w for m, g in zip(kept, gone) if not g for w in m]
+    assert short > 0
+
+
+def test_short_lines_stay_once(docs):
+    texts = [f"Text {w} begins here in a way of its own\nAll rights reserved.\nNt onor. The of it.\n{n}\nand {w} ends as {w} alone would"
+             for n, w in enumerate(("one", "two", "three"))]
+    got = [r.text for r in line_templates.dedup_lines(docs(*texts), whole_lines=True).collect()]
+    assert sum("All rights reserved." in t for t in got) == sum("Nt onor. The of it." in t for t in got) == 1
+    assert all(sum(f"\n{n}\n" in t for t in got) == 1 for n in range(3))  # of wildcards only, but different
+
+
 # 5
 def test_discounts_stay_probabilities():
     assert all(0 < d < k for k, d in zip((1, 2, 3), discounts(0, 0, 0, 0)))
