@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from .byte_bpe import op7_byte_bpe
 from .decontamination import OP8_ORACLE, op8_decontamination
-from .jaccard_join import OP9_ORACLE, op9_jaccard_join
+from .jaccard_join import OP9_LINKS_ORACLE, OP9_ORACLE, op9_jaccard_join, op9_jaccard_links
 from .kneser_ney import op5_kneser_ney
 from .line_templates import op4_line_templates
 from .quality import op3_quality
@@ -23,11 +23,13 @@ QUERIES = {
     "op7_byte_bpe": op7_byte_bpe,
     "op8_decontamination": op8_decontamination,
     "op9_jaccard_join": op9_jaccard_join,
+    "op9_jaccard_links": op9_jaccard_links,
     "op10_reply_trees": op10_reply_trees,
 }
 
 ORACLES: dict[str, str] = {
     "op8_decontamination": OP8_ORACLE,
     "op9_jaccard_join": OP9_ORACLE,
+    "op9_jaccard_links": OP9_LINKS_ORACLE,
     "op10_reply_trees": OP10_ORACLE,
 }

@@ -22,9 +22,17 @@ the symmetric difference from below, so pairs that cannot link leave the join
 at once and a group of n near copies costs about n verifications.  Candidates
 are verified on the whole sets.
 
+Links are counted within components, outside of which there are none.  A
+component's nodes are dealt into blocks of about ``BLOCK`` sets; each pair of
+blocks meets in a cell that takes all intersections as one matrix product.  So
+every pair of a component is compared, and what travels is a set for each
+block.  The time still grows with the square of a component, which only the
+callers that ask for ``n_links`` pay.
+
 Null texts and texts without words have empty sets and link with nothing.
 Repeated rows share a node.  A null doc_id takes part but is never the least
-id unless its whole component has none.
+id unless its whole component has none.  Rows link, so the other rows of a
+node count among the links of each of its rows.
 """
 
 from __future__ import annotations
@@ -52,6 +60,9 @@ FREQUENT_FROM = 8        # sets, at least, that a frequent shingle stands in
 HELD = 1 << 21           # shingles that a task collects before it hands them on
 
 SKETCH = 512             # parity bits of a set
+BLOCK = 1 << 10          # sets of a component that a cell takes from each side
+BLOCK_SHINGLES = 1 << 20  # and about as many shingles
+CELL_WIDTH = 1 << 22     # numbers in a matrix of a cell
 
 # Patterns that turn the least id into another member of a list.
 _PIVOTS = tuple(int(f"{i:04b}" * 16, 2) & (1 << 63) - 1 for i in (3, 5, 6, 9, 10, 12))
@@ -334,10 +345,102 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         100 * common >= percent * (F.size("sa") + F.size("sb") - common)).select("a", "b")
 
 
-def link(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT) -> DataFrame:
+def linked(
+    shingles: np.ndarray, first: np.ndarray, copies: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int,
+) -> np.ndarray:
+    """For each set, the copies of the sets on the other side that it links with.
+
+    ``left`` and ``right`` are the row numbers of the sides, which are the same
+    or have none in common.
+    """
+    sizes, rows = np.diff(first), row_of(first)
+    known, at = np.unique(shingles, return_inverse=True)
+    side = np.full(len(sizes), -1)
+    side[left] = np.arange(len(left))
+    across = np.full(len(sizes), -1)
+    across[right] = np.arange(len(right))
+    width = max(1, CELL_WIDTH // max(len(left), len(right)))
+    order = np.argsort(at, kind="stable")
+    at, rows = at[order], rows[order]
+    common = np.zeros((len(left), len(right)), dtype=np.float32)  # exact up to 16 million
+    for low in range(0, len(known), width):
+        some = slice(*np.searchsorted(at, (low, low + width)))
+        x, y = side[rows[some]], across[rows[some]]
+        a = np.zeros((len(left), min(width, len(known) - low)), dtype=np.float32)
+        b = np.zeros((len(right), a.shape[1]), dtype=np.float32)
+        a[x[x >= 0], at[some][x >= 0] - low] = 1
+        b[y[y >= 0], at[some][y >= 0] - low] = 1
+        common += a @ b.T
+    common = common.astype(np.int64)
+    links = 100 * common >= percent * (sizes[left][:, None] + sizes[right][None, :] - common)
+    links &= left[:, None] != right[None, :]
+    out = np.zeros(len(sizes), dtype=np.int64)
+    out[left] = (links * copies[right][None, :]).sum(axis=1)
+    if not np.array_equal(left, right):
+        out[right] = (links * copies[left][:, None]).sum(axis=0)
+    return out
+
+
+def link_counts(labels: DataFrame, sets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """(node, partners): rows of other nodes that a node of ``labels`` links with."""
+    held = labels.join(sets.select("node", "shingles"), "node").join(classes.select("node", "copies"), "node")
+    blocks = held.groupBy("label").agg(F.greatest(
+        F.ceil(F.count("*") / BLOCK), F.ceil(F.sum(F.size("shingles")) / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    dealt = held.join(blocks, "label").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).select(
+        "label", "node", "copies", "shingles", "own",
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    cells = dealt.select(
+        "label", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "copies", "shingles"
+    ).repartition("label", "i", "j").sortWithinPartitions("label", "i", "j")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        made: list[tuple[np.ndarray, np.ndarray]] = []
+        key, size = None, 0
+
+        def flush() -> None:
+            nonlocal size
+            cell = pa.Table.from_batches(held).combine_chunks()
+            lists = cell.column("shingles").combine_chunks()
+            first = np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy())))
+            own = cell.column("own").to_numpy()
+            nodes, copies = cell.column("node").to_numpy(), cell.column("copies").to_numpy()
+            left, right = np.flatnonzero(own == key[1]), np.flatnonzero(own == key[2])
+            if len(left) and len(right):
+                made.append((nodes, linked(lists.flatten().to_numpy(), first, copies, left, right, percent)))
+                size += len(nodes)
+
+        def result() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([m[k] for m in made])) for k in (0, 1)], names=["node", "n"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            at = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in (0, 1, 2)])
+            cuts = np.flatnonzero((at[:, 1:] != at[:, :-1]).any(axis=0)) + 1
+            for start, end in itertools.pairwise([0, *cuts.tolist(), batch.num_rows]):
+                now = tuple(at[:, start].tolist())
+                if now != key:
+                    if held:
+                        flush()
+                    held, key = [], now
+                held.append(batch.slice(start, end - start))
+            if size > 1 << 16:
+                yield result()
+                made, size = [], 0
+        if held:
+            flush()
+        if made:
+            yield result()
+
+    return map_arrow(cells, run, "node long, n long").groupBy("node").agg(F.sum("n").alias("partners"))
+
+
+def link(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT, n_links: bool = True) -> DataFrame:
     """One row for each row of ``docs`` (doc_id, text): doc_id, n_shingles,
-    component_id (the least doc_id that links reach) and n_links (the
-    verified links of its node)."""
+    component_id (the least doc_id that links reach) and, unless switched
+    off, n_links (the other rows that the row itself links with)."""
     spark = docs.sparkSession
     rows = emit(docs, gram, percent)
     path = scratch_path(spark, "jaccard-links")
@@ -385,23 +488,31 @@ def link(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT) -> DataFrame
         labels = components(every)
 
     documents = rows.where("kind = 'doc'").select("doc_id", "node", "size")
-    classes = documents.where("size > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
-    ends = every.select(F.col("a").alias("node")).union(every.select("b")).groupBy("node").agg(F.count("*").alias("n_links"))
-    joined = classes.join(labels, "node", "left").join(ends, "node", "left")
-    joined = kept(joined.select(
-        "node", F.coalesce("label", "node").alias("label"), "least", F.coalesce("n_links", F.lit(0)).alias("n_links")), "classes")
-    components_ = joined.where("n_links > 0").groupBy("label").agg(F.min("least").alias("reached"))
+    classes = kept(documents.where("size > 0").groupBy("node").agg(
+        F.min("doc_id").alias("least"), F.count("*").alias("copies")), "classes")
+    joined = classes.join(labels.withColumn("apart", F.lit(False)), "node", "left").select(
+        "node", F.coalesce("label", "node").alias("label"), "least", "copies", F.coalesce("apart", F.lit(True)).alias("apart"))
+    components_ = joined.where("not apart").groupBy("label").agg(F.min("least").alias("reached"))
     by_node = joined.join(components_, "label", "left").select(
-        "node", F.coalesce("reached", "least").alias("component_id"), "n_links")
-    return documents.join(by_node, "node", "left").select(
+        "node", F.coalesce("reached", "least").alias("component_id"), "copies")
+    columns = [
         "doc_id", F.col("size").cast("long").alias("n_shingles"),
-        F.when(F.col("size") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        F.when(F.col("size") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")]
+    if n_links:
+        partners = kept(link_counts(labels, sets, classes, percent), "partners")
+        by_node = by_node.join(partners, "node", "left")
+        own = F.coalesce("partners", F.lit(0)) + F.col("copies") - 1
+        columns.append(F.coalesce(own, F.lit(0)).alias("n_links"))
+    return documents.join(by_node, "node", "left").select(*columns)
 
 
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return link(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
-        "doc_id", "n_shingles", "component_id")
+    return link(table(spark, sf_dir, "documents").select("doc_id", "text"), n_links=False)
+
+
+def op9_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the number of links of every document."""
+    return link(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 OP9_ORACLE = r"""
@@ -427,3 +538,6 @@ select s.doc_id, cast(len(s.s) as bigint) as n_shingles,
   least(s.doc_id, coalesce((select min(b) from reach r where r.a = s.doc_id), s.doc_id)) as component_id
 from sets s
 """
+
+OP9_LINKS_ORACLE = OP9_ORACLE.replace(
+    "as component_id\n", "as component_id,\n  (select count(*) from links l where l.a = s.doc_id) as n_links\n")

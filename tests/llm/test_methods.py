@@ -325,6 +325,29 @@ def test_jaccard_by_hand(docs):
     assert [got[i].component_id for i in range(len(texts))] == [root(i) for i in range(len(texts))]
 
 
+@pytest.mark.parametrize("block", [16, 1 << 10])
+def test_link_counts_by_hand(docs, monkeypatch, block):
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    random.seed(10)
+    texts = [None, "", "x", "x"]
+    for n in (9, 30, 90, 200):
+        base = [random.choice("abcdefghijklmnop") * random.randint(1, 3) for _ in range(n)]
+        for _ in range(60):
+            w = list(base)
+            for _ in range(random.choice([0, 1, 2, 3])):
+                w[random.randrange(n)] = f"new{random.randrange(4)}"
+            texts.append(" ".join(w))
+    sets = _sets(texts)
+    links = [0] * len(texts)
+    for a, b in combinations(range(len(texts)), 2):
+        if sets[a] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+            links[a] += 1
+            links[b] += 1
+    assert max(links) > 16
+    got = {r.doc_id: r.n_links for r in jaccard_join.link(docs(*texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == links
+
+
 def test_subsets_cover_links():
     """Two small sets that link share a subset of a size both enumerate."""
     boundary = 16
