@@ -38,8 +38,9 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of each group of near copies."""
-    linked = jaccard_join.link(docs.select("doc_id", "text"), n_links=False)
+    """The document of least id of each group of near copies: five-word
+    shingles, likeness of 0.8 or more."""
+    linked = jaccard_join.link(docs.select("doc_id", "text"), gram=5, percent=80, n_links=False)
     first = linked.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     repeated = not linked.groupBy("doc_id").count().where("count > 1").isEmpty()
     kept = _only(docs, first)

@@ -57,6 +57,30 @@ def test_stages_keep_columns_and_decide(spark, docs, tables, words):
     assert left["byte_bpe"] == left["decontamination"] >= set(range(1, at[1]))
 
 
+def test_near_copies_by_hand(spark, docs, words):
+    random.seed(13)
+    texts = []
+    for _ in range(8):
+        base = [random.choice(words) for _ in range(1000)]
+        for edits in (0, 20, 21, 22, 24):
+            w = list(base)
+            for k in random.sample(range(6, 994, 12), edits):
+                w[k] = f"changed{len(texts)}"
+            texts.append(" ".join(w))
+    sets = []
+    for t in texts:
+        w = t.split()
+        sets.append({tuple(w[i:i + 5]) for i in range(len(w) - 4)})
+    group = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a + 1, len(texts)):
+            if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                low, high = sorted((group[a], group[b]))
+                group = [low if g == high else g for g in group]
+    got = {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs(*texts), "").collect()}
+    assert got == set(group)
+
+
 def test_odd_documents(spark, odd, tables):
     labels = spark.createDataFrame([(1, 1, 0), (None, None, None), (5, 0, None)], "doc_id long, quality int, toxic int")
     benchmark = spark.createDataFrame([(None, None), (1, "")], "item_id long, text string")
