@@ -19,7 +19,8 @@ document only, so a frequent passage is spread as its documents are.
 
 Null and empty texts have no words, are never hit and hit nothing.  Repeated
 rows of a document get equal results, repeated items count by their ids, an
-empty benchmark hits nothing.
+empty benchmark hits nothing.  Items without an id hit like others and count
+as one item together, which has no name among the item ids.
 """
 
 from __future__ import annotations
@@ -49,12 +50,14 @@ def _shingle(words: str, at: Column, size: int) -> Column:
 
 
 def windows_of(items: DataFrame, window: int, gram: int) -> DataFrame:
-    """(w_id, window, w_size, items): the distinct windows and the ids of their items."""
+    """(w_id, window, w_size, items, unnamed): the distinct windows, the ids of
+    their items and whether an item without an id has them."""
     spread = items.where(F.size("words") > 0).select("item_id", "words", F.explode(
         F.sequence(F.lit(0), F.greatest(F.size("words") - window, F.lit(0)))).alias("start"))
     return spread.select("item_id", F.slice("words", F.col("start") + 1, F.lit(window)).alias("window")).groupBy(
-        "window").agg(F.collect_set(F.col("item_id").cast("string")).alias("items")).select(
-        F.xxhash64("window").alias("w_id"), "window", F.size("window").alias("w_size"), "items")
+        "window").agg(F.collect_set(F.col("item_id").cast("string")).alias("items"),
+        F.bool_or(F.col("item_id").isNull()).alias("unnamed")).select(
+        F.xxhash64("window").alias("w_id"), "window", F.size("window").alias("w_size"), "items", "unnamed")
 
 
 def _spread(df: DataFrame, words: str, sizes: list[int]) -> DataFrame:
@@ -132,15 +135,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, gr
 
     hits = spans.select("key", F.aggregate("spans", start, cover)["hit"].alias("n_hit"))
     small = index.count() <= BROADCAST_WINDOWS
-    by_window = index.select("w_id", "items")
+    by_window = index.select("w_id", "items", "unnamed")
     named = spans.select("key", F.explode("w_ids").alias("w_id")).join(
-        F.broadcast(by_window) if small else by_window, "w_id").select("key", F.explode("items").alias("item")).groupBy(
-        "key").agg(F.array_sort(F.collect_set("item")).alias("items"))
+        F.broadcast(by_window) if small else by_window, "w_id").select("key", "unnamed", F.explode_outer("items").alias("item")).groupBy(
+        "key").agg(F.array_sort(F.collect_set("item")).alias("items"), F.bool_or("unnamed").cast("int").alias("unnamed"))
     flagged = hits.join(named, "key")
     return keyed.select("doc_id", "key", F.size("words").cast("long").alias("n_words")).join(
-        flagged.select(F.col("key").alias("_key"), "n_hit", "items"), F.col("key").eqNullSafe(F.col("_key")), "left").select(
+        flagged.select(F.col("key").alias("_key"), "n_hit", "items", "unnamed"), F.col("key").eqNullSafe(F.col("_key")), "left").select(
         "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
-        F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
+        F.coalesce(F.size("items") + F.col("unnamed"), F.lit(0)).cast("long").alias("n_items"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
     ).withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
 

@@ -76,6 +76,14 @@ def test_reply_trees_odd_rows(spark):
     assert reply_trees.format_paths(none, reply_trees.paths(none)).count() == 0
 
 
+def test_items_without_id(docs):
+    items = docs((None, "one leaked text"), (None, "other words"), (5, "one leaked text")).select(
+        F.col("doc_id").alias("item_id"), "text")
+    got = {r.doc_id: r for r in decontamination.contaminated(docs("so one leaked text", "other words", "clean"), items).collect()}
+    assert [(got[i].n_hit, got[i].n_items, got[i].items, got[i].contaminated) for i in range(3)] == [
+        (3, 2, ["5"], True), (2, 1, [], True), (0, 0, [], False)]
+
+
 def test_empty_benchmark(docs):
     items = docs((1, "x")).select(F.col("doc_id").alias("item_id"), "text").limit(0)
     assert decontamination.contaminated(docs("some words"), items).first().n_hit == 0
