@@ -7,7 +7,9 @@ import zipfile
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -85,6 +87,19 @@ def map_batches(
     return map_arrow(df, run, schema)
 
 
+def bounded(batches: Iterable[pa.RecordBatch], column: str, size: int) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches whose ``column`` holds about ``size`` bytes at most; a longer value is a slice of its own."""
+    for batch in batches:
+        lengths = pc.binary_length(batch.column(batch.schema.get_field_index(column)).cast(pa.large_binary()))
+        ends = np.cumsum(lengths.fill_null(0).to_numpy(zero_copy_only=False))
+        row = 0
+        while row < batch.num_rows:
+            before = ends[row - 1] if row else 0
+            end = max(row + 1, int(np.searchsorted(ends, before + size, side="right")))
+            yield batch.slice(row, end - row)
+            row = end
+
+
 def digest(c) -> F.Column:
     """Lowercase hex SHA-256 of a string's UTF-8 bytes or of binary; null counts as empty."""
     return F.sha2(F.coalesce(c, F.lit("").cast("binary")), 256)
