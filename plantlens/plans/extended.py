@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.coerce import date_of, flag
 from ..functions.numeric import RATE, exact_avg, exact_sum, ratio
+from ..operators import sketches
 from ..operators.dedup import join_side, null_safe_on
 
 # Holidays of the published calendar year.
@@ -268,6 +269,33 @@ def drift_report(reference: DataFrame, current: DataFrame, features: Sequence[st
     ).withColumn("mean_shift", F.col("cur_mean") - F.col("ref_mean"))
 
 
+def _psi(counts: DataFrame) -> DataFrame:
+    """Population stability index per feature from (feature, bin, ref_n, cur_n)."""
+    of = Window.partitionBy("feature")
+    share = lambda c: F.greatest(F.try_divide(F.col(c), F.sum(c).over(of)), F.lit(0.0001))
+    parted = counts.withColumns({"p": share("ref_n"), "q": share("cur_n")})
+    return parted.groupBy("feature").agg(
+        F.sum("ref_n").alias("ref_rows"), F.sum("cur_n").alias("cur_rows"),
+        F.sum((F.col("q") - F.col("p")) * F.ln(F.col("q") / F.col("p"))).alias("psi"))
+
+
+def quantile_drift(reference: DataFrame, current: DataFrame, bins: int = 10) -> DataFrame:
+    """Stability index over reference quantile bins, and both medians, from two sketches.
+
+    The windows are sketches (``operators.sketches``), merged from whatever
+    days or sites they cover, so no raw row is read again.  Shares are exact;
+    bin edges and medians are within a bucket's width (2**-7 of the value) of
+    the exact quantiles.  A bin empty in one window counts as 0.0001 of it.
+    """
+    median = lambda df, name: sketches.quantiles(df, [0.5]).select("feature", F.col("q_0").alias(name))
+    return (
+        _psi(sketches.quantile_bins(reference, current, bins))
+        .join(median(reference, "ref_median"), "feature", "left")
+        .join(median(current, "cur_median"), "feature", "left")
+        .withColumn("median_shift", F.col("cur_median") - F.col("ref_median"))
+    )
+
+
 def fairness_audit(scored: DataFrame, group: str, predicted: str, actual: str) -> DataFrame:
     """Selection and error rates per group of a 0/1 decision against a 0/1 outcome."""
     p, a = F.col(predicted) == 1, F.col(actual) == 1

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.coerce import date_of
 from ..functions.numeric import exact_sum, round_half_up
-from ..operators import integrity
+from ..operators import integrity, sketches
 from ..plans import dashboard, extended
 from ..streaming import telemetry
 from ..sources.lake import Lake
@@ -153,6 +153,45 @@ def b10(shop):
     return report.withColumns({c: round_half_up(c) for c in ("ref_mean", "cur_mean", "psi", "mean_shift")})
 
 
+def _bucket_sql(x: str) -> str:
+    """Bucket of a column by the definition of the sketches, in SQL."""
+    guess = f"floor(log2(abs({x})))"
+    exponent = f"({guess} + case when pow(2,{guess})>abs({x}) then -1 when pow(2,{guess})*2<=abs({x}) then 1 else 0 end)"
+    code = f"(({exponent}+1100)*128 + floor((abs({x})/pow(2,{exponent})-1)*128) + 1)"
+    return f"cast(case when {x}=0 then 0 when {x}<0 then -{code} else {code} end as bigint)"
+
+
+def _quantile_drift_sql(feature: str) -> str:
+    middle = lambda b: (f"case when {b}=0 then 0.0::double else sign({b})*pow(2,((abs({b})-1)//128)-1100)"
+                        f"*(1+(((abs({b})-1)%128)+0.5::double)/128) end")
+    side = lambda ref: (
+        f"(select {middle('bucket')} from (select bucket, sum(n) over (order by bucket) as upto, sum(n) over () as total "
+        f"from (select {_bucket_sql(feature)} as bucket, count(*) as n from {_DRIFT} where {feature} is not null and {ref} group by 1)) "
+        "where upto>=ceil(0.5::double*total) order by bucket limit 1)")
+    return f"""
+select '{feature}' as feature, cast(sum(ref_n) as bigint) as ref_rows, cast(sum(cur_n) as bigint) as cur_rows,
+ {r4('sum((q-p)*ln(q/p))')} as psi, {r4(side('is_ref'))} as ref_median, {r4(side('not is_ref'))} as cur_median,
+ {r4(side('not is_ref') + '-' + side('is_ref'))} as median_shift
+from (select *, greatest(ref_n/sum(ref_n) over (), 0.0001::double) as p, greatest(cur_n/sum(cur_n) over (), 0.0001::double) as q from (
+ select least(9, coalesce(before,0)*10//total) as bin, sum(ref_n) as ref_n, sum(cur_n) as cur_n from (
+  select *, sum(ref_n) over (order by bucket rows between unbounded preceding and 1 preceding) as before, sum(ref_n) over () as total from (
+   select {_bucket_sql(feature)} as bucket, count(*) filter (where is_ref) as ref_n, count(*) filter (where not is_ref) as cur_n
+   from {_DRIFT} where {feature} is not null group by 1)) group by 1))"""
+
+
+@query("b10_drift_quantiles", " union all ".join(
+    _quantile_drift_sql(f) for f in ("speed_ratio", "scrap_rate", "output_quantity")))
+def b10_quantiles(shop):
+    """Runs before 1999 against the later ones, from sketches kept by month."""
+    features = ["speed_ratio", "scrap_rate", "output_quantity"]
+    monthly = sketches.sketch(
+        shop.runs.withColumn("month", F.trunc("run_date", "month")), features, by=["month"])
+    early = F.col("month") < F.lit("1999-01-01").cast("date")
+    report = extended.quantile_drift(
+        sketches.merged(monthly.filter(early)), sketches.merged(monthly.filter(~early)))
+    return report.withColumns({c: round_half_up(c) for c in ("psi", "ref_median", "cur_median", "median_shift")})
+
+
 @query("b11_fairness_audit", """
 select fairness_group, count(*) as rows, count(*) filter (where p=1) as selected, count(*) filter (where a=1) as positives,
  count(*) filter (where p=1 and a<>1) as false_positives, count(*) filter (where p<>1 and a=1) as false_negatives,

@@ -502,7 +502,7 @@ def c05(shop):
 
 @query("c06_shipment", """
 select shipment_id, sales_order_id, order_line_id, ship_date, cast(shipped_quantity as double) as shipped_quantity,
- cast(late_delivery_flag as double) as late_delivery_flag, root_cause from shipment""")
+ cast(late_delivery_flag as double) as late_delivery_flag, root_cause, cast(delay_days as double) as delay_days from shipment""")
 def c06(shop):
     return shop.shipments
 
