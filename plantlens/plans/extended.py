@@ -124,6 +124,55 @@ def daily_demand(sales_orders: DataFrame) -> DataFrame:
     )
 
 
+def demand_runs(sales_orders: DataFrame, back: int = 7) -> DataFrame:
+    """``daily_demand`` with idle days written as runs: (product_id, from_date, to_date, ...).
+
+    A day is idle when neither it nor the ``back`` days before it have an order
+    and all of these days lie within the calendar; its demand, lags and mean
+    are 0.  All other days are a run of one day.  An order day states what it
+    contributes to itself and to the days that look back at it, so the size is
+    a few rows an order day instead of one a product and date, and lags and
+    means are sums instead of windows.  ``expand_runs`` gives the dense frame.
+    """
+    bounds = sales_orders.agg(F.min(date_of("order_date")).alias("lo"), F.max(date_of("order_date")).alias("hi"))
+    low, high = bounds.select("lo").scalar(), bounds.select("hi").scalar()
+    ordered = sales_orders.filter(F.col("order_date").isNotNull()).groupBy(
+        "product_id", date_of("order_date").alias("day")
+    ).agg(exact_sum("ordered_quantity").alias("quantity"), F.count(F.lit(1)).alias("lines"))
+    # The first days have a short past, so they are never idle.
+    begun = sales_orders.select("product_id").distinct().select(
+        "product_id", low.alias("day"), F.lit(None).cast("double").alias("quantity"), F.lit(0).cast("bigint").alias("lines"),
+        F.lit(back - 1).alias("reach"))
+    reached = ordered.withColumn("reach", F.lit(back)).unionByName(begun).select(
+        "product_id", "quantity", "lines", "day",
+        F.posexplode(F.expr("sequence(day, date_add(day, reach))")).alias("ahead", "on")
+    ).filter(F.col("on") <= high)
+    from_day = lambda k: exact_sum(F.when(F.col("ahead") == k, F.col("quantity")))
+    days = reached.groupBy("product_id", F.col("on").alias("day")).agg(
+        from_day(0).alias("q"), F.sum(F.when(F.col("ahead") == 0, F.col("lines"))).alias("n"),
+        from_day(1).alias("l1"), from_day(back).alias("l7"),
+        exact_sum(F.when(F.col("ahead") > 0, F.col("quantity"))).alias("past"))
+    age = F.datediff("day", low)
+    zero = lambda c: F.coalesce(c, F.lit(0.0))
+    busy = days.select(
+        "product_id", F.col("day").alias("from_date"), F.col("day").alias("to_date"),
+        zero(F.col("q")).alias("demand_quantity"), F.coalesce("n", F.lit(0).cast("bigint")).alias("order_lines"),
+        F.when(age >= 1, zero(F.col("l1"))).alias("lag_1"), F.when(age >= back, zero(F.col("l7"))).alias("lag_7"),
+        F.try_divide(zero(F.col("past")), F.least(F.lit(back), age)).alias("mean_prior_7d"))
+    following = F.coalesce(
+        F.lead("day").over(Window.partitionBy("product_id").orderBy("day")), F.date_add(high, 1))
+    idle = days.select("product_id", F.date_add("day", 1).alias("from_date"), F.date_sub(following, 1).alias("to_date")).filter(
+        F.col("from_date") <= F.col("to_date")
+    ).select("*", *[F.lit(0.0).alias(c) for c in ("demand_quantity", "lag_1", "lag_7", "mean_prior_7d")],
+             F.lit(0).cast("bigint").alias("order_lines"))
+    return busy.unionByName(idle)
+
+
+def expand_runs(runs: DataFrame) -> DataFrame:
+    """One row a product and date, as ``daily_demand`` returns them."""
+    return runs.withColumn("demand_date", F.explode(F.sequence("from_date", "to_date"))).drop("from_date", "to_date")
+
+
 # -- machine failure, alarms, downtime ---------------------------------------
 
 def machine_failure_features(hourly: DataFrame, failures: DataFrame) -> DataFrame:

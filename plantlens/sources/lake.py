@@ -5,8 +5,11 @@ version; it counts from the moment Spark commits it (``_SUCCESS``), so a write
 that fails or is cut off leaves the table as it was.  The version before the
 current one stays for readers that still use it, older ones are deleted.
 
-A table that a stream merges into may have parts (``part-0``, ...), each with
-versions of its own, so that a merge rewrites only the parts it touches.
+A table that rows are merged into lies in parts.  A merge writes the parts that
+it touches into the folder of the new version and then a manifest that names
+the folder of every part, new or kept.  The manifest is put in place by one
+rename, so a merge counts as a whole or not at all, and parts it doesn't touch
+keep their files.
 """
 
 from __future__ import annotations
@@ -15,18 +18,26 @@ import json
 import logging
 import re
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..session import cut_lineage, input_bytes
 
 logger = logging.getLogger(__name__)
 
 LAYERS = ("raw", "clean", "mart", "lab")
 
+MANIFEST = "_manifest.json"
+PART = "_part"
+PART_BYTES = 1 << 30        # aimed at when a table is laid out in parts by key
+PART_CEILING = 10_000
+
 RUN_LOG_SCHEMA = (
     "run_id string, step_name string, status string, detail string, "
     "started_at timestamp, finished_at timestamp"
@@ -59,24 +70,45 @@ class Lake:
     def _versions(self, folder: str) -> tuple[list[int], int]:
         """Committed versions in ascending order, and the highest number in use."""
         numbers = sorted(int(n[1:]) for n in self._children(folder) if re.fullmatch(r"v\d+", n))
-        done = [n for n in numbers if "_SUCCESS" in self._children(f"{folder}/v{n}")]
+        done = [n for n in numbers if {"_SUCCESS", MANIFEST} & set(self._children(f"{folder}/v{n}"))]
         return done, max(numbers, default=0)
 
-    def parts(self, layer: str, table: str) -> list[str]:
-        return sorted(n for n in self._children(self.folder(layer, table)) if re.fullmatch(r"part-\d+", n))
+    def _manifest(self, folder: str, version: int) -> dict | None:
+        """What a version in parts is made of; none for a version that is one folder."""
+        if MANIFEST not in self._children(f"{folder}/v{version}"):
+            return None
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/v{version}/{MANIFEST}")
+        stream = path.getFileSystem(self.spark._jsc.hadoopConfiguration()).open(path)
+        try:
+            return json.loads(bytes(stream.readAllBytes()).decode())
+        finally:
+            stream.close()
+
+    def manifest(self, layer: str, table: str) -> dict | None:
+        """Manifest of the current version, if that lies in parts: schema, layout and folder of each part."""
+        folder = self.folder(layer, table)
+        done, _ = self._versions(folder)
+        return self._manifest(folder, done[-1]) if done else None
 
     def paths(self, layer: str, table: str) -> list[str]:
-        """Current version of a table, or of each of its parts; none if it was never written."""
+        """Folders of the current version, one or one a part; none if it was never written."""
         folder = self.folder(layer, table)
-        roots = [folder, *(f"{folder}/{part}" for part in self.parts(layer, table))]
-        current = [(root, self._versions(root)[0]) for root in roots]
-        return [f"{root}/v{done[-1]}" for root, done in current if done]
+        done, _ = self._versions(folder)
+        if not done:
+            return []
+        manifest = self._manifest(folder, done[-1])
+        if manifest is None:
+            return [f"{folder}/v{done[-1]}"]
+        return [f"{folder}/{manifest['parts'][p]}" for p in sorted(manifest["parts"], key=int)]
 
     def exists(self, layer: str, table: str) -> bool:
         """Whether a version was committed; a folder that can't be listed raises."""
-        return bool(self.paths(layer, table))
+        return bool(self._versions(self.folder(layer, table))[0])
 
     def read(self, layer: str, table: str) -> DataFrame:
+        manifest = self.manifest(layer, table)
+        if manifest is not None:
+            return self._read_parts(layer, table, manifest, manifest["parts"])
         paths = self.paths(layer, table)
         return self.spark.read.parquet(*(paths or [self.folder(layer, table)]))
 
@@ -109,13 +141,29 @@ class Lake:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(target)
         if mode != "append":
-            for old in done[:-1]:
-                self._delete(f"{folder}/v{old}")
-            name = f"{self.database(layer)}.{table}"
-            if self.spark.catalog.databaseExists(self.database(layer)) and self.spark.catalog.tableExists(name):
-                self.register(layer, table)
+            self._committed(layer, table)
         return self.read(layer, table)
 
+    def _committed(self, layer: str, table: str) -> None:
+        """Drop what neither the current version nor the one before it names; renew the catalog entry."""
+        folder = self.folder(layer, table)
+        done, _ = self._versions(folder)
+        kept: set[str] = set()
+        for version in done[-2:]:
+            manifest = self._manifest(folder, version)
+            kept |= {f"v{version}"} if manifest is None else set(manifest["parts"].values())
+        for version in done[:-2]:
+            inside = [f"v{version}/parts/{n}" for n in self._children(f"{folder}/v{version}/parts")]
+            unused = [n for n in inside if n not in kept]
+            if f"v{version}" not in kept and len(unused) == len(inside):
+                self._delete(f"{folder}/v{version}")
+            else:
+                for n in unused:
+                    self._delete(f"{folder}/{n}")
+        name = f"{self.database(layer)}.{table}"
+        if self.spark.catalog.databaseExists(self.database(layer)) and self.spark.catalog.tableExists(name):
+            self.register(layer, table)
+
     def write_all(
         self, layer: str, frames: Mapping[str, DataFrame], *,
         sort_by: Mapping[str, Sequence[str]] | None = None, parallel: int = 4,
@@ -135,9 +183,93 @@ class Lake:
     def append(self, layer: str, table: str, df: DataFrame) -> DataFrame:
         return self.write(layer, table, df, mode="append")
 
-    def upsert(self, layer: str, table: str, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
-        """Replace rows by key, add new ones, as a new version."""
-        return self.write(layer, table, upsert(self.read(layer, table), updates, keys))
+    # -- parts -----------------------------------------------------------
+
+    def _read_parts(self, layer: str, table: str, manifest: Mapping, parts: Sequence[str]) -> DataFrame:
+        schema = T.StructType.fromJson(manifest["schema"])
+        paths = [f"{self.folder(layer, table)}/{manifest['parts'][p]}" for p in parts if p in manifest["parts"]]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+    def read_parts(self, layer: str, table: str, parts: Sequence[int]) -> DataFrame:
+        """Rows of some parts; parts that don't exist have none."""
+        manifest = self.manifest(layer, table)
+        if manifest is None:
+            raise ValueError(f"{layer}.{table} doesn't lie in parts")
+        return self._read_parts(layer, table, manifest, [str(p) for p in parts])
+
+    def merge(
+        self, layer: str, table: str, updates: DataFrame, part: Column,
+        combine: Callable[[DataFrame, DataFrame], DataFrame], *, layout: str = "",
+    ) -> list[int]:
+        """Rewrite the parts that ``updates`` has rows for, as one version; returns these parts.
+
+        ``part`` gives the whole number of a row's part from its columns, and
+        ``combine(old, new)`` the rows of the touched parts.  ``layout`` says in
+        words how parts are made; a table of another layout (or of no parts) is
+        rewritten whole, once.  Two writers of one version can't both succeed.
+        """
+        if PART in updates.columns:
+            raise ValueError(f"{PART} is the name of the part")
+        folder = self.folder(layer, table)
+        done, highest = self._versions(folder)
+        manifest = self._manifest(folder, done[-1]) if done else None
+        if done:
+            stored = T.StructType.fromJson(manifest["schema"]) if manifest else self.read(layer, table).schema
+            updates = updates.select(*[F.col(f.name).cast(f.dataType) for f in stored])
+        updates = cut_lineage(updates.withColumn(PART, part))
+        touched = sorted(r[PART] for r in updates.select(PART).distinct().collect())  # at most the number of parts
+        same = manifest is not None and manifest["layout"] == layout
+        current = manifest["parts"] if same else {}
+        if same and not touched:
+            return []
+        new = updates.drop(PART)
+        if same:
+            rows = combine(self._read_parts(layer, table, manifest, [str(p) for p in touched]), new)
+        else:
+            rows = combine(self.read(layer, table), new) if done else combine(new.limit(0), new)
+        target = f"v{highest + 1}"
+        rows = rows.select(*new.columns).withColumn(PART, part)
+        rows.hint("rebalance", PART).write.partitionBy(PART).parquet(f"{folder}/{target}/parts")
+        made = {n.removeprefix(f"{PART}="): f"{target}/parts/{n}"
+                for n in self._children(f"{folder}/{target}/parts") if n.startswith(f"{PART}=")}
+        kept = {p: path for p, path in current.items() if int(p) not in set(touched)}
+        self._put_manifest(folder, target, {
+            "layout": layout, "schema": json.loads(rows.drop(PART).schema.json()), "parts": kept | made})
+        self._committed(layer, table)
+        return touched if same else sorted(int(p) for p in made)
+
+    def _put_manifest(self, folder: str, version: str, content: Mapping) -> None:
+        """Write beside and rename, so that readers see all of it or nothing."""
+        Path = self.spark._jvm.org.apache.hadoop.fs.Path
+        target = Path(f"{folder}/{version}/{MANIFEST}")
+        beside = Path(f"{folder}/{version}/_{uuid.uuid4().hex}.tmp")
+        fs = target.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        stream = fs.create(beside, False)
+        try:
+            stream.write(bytearray(json.dumps(content).encode()))
+        finally:
+            stream.close()
+        if not fs.rename(beside, target):
+            raise OSError(f"{target} was not put in place")
+
+    def upsert(
+        self, layer: str, table: str, updates: DataFrame, keys: Sequence[str], *, parts: int | None = None,
+    ) -> DataFrame:
+        """Replace rows by key and add new ones; only parts (by key hash) with updates are rewritten.
+
+        The first upsert lays the table out in parts of about ``PART_BYTES``,
+        or in as many as asked for; later ones keep that number.
+        """
+        manifest = self.manifest(layer, table)
+        by = f"hash of {', '.join(keys)} in "
+        if parts is None and manifest is not None and manifest["layout"].startswith(by):
+            parts = int(manifest["layout"].removeprefix(by))
+        if parts is None:
+            size = sum(input_bytes(self.spark, p) for p in self.paths(layer, table))
+            parts = max(1, min(PART_CEILING, -(-size // PART_BYTES)))
+        self.merge(layer, table, updates, F.pmod(F.xxhash64(*keys), F.lit(parts)),
+                   lambda old, new: upsert(old, new, keys), layout=f"{by}{parts}")
+        return self.read(layer, table)
 
     # -- catalog ---------------------------------------------------------
 
@@ -154,12 +286,27 @@ class Lake:
         self.create_database(layer)
         name = f"`{self.database(layer)}`.`{table}`"
         self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        manifest = self.manifest(layer, table)
+        if manifest is not None:
+            self._register_parts(layer, table, name, manifest)
+            return name
         current, = self.paths(layer, table)
         self.spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{current}'")
         if any(c.isPartition for c in self.spark.catalog.listColumns(name.replace("`", ""))):
             self.spark.sql(f"MSCK REPAIR TABLE {name}")
         return name
 
+    def _register_parts(self, layer: str, table: str, name: str, manifest: Mapping) -> None:
+        """A table partitioned by the part, each partition at the folder the manifest names."""
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in T.StructType.fromJson(manifest["schema"]))
+        folder = self.folder(layer, table)
+        self.spark.sql(f"CREATE TABLE {name} ({columns}, `{PART}` bigint) USING parquet "
+                       f"PARTITIONED BY (`{PART}`) LOCATION '{folder}'")
+        parts = sorted(manifest["parts"].items(), key=lambda p: int(p[0]))
+        for i in range(0, len(parts), 500):  # a statement for some hundred partitions
+            added = " ".join(f"PARTITION (`{PART}`={p}) LOCATION '{folder}/{path}'" for p, path in parts[i:i + 500])
+            self.spark.sql(f"ALTER TABLE {name} ADD {added}")
+
     def tables(self) -> DataFrame:
         """Registered tables and views, sorted by layer and name (metadata only)."""
         rows = []

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.coerce import coerce
 from ..operators.dedup import keep_last
 from ..plans.clean import derive_sensor_columns
-from ..plans.marts import sensor_measures
-from ..session import cut_lineage, scratch_path
+from ..plans.marts import sensor_hourly, sensor_measures
+from ..session import scratch_path
 
 # Payload of the telemetry documents; numbers arrive as JSON numbers or text.
 TELEMETRY_SCHEMA = (
@@ -19,30 +21,36 @@ TELEMETRY_SCHEMA = (
 )
 
 
-def read_telemetry(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
-    """JSON-lines telemetry as a stream."""
-    reader = spark.readStream.schema(TELEMETRY_SCHEMA)
+READING_KEYS = ["timestamp", "machine_id", "sensor_id"]
+SENSOR_NUMBERS = ("temperature_c", "vibration_mm_s", "pressure_bar", "current_amp", "speed_rpm", "humidity_pct")
+
+
+def read_telemetry(
+    spark: SparkSession, path: str, files_per_trigger: int | None = None, extra: str = "",
+) -> DataFrame:
+    """JSON-lines telemetry as a stream; ``extra`` names further payload fields, as in a schema text."""
+    reader = spark.readStream.schema(TELEMETRY_SCHEMA + (f", {extra}" if extra else ""))
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.json(path)
 
 
-def hourly_stream(readings: DataFrame, lateness: str = "2 hours") -> DataFrame:
+def hourly_stream(readings: DataFrame, lateness: str = "2 hours", order: Sequence[str] = ()) -> DataFrame:
     """Hourly sensor aggregates of closed hours.
 
-    A repeated reading is dropped while the watermark still covers it.  The
-    first arrival wins, where the batch plan keeps the last one; the two agree
-    when copies are exact.  ``lateness`` is our choice.
+    Of readings that repeat a time, machine and sensor, the last one by
+    ``order`` counts (as in the batch plan) if it arrives while the watermark
+    still covers it; ``merge_hourly`` also takes later ones.  Without an
+    ``order`` the first arrival counts, which is the same when copies are
+    exact.  ``lateness`` is our choice.
     """
-    typed = coerce(
-        readings,
-        timestamps=("timestamp",),
-        numbers=("temperature_c", "vibration_mm_s", "pressure_bar", "current_amp",
-                 "speed_rpm", "humidity_pct"),
-    )
-    unique = typed.withWatermark("timestamp", lateness).dropDuplicatesWithinWatermark(
-        ["timestamp", "machine_id", "sensor_id"]
-    )
+    typed = coerce(readings, timestamps=("timestamp",), numbers=SENSOR_NUMBERS).withWatermark("timestamp", lateness)
+    if order:
+        rest = [c for c in typed.columns if c not in READING_KEYS]
+        unique = typed.groupBy(*READING_KEYS).agg(
+            F.max_by(F.struct(*rest), F.struct(*order)).alias("_last")).select(*READING_KEYS, "_last.*")
+    else:
+        unique = typed.dropDuplicatesWithinWatermark(READING_KEYS)
     return (
         derive_sensor_columns(unique)
         .groupBy(F.window("timestamp", "1 hour").alias("hour"), "plant_id", "line_id", "machine_id")
@@ -105,24 +113,58 @@ def upsert_latest(
     Latest-record dedup has no append form; each batch is merged with the rows
     already kept, so a late older record does not replace a newer one.  The
     table lies in ``parts`` by key hash (fixed for the table's life); a batch
-    reads and rewrites only the parts that it has rows for, each as a new
-    version.  Merging a batch twice gives the same rows, so a restart between
-    two parts is harmless.
+    reads and rewrites only the parts that it has rows for, as one version.
+    Merging a batch twice gives the same rows, so a restart is harmless.
     """
+    part = F.pmod(F.xxhash64(*keys), F.lit(parts))
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
-        part = F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int")
-        newest = cut_lineage(keep_last(batch, keys, order).withColumn("_part", part))
-        for row in newest.select("_part").distinct().collect():  # at most ``parts``
-            name = f"{table}/part-{row['_part']}"
-            rows = newest.where(F.col("_part") == row["_part"]).drop("_part")
-            if lake.exists(layer, name):
-                rows = keep_last(lake.read(layer, name).unionByName(rows), keys, order)
-            lake.write(layer, name, rows)
+        lake.merge(layer, table, keep_last(batch, keys, order), part,
+                   lambda old, new: keep_last(old.unionByName(new), keys, order),
+                   layout=f"hash of {', '.join(keys)} in {parts}")
+
+    return _merging(stream, merge, checkpoint)
+
 
+def _merging(stream: DataFrame, merge, checkpoint: str):
     return (
         stream.writeStream.foreachBatch(merge)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def machine_days(time_column: str, machine_parts: int) -> Column:
+    """Part of a reading or an hour: its day and a hash of its machine; no usable time is day -1."""
+    day = F.coalesce(F.unix_date(F.to_date(time_column)), F.lit(-1)).cast("bigint")
+    return day * machine_parts + F.pmod(F.xxhash64(F.col("machine_id").cast("string")), F.lit(machine_parts))
+
+
+def merge_hourly(
+    stream: DataFrame, lake, order: list[str], checkpoint: str, *,
+    readings: str = "sensor_reading_latest", mart: str = "fact_sensor_hourly_live", machine_parts: int = 4,
+):
+    """Hourly mart that late and conflicting readings revise, however late they are.
+
+    The newest reading (by ``order``) of each time, machine and sensor is kept
+    in a clean table that lies in parts of a day and some machines.  A batch is
+    merged into the parts that it touches, and the hours of these parts are
+    computed again and replace those of the mart.  So the mart equals the batch
+    plan over everything that has arrived, in whatever order it came, and a
+    batch costs what its days hold.  A batch that is repeated after a failure
+    finds its rows merged and writes the same hours.
+    """
+    layout = f"day and hash of machine_id in {machine_parts}"
+
+    def merge(batch: DataFrame, _batch_id: int) -> None:
+        typed = coerce(batch, timestamps=("timestamp",), numbers=SENSOR_NUMBERS)
+        touched = lake.merge(
+            "clean", readings, keep_last(typed, READING_KEYS, order), machine_days("timestamp", machine_parts),
+            lambda old, new: keep_last(old.unionByName(new), READING_KEYS, order), layout=layout)
+        if touched:
+            hours = sensor_hourly(derive_sensor_columns(lake.read_parts("clean", readings, touched)))
+            lake.merge("mart", mart, hours, machine_days("sensor_hour", machine_parts),
+                       lambda _old, new: new, layout=layout)
+
+    return _merging(stream, merge, checkpoint)

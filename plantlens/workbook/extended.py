@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.coerce import date_of
 from ..functions.numeric import exact_sum, round_half_up
 from ..operators import integrity, sketches
-from ..plans import dashboard, extended
+from ..plans import dashboard, extended, star
 from ..streaming import telemetry
 from ..sources.lake import Lake
 from .core import query
@@ -40,14 +43,59 @@ def b03(shop):
     return extended.root_cause_counts(shop.shipments)
 
 
+# Surrogate key of a dimension row in SQL: 60 bits of the digest of the natural key; -1 is the unknown member.
+def _key_sql(c: str) -> str:
+    return f"cast(concat('0x',substr(md5(cast({c} as varchar)),1,15)) as bigint)"
+
+
+_DIMS = {"customer": "customer_id", "product": "product_id", "machine": "machine_id", "plant": "plant_id"}
+
+
+def _fact_key_sql(dim: str, column: str) -> str:
+    return (f"case when {column} in (select {_DIMS[dim]} from {dim}_master) then {_key_sql(column)} else -1 end")
+
+
+def _dimensions(shop, *names):
+    return {n: star.dimension(shop.raw(f"{n}_master"), _DIMS[n], f"{n}_key") for n in names}
+
+
 @query("b04_star_schema_facts", f"""
-select customer_id, product_id, cast(order_date as date) as order_day, {xsum('net_order_value')} as net_order_value, count(*) as order_lines
-from m_delivery group by 1,2,3""")
+select {_fact_key_sql('customer', 'customer_id')} as customer_key, {_fact_key_sql('product', 'product_id')} as product_key,
+ cast(order_date as date) as order_day, {xsum('net_order_value')} as net_order_value, count(*) as order_lines from m_delivery group by 1,2,3""")
 def b04(shop):
     """Sales fact of the star schema: customer, product and day."""
-    return shop.delivery.groupBy("customer_id", "product_id", date_of("order_date").alias("order_day")).agg(
-        exact_sum("net_order_value").alias("net_order_value"),
-        F.count(F.lit(1)).alias("order_lines"))
+    return star.sales_fact(shop.delivery, **_dimensions(shop, "customer", "product"))
+
+
+@query("b04_production_fact", f"""
+select {_fact_key_sql('plant', 'w.plant_id')} as plant_key, {_fact_key_sql('machine', 'r.machine_id')} as machine_key,
+ {_fact_key_sql('product', 'w.product_id')} as product_key, r.run_date as production_day, count(*) as run_count,
+ {xsum('r.output_quantity')} as output_quantity, {xsum('r.good_quantity')} as good_quantity,
+ {xsum('r.scrap_quantity')} as scrap_quantity, {xsum('r.runtime_minutes')} as runtime_minutes, {xsum('r.idle_minutes')} as idle_minutes
+from c_production_run r left join c_work_order w on r.work_order_id=w.work_order_id group by 1,2,3,4""")
+def b04_production(shop):
+    """Production fact: plant, machine, product and day; runs without a work order have unknown members."""
+    return star.production_fact(shop.runs, shop.work_orders, **_dimensions(shop, "plant", "machine", "product"))
+
+
+@query("b04_quality_fact", f"""
+select {_fact_key_sql('plant', 'w.plant_id')} as plant_key, {_fact_key_sql('product', 'q.product_id')} as product_key,
+ cast(q.inspection_datetime as date) as inspection_day, q.defect_code, count(*) as inspection_count,
+ {xsum('q.sample_size')} as sample_size, {xsum('q.defect_count')} as defect_count, cast(sum(q.high_defect_risk) as bigint) as high_risk_count
+from c_quality_inspection q left join c_work_order w on q.work_order_id=w.work_order_id group by 1,2,3,4""")
+def b04_quality(shop):
+    """Quality fact: plant, product, day and defect code."""
+    return star.quality_fact(shop.inspections, shop.work_orders, **_dimensions(shop, "plant", "product"))
+
+
+@query("b04_dimensions", " union all ".join(
+    f"select '{d}' as dimension, {_key_sql(c)} as surrogate_key, cast({c} as varchar) as natural_key from {d}_master "
+    f"union all select '{d}', -1, null" for d, c in _DIMS.items()))
+def b04_dimensions(shop):
+    """Keys of all dimensions, the unknown members among them."""
+    parts = [d.select(F.lit(n).alias("dimension"), F.col(f"{n}_key").alias("surrogate_key"),
+                      F.col(_DIMS[n]).cast("string").alias("natural_key")) for n, d in _dimensions(shop, *_DIMS).items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("b05_calendar", """
@@ -127,6 +175,27 @@ def b09(shop):
     return extended.daily_demand(orders)
 
 
+@query("b09_product_demand", """
+with bounds as (select min(cast(order_date as date)) as lo, max(cast(order_date as date)) as hi from sales_order),
+days as (select k.product_id, k.day, coalesce(q.q,0) as q, coalesce(q.n,0) as n from
+ (select product_id, cast(d as date) as day from (select distinct product_id from sales_order),
+  (select unnest(generate_series(lo, hi, interval '1' day)) as d from bounds)) k
+ left join (select product_id, cast(order_date as date) as day, cast(sum(cast(ordered_quantity as decimal(28,6))) as double) as q, count(*) as n
+  from sales_order group by 1,2) q on k.product_id=q.product_id and k.day=q.day),
+filled as (select *, lag(q,1) over w as lag_1, lag(q,7) over w as lag_7, sum(n) over (w rows between 7 preceding and current row) as near,
+  cast(sum(cast(q as decimal(28,6))) over (w rows between 7 preceding and 1 preceding) as double)
+   /nullif(count(*) over (w rows between 7 preceding and 1 preceding),0) as mean_prior_7d
+ from days window w as (partition by product_id order by day)),
+marked as (select *, near=0 and day>=lo+7 as idle from filled, bounds),
+runs as (select *, day - cast(row_number() over (partition by product_id, idle order by day) as integer) as run from marked)
+select product_id, min(day) as from_date, max(day) as to_date, max(q) as demand_quantity, cast(max(n) as bigint) as order_lines,
+ max(lag_1) as lag_1, max(lag_7) as lag_7, max(mean_prior_7d) as mean_prior_7d
+from runs group by product_id, idle, case when idle then run else day end""")
+def b09_products(shop):
+    """Daily demand at product grain; days without demand in reach are one row a run."""
+    return extended.demand_runs(shop.sales_orders)
+
+
 _DRIFT = "(select *, run_start_datetime<timestamp '1999-01-01 00:00:00' as is_ref from c_production_run)"
 
 
@@ -340,25 +409,40 @@ def b19_supplier(shop):
 
 # -- streams ------------------------------------------------------------------------------
 
-_STREAMED = """(select * exclude(seq) from sensor_reading where seq=0)"""
+_TEXT_MACHINE = "* replace (cast(machine_id as varchar) as machine_id)"
 
 
 @query("b15_stream_sensor_hourly", f"""
-select date_trunc('hour',"timestamp") as sensor_hour, plant_id, line_id, cast(machine_id as varchar) as machine_id, count(*) as reading_count,
- {xavg('temperature_c')} as avg_temperature_c, max(temperature_c) as max_temperature_c,
- {xavg('vibration_mm_s')} as avg_vibration_mm_s, max(vibration_mm_s) as max_vibration_mm_s,
- {xavg('pressure_bar')} as avg_pressure_bar, {xavg('current_amp')} as avg_current_amp, {xavg('speed_rpm')} as avg_speed_rpm,
- avg(case when temperature_c between 0 and 150 and vibration_mm_s>=0 and pressure_bar>=0 and current_amp>=0 then 1 else 0 end) as sensor_valid_rate
-from {_STREAMED} where date_trunc('hour',"timestamp") + interval '3' hour <= (select max("timestamp") from {_STREAMED}) group by 1,2,3,4""")
+select {_TEXT_MACHINE} from m_sensor where sensor_hour + interval '3' hour <= (select max("timestamp") from sensor_reading)""")
 def b15(shop):
-    """Telemetry documents, some of them repeated, streamed into closed hours."""
+    """Telemetry documents with repeated and conflicting readings, streamed into closed hours."""
+    readings = shop.raw("sensor_reading")
+    path = _telemetry_files(shop, [readings.unionByName(readings.filter(F.col("sensor_id") % 40 == 1))])
+    stream = telemetry.read_telemetry(shop.spark, path, extra="seq int")
+    return telemetry.drain(telemetry.hourly_stream(stream, order=["seq"]), "sensor-hourly")
+
+
+@query("b15_stream_revised_hours", f"select {_TEXT_MACHINE} from m_sensor")
+def b15_revised(shop):
+    """The same readings in three batches; corrections come both before and long after what they
+    correct, and the mart equals the batch plan over all hours."""
+    readings = shop.raw("sensor_reading")
+    corrections, early = F.col("seq") == 1, F.col("sensor_id") % 80 == 1
+    path = _telemetry_files(shop, [
+        readings.filter(corrections & early), readings.filter(~corrections), readings.filter(corrections & ~early)])
+    stream = telemetry.read_telemetry(shop.spark, path, files_per_trigger=1, extra="seq int")
+    lake = Lake(shop.spark, shop.scratch("lake"))
+    telemetry.merge_hourly(stream, lake, ["seq"], shop.scratch("ckpt")).awaitTermination()
+    return lake.read("mart", "fact_sensor_hourly_live")
+
+
+def _telemetry_files(shop, batches):
+    """Readings as JSON lines, one file a batch, in this order of arrival."""
     path = shop.scratch("telemetry")
-    readings = shop.raw("sensor_reading").filter("seq = 0").drop("seq")
-    repeated = readings.unionByName(readings.filter(F.col("sensor_id") % 40 == 1))
-    as_text = repeated.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
-    as_text.select(*[F.col(c).cast("string") for c in as_text.columns]).write.json(path)
-    hourly = telemetry.hourly_stream(telemetry.read_telemetry(shop.spark, path))
-    return telemetry.drain(hourly, "sensor-hourly")
+    for batch in batches:
+        text = batch.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+        text.select(*[F.col(c).cast("string") for c in text.columns if c != "seq"], "seq").coalesce(1).write.mode("append").json(path)
+    return path
 
 
 @query("b16_stream_alarm_windows", """

@@ -218,6 +218,107 @@ def test_latest_record_stream_rewrites_touched_parts_only(spark, lake, tmp_path)
     assert lake.read("clean", "latest").where("k = 5").first()["at"] == 2 and lake.read("clean", "latest").count() == 100
 
 
+def test_upsert_keeps_the_files_of_untouched_parts(spark, lake):
+    lake.write("lab", "m", spark.range(200).selectExpr("id as k", "'old' as v"))
+    lake.upsert("lab", "m", spark.createDataFrame([(500, "new")], "k int, v string"), ["k"], parts=8)
+    before = set(lake.paths("lab", "m"))
+    lake.upsert("lab", "m", spark.createDataFrame([(7, "new"), (900, "new")], "k int, v string"), ["k"])
+    after = set(lake.paths("lab", "m"))
+    assert len(before) == len(after) == 8 and 1 <= len(before - after) <= 2
+    rows = dict(map(tuple, lake.read("lab", "m").collect()))
+    assert len(rows) == 202 and {k for k, v in rows.items() if v == "new"} == {7, 500, 900}
+    assert lake.read("lab", "m").schema["k"].dataType.simpleString() == "bigint"
+    # What neither of the last two versions names is gone; a plain write ends the layout.
+    for k in range(6):
+        lake.upsert("lab", "m", spark.createDataFrame([(7, f"v{k}")], "k int, v string"), ["k"])
+    held = [f"{v}/{p}" for v in lake._children(lake.folder("lab", "m"))
+            for p in lake._children(f"{lake.folder('lab', 'm')}/{v}/parts") if p.startswith("_part=")]
+    assert len(held) == 9 and lake.read("lab", "m").count() == 202
+    lake.write("lab", "m", lake.read("lab", "m").where("k < 5"))
+    assert lake.manifest("lab", "m") is None and lake.read("lab", "m").count() == 5
+
+
+def test_half_done_merge_leaves_the_table(spark, lake, monkeypatch):
+    """The parts are written, the manifest isn't: readers see the version before."""
+    lake.write("lab", "m", spark.range(50).selectExpr("id as k", "'old' as v"))
+    lake.upsert("lab", "m", spark.createDataFrame([(1, "one")], "k long, v string"), ["k"], parts=4)
+    kept = sorted(map(tuple, lake.read("lab", "m").collect()))
+    updates = spark.createDataFrame([(k, "x") for k in range(50)], "k long, v string")
+    with monkeypatch.context() as broken:
+        broken.setattr(lake, "_put_manifest", lambda *a: (_ for _ in ()).throw(OSError("cut off")))
+        with pytest.raises(OSError, match="cut off"):
+            lake.upsert("lab", "m", updates, ["k"])
+    assert sorted(map(tuple, lake.read("lab", "m").collect())) == kept
+    lake.upsert("lab", "m", updates, ["k"])
+    assert {r["v"] for r in lake.read("lab", "m").collect()} == {"x"}
+
+
+def test_table_in_parts_is_registered(spark, lake):
+    lake.write("mart", "m", spark.range(20).selectExpr("id as k", "cast(id as string) as v"))
+    lake.upsert("mart", "m", spark.createDataFrame([(3, "three")], "k long, v string"), ["k"], parts=3)
+    name = lake.register("mart", "m")
+    assert ("mart", "m") in {tuple(r) for r in lake.tables().collect()}
+    assert spark.table(name).where("v = 'three'").count() == 1
+    lake.upsert("mart", "m", spark.createDataFrame([(3, "3rd"), (77, "new")], "k long, v string"), ["k"])
+    rows = {r["k"]: r["v"] for r in spark.table(name).collect()}
+    assert len(rows) == 21 and (rows[3], rows[77]) == ("3rd", "new")
+
+
+def test_merge_can_empty_a_part(spark, lake):
+    part = F.col("k") % 3
+    rows = spark.range(9).withColumnRenamed("id", "k")
+    assert lake.merge("lab", "m", rows, part, lambda old, new: old.unionByName(new)) == [0, 1, 2]
+    gone = rows.where("k = 4")
+    assert lake.merge("lab", "m", gone, part, lambda old, new: old.where("k < 0")) == [1]
+    assert sorted(r["k"] for r in lake.read("lab", "m").collect()) == [0, 2, 3, 5, 6, 8]
+    assert lake.read_parts("lab", "m", [1]).count() == 0 and lake.read_parts("lab", "m", [2]).count() == 3
+    assert lake.merge("lab", "m", rows.limit(0), part, lambda old, new: new) == []
+
+
+READING = dict(machine_id="M1", sensor_id="T1", plant_id="P01", line_id="L1", operating_state="run", vibration_mm_s="1",
+               pressure_bar="1", current_amp="2", speed_rpm="100", data_quality_flag="ok")
+
+
+def _revisions(spark, lake, folder, batches):
+    """Hours of the live mart after each batch of (time, temperature, seq, machine)."""
+    for i, batch in enumerate(batches):
+        put(folder / f"p{i}.jsonl", "\n".join(json.dumps(
+            {**READING, "timestamp": at, "temperature_c": str(t), "seq": q, "machine_id": m}) for at, t, q, m in batch))
+        stream = telemetry.read_telemetry(spark, str(folder), extra="seq int")
+        telemetry.merge_hourly(stream, lake, ["seq"], str(folder.parent / "ckpt")).awaitTermination()
+        yield {(r["machine_id"], str(r["sensor_hour"])): (r["reading_count"], r["avg_temperature_c"])
+               for r in lake.read("mart", "fact_sensor_hourly_live").collect()}
+
+
+def test_late_and_conflicting_readings_revise_their_hours(spark, lake, tmp_path):
+    day = "2026-01-0"
+    batches = [
+        [(f"{day}1 08:10:00", 20, 1, "M1"), (f"{day}1 08:50:00", 40, 1, "M1"), (f"{day}1 08:10:00", 5, 1, "M2")],
+        [(f"{day}9 00:00:00", 70, 1, "M1"), (f"{day}1 08:10:00", 30, 2, "M1")],   # a correction days later
+        [(f"{day}1 08:50:00", 99, 0, "M1"), ("no time", 1, 1, "M3")],              # older than what is kept
+    ]
+    first, second, third = _revisions(spark, lake, tmp_path / "in", batches)
+    eight = f"{day}1 08:00:00"
+    assert first == {("M1", eight): (2, 30.0), ("M2", eight): (1, 5.0)}
+    assert second == {**first, ("M1", eight): (2, 35.0), ("M1", f"{day}9 00:00:00"): (1, 70.0)}
+    assert third == {**second, ("M3", "None"): (1, 1.0)}
+
+
+def test_repeated_batch_changes_nothing(spark, lake, tmp_path):
+    batch = [("2026-01-01 08:10:00", 20, 1, "M1"), ("2026-01-01 08:10:00", 25, 2, "M1")]
+    assert len({str(got) for got in _revisions(spark, lake, tmp_path / "in", [batch, batch, batch])}) == 1
+
+
+def test_last_reading_counts_in_closed_hours(spark, tmp_path):
+    rows = [("2026-01-01 08:10:00", 20, 1), ("2026-01-01 08:10:00", 30, 3), ("2026-01-01 08:10:00", 25, 2),
+            ("2026-01-01 12:00:00", 1, 1)]
+    put(tmp_path / "in" / "p.jsonl", "\n".join(json.dumps(
+        {**READING, "timestamp": at, "temperature_c": str(t), "seq": q}) for at, t, q in rows))
+    stream = telemetry.read_telemetry(spark, str(tmp_path / "in"), extra="seq int")
+    got = telemetry.drain(telemetry.hourly_stream(stream, order=["seq"]), "t").collect()
+    assert [(r["reading_count"], r["avg_temperature_c"]) for r in got] == [(1, 30.0)]
+
+
 def test_drain_goes_on_where_it_stopped(spark, tmp_path):
     source, schema = str(tmp_path / "s"), "k int"
     places = dict(checkpoint=str(tmp_path / "c"), target=str(tmp_path / "t"))
