@@ -30,12 +30,12 @@ TIME_COLUMNS = {
 
 def ingest(
     spark: SparkSession, source: str, lake: Lake, files: Mapping[str, str] = RAW_FILES,
-    *, sensor_rows: int | None = None,
+    *, sensor_rows: int | None = None, line_breaks: bool = False,
 ) -> DataFrame:
     """Copy every export into the raw layer and report the row counts."""
     frames = {}
     for table, relative in files.items():
-        frame = read_csv(spark, f"{source.rstrip('/')}/{relative}")
+        frame = read_csv(spark, f"{source.rstrip('/')}/{relative}", line_breaks=line_breaks)
         if table == "sensor_reading" and sensor_rows is not None:
             frame = first_rows(frame, sensor_rows)
         frames[table] = frame

@@ -29,6 +29,21 @@ def s01(shop):
                         "input_quantity", "output_quantity", "scrap_quantity")
 
 
+@query("s01_quoted_line_breaks", r"""
+select doc_id, length(text) as characters, md5(text) as text_md5, source,
+ len(regexp_extract_all(text, '\n')) as line_breaks from documents""")
+def s01_line_breaks(shop):
+    """Whole texts, line breaks, quotes and commas included, exported as CSV and read back in splits."""
+    path = shop.scratch("csv")
+    shop.base("documents").select("doc_id", "text", "source").write.option("header", True).options(
+        escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    raw = csv_source.read_csv(shop.spark, path, required=("doc_id", "text"), line_breaks=True)
+    return raw.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.length("text").cast("bigint").alias("characters"),
+        F.md5(F.col("text").cast("binary")).alias("text_md5"), "source",
+        F.regexp_count("text", F.lit("\n")).cast("bigint").alias("line_breaks"))
+
+
 @query("s02_row_capped_load", "select event_id, event_type, value from events order by event_id limit 2000")
 def s02(shop):
     """First 2,000 records of an export in file order."""
