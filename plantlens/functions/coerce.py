@@ -7,7 +7,8 @@ that the audit rules and not an exception decide what happens to the row.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +36,34 @@ def column(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+@dataclass(frozen=True)
+class Contract:
+    """How a source writes the values of one table.
+
+    ``formats`` are tried in this order, ``strict`` takes only the first, and
+    ``column_formats`` has the lists of columns that differ.  ``units`` gives a
+    column's (factor, offset) into the unit of the clean table: 1/60 and 0 turn
+    seconds into minutes.
+    """
+
+    formats: tuple[str, ...] = TIMESTAMP_FORMATS
+    strict: bool = False
+    column_formats: Mapping[str, tuple[str, ...]] = field(default_factory=dict)
+    units: Mapping[str, tuple[float, float]] = field(default_factory=dict)
+
+    def timestamp(self, name: str) -> Column:
+        return to_timestamp(name, self.column_formats.get(name, self.formats), strict=self.strict)
+
+    def number(self, name: str, value: Column) -> Column:
+        if name not in self.units:
+            return value
+        factor, offset = self.units[name]
+        return value * F.lit(float(factor)) + F.lit(float(offset))
+
+
+DEFAULT = Contract()
+
+
 def normalize_name(name: str) -> str:
     """Header text to column name: trimmed, lower case, separators to ``_``."""
     return re.sub(r"[ \-/]", "_", name.strip().lower())
@@ -76,29 +105,37 @@ def to_number(c: str | Column) -> Column:
 
 
 def coerce(
-    df: DataFrame,
-    *,
-    timestamps: Sequence[str] = (),
-    numbers: Sequence[str] = (),
-    formats: Sequence[str] = TIMESTAMP_FORMATS,
-    strict: bool = False,
+    df: DataFrame, *, timestamps: Sequence[str] = (), numbers: Sequence[str] = (), contract: Contract = DEFAULT,
 ) -> DataFrame:
     """Coerce the listed columns that exist; already typed columns are cast."""
     changed: dict[str, Column] = {}
     kinds = {f.name: f.dataType for f in df.schema.fields}
     for name in timestamps:
         if isinstance(kinds.get(name), T.StringType):
-            changed[name] = to_timestamp(name, formats, strict=strict)
+            changed[name] = contract.timestamp(name)
         elif name in kinds:
             changed[name] = F.col(name).cast("timestamp")
     for name in numbers:
         if isinstance(kinds.get(name), T.StringType):
-            changed[name] = to_number(name)
+            changed[name] = contract.number(name, to_number(name))
         elif name in kinds:
-            changed[name] = finite(F.col(name).cast("double"))
+            changed[name] = contract.number(name, finite(F.col(name).cast("double")))
     return df.withColumns(changed) if changed else df
 
 
+def rejected_values(
+    df: DataFrame, *, timestamps: Sequence[str] = (), numbers: Sequence[str] = (), contract: Contract = DEFAULT,
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """(*keep, column_name, value) of every text that ``coerce`` turns into null; one scan, no shuffle."""
+    texts = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+    read = {n: contract.timestamp(n) for n in timestamps if n in texts} | {n: to_number(n) for n in numbers if n in texts}
+    bad = [F.when(F.col(n).isNotNull() & value.isNull(), F.struct(F.lit(n).alias("column_name"), F.col(n).alias("value")))
+           for n, value in read.items()]
+    none = F.array().cast("array<struct<column_name:string,value:string>>")
+    return df.select(*keep, F.explode(F.array_compact(F.array(*bad)) if bad else none).alias("_bad")).select(*keep, "_bad.*")
+
+
 def text_or_literal(c: str | Column, parity: bool) -> Column:
     """``parity`` turns a missing text into the word the pandas cast leaves."""
     text = column(c).cast("string")

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.coerce import coerce, composite_key, holds, severity_rank
+from ..functions.coerce import DEFAULT, Contract, coerce, composite_key, holds, severity_rank
 from .dedup import INGEST_ORDER, duplicate_members, group_sizes
 
 
@@ -73,6 +73,7 @@ DECLARED_RULES = (
          "upper(trim(state_code)) = 'DOWN' and (reason_code is null or trim(reason_code) = '')"),
 )
 
+# Columns that the published rules read as times and numbers.
 RAW_TIMES = {
     "work_order": ("planned_start_datetime", "planned_end_datetime",
                    "actual_start_datetime", "actual_end_datetime"),
@@ -93,8 +94,8 @@ RAW_NUMBERS = {
 ISSUE_COLUMNS = ("table_name", "business_key", "rule_id", "severity", "issue_message")
 
 
-def coerced(table: str, raw: DataFrame) -> DataFrame:
-    return coerce(raw, timestamps=RAW_TIMES.get(table, ()), numbers=RAW_NUMBERS.get(table, ()))
+def coerced(table: str, raw: DataFrame, contract: Contract = DEFAULT) -> DataFrame:
+    return coerce(raw, timestamps=RAW_TIMES.get(table, ()), numbers=RAW_NUMBERS.get(table, ()), contract=contract)
 
 
 def _key(rule: Rule) -> Column:
@@ -119,11 +120,11 @@ def _for_table(rules: Sequence[Rule], table: str) -> tuple[list[Rule], list[Rule
 
 
 def table_issues(
-    table: str, raw: DataFrame, rules: Sequence[Rule], order: Sequence[str] = ()
+    table: str, raw: DataFrame, rules: Sequence[Rule], order: Sequence[str] = (), contract: Contract = DEFAULT,
 ) -> DataFrame:
     """Issue rows of one table; ``order`` columns are carried for the cap."""
     predicates, duplicates = _for_table(rules, table)
-    frame = coerced(table, raw)
+    frame = coerced(table, raw, contract)
     carried = [F.col(c) for c in order]
     parts = []
     if predicates:
@@ -162,6 +163,7 @@ def issue_log(
     order: Mapping[str, Sequence[str]] | None = None,
     stamp: bool = True,
     pass_row: bool = True,
+    contracts: Mapping[str, Contract] | None = None,
 ) -> DataFrame:
     """Issues of every table that has rules, with a pass row when there are none.
 
@@ -176,12 +178,13 @@ def issue_log(
             continue
         frame = raw[table]
         by = tuple((order or {}).get(table, [c for c in INGEST_ORDER if c in frame.columns]))
+        contract = (contracts or {}).get(table, DEFAULT)
         if cap is None:
-            part = table_issues(table, frame, rules)
+            part = table_issues(table, frame, rules, contract=contract)
         else:
             if not by:
                 raise ValueError(f"a capped log of {table} needs an order")
-            part = capped(table_issues(table, frame, rules, by), by, cap)
+            part = capped(table_issues(table, frame, rules, by, contract), by, cap)
         parts.append(part.select(*ISSUE_COLUMNS))
     issues = reduce(DataFrame.unionByName, parts)
     if pass_row:
@@ -216,6 +219,7 @@ def issue_counts(
     rules: Sequence[Rule] = CORE_RULES,
     *,
     cap: int | None = None,
+    contracts: Mapping[str, Contract] | None = None,
 ) -> DataFrame:
     """The summary without building the log: conditional counts in one pass per table.
 
@@ -227,7 +231,7 @@ def issue_counts(
         if table not in raw:
             continue
         predicates, duplicates = _for_table(rules, table)
-        frame = coerced(table, raw[table])
+        frame = coerced(table, raw[table], (contracts or {}).get(table, DEFAULT))
         if predicates:
             counted = frame.agg(
                 *[F.count_if(F.expr(r.predicate)).alias(r.rule_id) for r in predicates]

@@ -8,6 +8,7 @@ the ordered group is bounded by the calendar and not by the number of rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from ..functions.coerce import date_of, flag
 from ..functions.numeric import RATE, exact_avg, exact_sum, ratio
 from ..operators import sketches
 from ..operators.dedup import join_side, null_safe_on
+from ..session import cut_lineage
 
 # Holidays of the published calendar year.
 HOLIDAYS = (
@@ -379,6 +381,50 @@ def with_group_size(records: DataFrame, quasi_identifiers: Sequence[str]) -> Dat
     )
 
 
+MOST_IDENTIFIERS = 12  # subsets double with each one
+
+
+def subset_anonymity(records: DataFrame, quasi_identifiers: Sequence[str]) -> DataFrame:
+    """Smallest group of every non-empty subset of the quasi-identifiers.
+
+    Returns (identifiers, size, smallest_group, groups, rows_alone, computed).
+    Records are counted once by all identifiers; levels of the subset lattice
+    are then grouping sets over these counts, one aggregation a level.  A record
+    that is alone under a subset is alone under every larger one, so subsets
+    above one with a smallest group of 1 are not computed: their smallest group
+    is 1, the other counts are null.  Missing values match each other.
+    """
+    names = list(quasi_identifiers)
+    if len(names) > MOST_IDENTIFIERS:
+        raise ValueError(f"at most {MOST_IDENTIFIERS} quasi-identifiers, not {len(names)}")
+    spark = records.sparkSession
+    cells = cut_lineage(records.groupBy(*names).agg(F.count(F.lit(1)).alias("_n")))
+    alone: list[frozenset] = []
+    rows = []
+    for size in range(1, len(names) + 1):
+        level = [frozenset(c) for c in combinations(names, size)]
+        wanted = [s for s in level if not any(a <= s for a in alone)]
+        found = {}
+        if wanted:
+            sets = [[F.col(n) for n in names if n in s] for s in wanted]
+            sizes = cells.groupingSets(sets, *names).agg(F.sum("_n").alias("_n"), F.grouping_id().alias("_set"))
+            found = {r["_set"]: r for r in sizes.groupBy("_set").agg(
+                F.min("_n").alias("smallest"), F.count(F.lit(1)).alias("groups"),
+                F.count_if(F.col("_n") == 1).alias("alone")).collect()}  # one row a subset
+        for s in level:
+            # The set's number has a bit for each column that is left out, the last column lowest.
+            bits = sum(1 << (len(names) - 1 - i) for i, n in enumerate(names) if n not in s)
+            r, label = found.get(bits), ",".join(n for n in names if n in s)
+            if s in wanted:
+                rows.append((label, size, *((r["smallest"], r["groups"], r["alone"]) if r else (None, 0, 0)), True))
+                if r and r["smallest"] == 1:
+                    alone.append(s)
+            else:
+                rows.append((label, size, 1, None, None, False))
+    return spark.createDataFrame(
+        rows, "identifiers string, size int, smallest_group long, groups long, rows_alone long, computed boolean")
+
+
 # -- partitions, graph, cohorts -----------------------------------------------
 
 def client_counts(features: DataFrame) -> DataFrame:

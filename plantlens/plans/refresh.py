@@ -8,10 +8,12 @@ every table.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.coerce import DEFAULT, Contract
 from ..operators import quality_rules
 from ..operators.access import user_plant_map
 from ..session import configure, size_shuffles
@@ -42,20 +44,28 @@ def ingest(
     return row_counts(lake.write_all("raw", frames))
 
 
-def build_clean(lake: Lake, *, parity: bool = False, issue_cap: int | None = None) -> DataFrame:
+def build_clean(
+    lake: Lake, *, parity: bool = False, issue_cap: int | None = None, contracts: Mapping[str, Contract] | None = None,
+) -> DataFrame:
+    """Clean tables, the issue log and the values that the sources' contracts could not read."""
     raw = lambda t: lake.read("raw", t)
+    of = lambda t: (contracts or {}).get(t, DEFAULT)
     frames = {
-        "work_order": clean.work_orders(raw("work_order"), parity=parity),
-        "production_run": clean.production_runs(raw("production_run"), parity=parity),
-        "quality_inspection": clean.quality_inspections(raw("quality_inspection"), parity=parity),
-        "sensor_reading": clean.sensor_readings(raw("sensor_reading"), parity=parity),
-        "machine_state_event": clean.machine_state_events(raw("machine_state_event"), parity=parity),
-        "shipment": clean.shipments(raw("shipment")),
-        "sales_order": clean.sales_orders(raw("sales_order")),
-        **{m: clean.master(m, raw(m)) for m in clean.MASTERS},
+        "work_order": clean.work_orders(raw("work_order"), parity=parity, contract=of("work_order")),
+        "production_run": clean.production_runs(raw("production_run"), parity=parity, contract=of("production_run")),
+        "quality_inspection": clean.quality_inspections(
+            raw("quality_inspection"), parity=parity, contract=of("quality_inspection")),
+        "sensor_reading": clean.sensor_readings(raw("sensor_reading"), parity=parity, contract=of("sensor_reading")),
+        "machine_state_event": clean.machine_state_events(
+            raw("machine_state_event"), parity=parity, contract=of("machine_state_event")),
+        "shipment": clean.shipments(raw("shipment"), contract=of("shipment")),
+        "sales_order": clean.sales_orders(raw("sales_order"), contract=of("sales_order")),
+        **{m: clean.master(m, raw(m), contract=of(m)) for m in clean.MASTERS},
+        "rejected_value": reduce(DataFrame.unionByName, [
+            clean.rejected_values(t, raw(t), of(t)) for t in (*clean.TIMES, *clean.MASTERS)]),
         "dq_issue_log": quality_rules.issue_log(
             {t: raw(t) for t in ("work_order", "production_run", "quality_inspection", "sensor_reading")},
-            cap=issue_cap, pass_row=False,
+            cap=issue_cap, pass_row=False, contracts=contracts,
         ),
     }
     written = lake.write_all("clean", frames)
@@ -140,19 +150,23 @@ def register_all(lake: Lake, audits: Mapping[str, Mapping[str, int]]) -> None:
 
 def run_all(
     spark: SparkSession, source: str, lake: Lake, files: Mapping[str, str] = RAW_FILES, *,
-    parity: bool = False, sensor_rows: int | None = None, issue_cap: int | None = None, register: bool = False,
+    parity: bool = False, sensor_rows: int | None = None, issue_cap: int | None = None, register: bool = True,
+    contracts: Mapping[str, Contract] | None = None, line_breaks: bool = False,
 ) -> dict[str, DataFrame]:
     """Ingest, clean, build marts, create views; returns the row-count audits.
 
     ``sensor_rows`` caps the rows taken of the sensor export and ``issue_cap``
-    the issues logged per rule; both are off by default.  ``register`` also
-    enters tables and views in the catalog, where ``lake.tables()`` lists them.
+    the issues logged per rule; both are off by default.  ``contracts`` says, by
+    raw table, how a source writes times and units; what they can't read is
+    listed in ``clean.rejected_value``.  ``line_breaks`` takes quoted line breaks
+    in exports as part of their fields.  Tables and views are entered in the
+    catalog, where ``lake.tables()`` lists them, unless ``register`` is off.
     """
     configure(spark)
     size_shuffles(spark, source)
     steps = {
-        "ingest_raw_data": lambda: ingest(spark, source, lake, files, sensor_rows=sensor_rows),
-        "clean_and_validate": lambda: build_clean(lake, parity=parity, issue_cap=issue_cap),
+        "ingest_raw_data": lambda: ingest(spark, source, lake, files, sensor_rows=sensor_rows, line_breaks=line_breaks),
+        "clean_and_validate": lambda: build_clean(lake, parity=parity, issue_cap=issue_cap, contracts=contracts),
         "build_feature_marts": lambda: build_marts(lake),
     }
     audits, counted = {}, {}

@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.coerce import coerce
+from ..functions.coerce import DEFAULT, Contract
 from ..operators.dedup import keep_last
+from ..plans import clean
 from ..plans.clean import derive_sensor_columns
 from ..plans.marts import sensor_hourly, sensor_measures
 from ..session import scratch_path
@@ -22,7 +23,6 @@ TELEMETRY_SCHEMA = (
 
 
 READING_KEYS = ["timestamp", "machine_id", "sensor_id"]
-SENSOR_NUMBERS = ("temperature_c", "vibration_mm_s", "pressure_bar", "current_amp", "speed_rpm", "humidity_pct")
 
 
 def read_telemetry(
@@ -35,7 +35,9 @@ def read_telemetry(
     return reader.json(path)
 
 
-def hourly_stream(readings: DataFrame, lateness: str = "2 hours", order: Sequence[str] = ()) -> DataFrame:
+def hourly_stream(
+    readings: DataFrame, lateness: str = "2 hours", order: Sequence[str] = (), contract: Contract = DEFAULT,
+) -> DataFrame:
     """Hourly sensor aggregates of closed hours.
 
     Of readings that repeat a time, machine and sensor, the last one by
@@ -44,7 +46,7 @@ def hourly_stream(readings: DataFrame, lateness: str = "2 hours", order: Sequenc
     ``order`` the first arrival counts, which is the same when copies are
     exact.  ``lateness`` is our choice.
     """
-    typed = coerce(readings, timestamps=("timestamp",), numbers=SENSOR_NUMBERS).withWatermark("timestamp", lateness)
+    typed = clean.typed("sensor_reading", readings, contract).withWatermark("timestamp", lateness)
     if order:
         rest = [c for c in typed.columns if c not in READING_KEYS]
         unique = typed.groupBy(*READING_KEYS).agg(
@@ -144,6 +146,7 @@ def machine_days(time_column: str, machine_parts: int) -> Column:
 def merge_hourly(
     stream: DataFrame, lake, order: list[str], checkpoint: str, *,
     readings: str = "sensor_reading_latest", mart: str = "fact_sensor_hourly_live", machine_parts: int = 4,
+    contract: Contract = DEFAULT,
 ):
     """Hourly mart that late and conflicting readings revise, however late they are.
 
@@ -158,7 +161,7 @@ def merge_hourly(
     layout = f"day and hash of machine_id in {machine_parts}"
 
     def merge(batch: DataFrame, _batch_id: int) -> None:
-        typed = coerce(batch, timestamps=("timestamp",), numbers=SENSOR_NUMBERS)
+        typed = clean.typed("sensor_reading", batch, contract)
         touched = lake.merge(
             "clean", readings, keep_last(typed, READING_KEYS, order), machine_days("timestamp", machine_parts),
             lambda old, new: keep_last(old.unionByName(new), READING_KEYS, order), layout=layout)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import integrity
+from ..operators import defects, integrity
 from ..operators import quality_rules as qr
 from .core import CORE_TABLES, ROW_ORDER, query
 from .oracle import DUP_SQL, rule_sql
@@ -177,6 +180,7 @@ from (select rule_id, business_key, max(f) as f, max(t) as t from (
  union all select 'DQ-WO-DUP', cast(o_orderkey as varchar), 0, 1 from orders where o_orderkey % 25 = 0
  union all select 'DQ-WO-TIME', cast(o_orderkey as varchar), 0, 1 from orders where o_orderkey % 13 = 0
  union all select 'DQ-WO-MISSING-END', cast(o_orderkey as varchar), 0, 1 from orders where o_orderkey % 17 = 0
+ union all select 'DQ-WO-QTY', cast(o_orderkey as varchar), 0, 1 from orders join customer on o_custkey=c_custkey where c_acctbal<0
 ) group by 1,2) group by 1""")
 def q22(shop):
     """Found work-order issues against the violations the test entity injects."""
@@ -186,10 +190,59 @@ def q22(shop):
         injected = shop.base("orders").filter(key % step == 0).select(
             F.lit(rule_id).alias("rule_id"), key.cast("string").alias("business_key"))
         truth = injected if truth is None else truth.unionByName(injected)
+    negative = shop.base("customer").filter(F.col("c_acctbal") < 0).select(F.col("c_custkey").alias("o_custkey"))
+    truth = truth.unionByName(shop.base("orders").join(negative, "o_custkey", "left_semi").select(
+        F.lit("DQ-WO-QTY").alias("rule_id"), key.cast("string").alias("business_key")))
     found = qr.issue_log({"work_order": shop.raw("work_order")}, stamp=False)
     return qr.evaluate_rules(found, truth, ["business_key"])
 
 
+# Readings with copies of whole rows and with spikes, next to the conflicts and gaps that the entity has.
+_SPOILED = """(select * replace (case when sensor_id % 333 = 5 then temperature_c + 10000 else temperature_c end as temperature_c) from (
+ select * from sensor_reading union all select * from sensor_reading where sensor_id % 60 = 7 and seq=0))"""
+_HOURS_SQL = f"""(select machine_id, h, level, 1.4826::double*median(abs(m-level)) over w as spread from (
+ select *, median(m) over w as level from (select machine_id, date_trunc('hour',"timestamp") as h, median(temperature_c) as m from {_SPOILED} group by 1,2)
+ window w as (partition by machine_id order by h range between interval '12' hour preceding and interval '12' hour following))
+ window w as (partition by machine_id order by h range between interval '12' hour preceding and interval '12' hour following))"""
+
+
+@query("q22_truth_kinds", f"""
+select rule_id, count(*) filter (where f=1 and t=1) as true_positive, count(*) filter (where f=1 and t=0) as false_positive,
+ count(*) filter (where f=0 and t=1) as false_negative,
+ count(*) filter (where f=1 and t=1)/nullif(count(*) filter (where f=1),0) as "precision",
+ count(*) filter (where f=1 and t=1)/nullif(count(*) filter (where t=1),0) as recall
+from (select rule_id, sensor_id, max(f) as f, max(t) as t from (
+ select 'exact_duplicate' as rule_id, sensor_id, 1 as f, 0 as t from (select *, count(*) as n from {_SPOILED} group by all) where n>1
+ union all select 'duplicate_business_key', sensor_id, 1, 0 from (select distinct * from {_SPOILED}) group by "timestamp", machine_id, sensor_id having count(*)>1
+ union all select 'missing', sensor_id, 1, 0 from {_SPOILED} where temperature_c is null or vibration_mm_s is null or pressure_bar is null or current_amp is null
+ union all select 'spike', r.sensor_id, 1, 0 from {_SPOILED} r join {_HOURS_SQL} s on r.machine_id=s.machine_id and date_trunc('hour',r."timestamp")=s.h
+  where s.spread>0 and abs(r.temperature_c-s.level) > 6.0::double*s.spread
+ union all select 'exact_duplicate', event_id, 0, 1 from events where event_id % 60 = 7
+ union all select 'duplicate_business_key', event_id, 0, 1 from events where event_id % 40 = 1
+ union all select 'missing', event_id, 0, 1 from events where event_id % 40 = 0
+ union all select 'spike', event_id, 0, 1 from events where event_id % 333 = 5
+) group by 1,2) group by 1""")
+def q22_kinds(shop):
+    """Found defects of sensor readings against the injected ones, by kind of defect."""
+    raw = shop.raw("sensor_reading")
+    spoiled = raw.unionByName(raw.filter("sensor_id % 60 = 7 and seq = 0")).withColumn(
+        "temperature_c", F.when(F.expr("sensor_id % 333 = 5"), F.col("temperature_c") + 10000).otherwise(F.col("temperature_c")))
+    missing, = [r for r in qr.CORE_RULES if r.rule_id == "DQ-SENSOR-MISSING"]
+    found = {
+        "exact_duplicate": defects.exact_duplicates(spoiled),
+        "duplicate_business_key": defects.conflicting_keys(spoiled, ["timestamp", "machine_id", "sensor_id"]),
+        "missing": spoiled.filter(missing.predicate),
+        "spike": defects.spikes(spoiled, "temperature_c"),
+    }
+    injected = {"exact_duplicate": (60, 7), "duplicate_business_key": (40, 1), "missing": (40, 0), "spike": (333, 5)}
+    key = F.col("event_id")
+    named = lambda kind, df, c: df.select(F.lit(kind).alias("rule_id"), F.col(c).alias("sensor_id"))
+    truth = [named(k, shop.base("events").filter(key % step == rest), "event_id") for k, (step, rest) in injected.items()]
+    return qr.evaluate_rules(
+        reduce(DataFrame.unionByName, [named(k, df, "sensor_id") for k, df in found.items()]),
+        reduce(DataFrame.unionByName, truth), ["sensor_id"])
+
+
 @query("t03_first_issues_per_rule", """
 select table_name, business_key, rule_id, severity, issue_message from (select *, row_number() over (partition by rule_id order by k, s) as rn from (
  select 'raw.machine_state_event' as table_name, concat(machine_id,'@',cast(event_start as varchar)) as business_key, 'DQ006' as rule_id,

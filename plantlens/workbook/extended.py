@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -339,6 +340,31 @@ def b14_sequence(shop):
     return integrity.out_of_sequence(shop.raw("supply_chain_transaction"), "transaction_time").drop("batch_id")
 
 
+# Links that skip a transaction make forks, links to a later one make cycles.
+_TANGLED = """(select transaction_hash, case when k % 97 = 3 then md5(cast(k-2 as {S})) when k % 501 = 5 then md5(cast(k+3 as {S}))
+ else previous_hash end as previous_hash from (select o_orderkey as k, md5(cast(o_orderkey as {S})) as transaction_hash,
+ case when o_orderkey=0 then null when o_orderkey % 41 = 0 then md5(concat('x',cast(o_orderkey as {S})))
+  else md5(cast(o_orderkey-1 as {S})) end as previous_hash from {orders}))"""
+
+
+@query("b14_chain_order", f"""
+with recursive chain as materialized {_TANGLED.replace('{S}', 'varchar').replace('{orders}', 'orders')},
+walk as (
+ select transaction_hash, transaction_hash as origin_hash, cast(0 as bigint) as position, previous_hash is not null as broken from chain
+ where previous_hash is null or previous_hash not in (select transaction_hash from chain)
+ union all select c.transaction_hash, w.origin_hash, w.position+1, false from chain c join walk w on c.previous_hash=w.transaction_hash)
+select c.transaction_hash, w.origin_hash, w.position, coalesce(n.children, 0) as children,
+ case when w.transaction_hash is null then 'unrooted' when w.broken then 'broken' else 'linked' end as state
+from chain c left join walk w on c.transaction_hash=w.transaction_hash
+left join (select previous_hash, count(*) as children from chain group by 1) n on c.transaction_hash=n.previous_hash""")
+def b14_order(shop):
+    """Origin and position of every transaction, over links with forks and cycles."""
+    text = _TANGLED.replace("{S}", "string")
+    tangled = shop.spark.sql(f"select * from {text}", orders=shop.base("orders"))
+    ordered = integrity.chain_order(tangled)
+    return ordered.withColumn("state", F.when(F.col("origin_hash").isNull(), "unrooted").otherwise(F.col("state")))
+
+
 @query("b16_alarm_watchlist", """
 select machine_id, alarm_date, alarms_on_day, cast(alarms_7d as bigint) as alarms_7d from (
  select *, sum(alarms_on_day) over (partition by machine_id order by alarm_date range between interval '6' day preceding and current row) as alarms_7d
@@ -366,6 +392,23 @@ def b17_k(shop):
     return sizes.agg(F.min("k_anonymity_group_size").alias("k"), F.count(F.lit(1)).alias("groups"))
 
 
+_IDENTIFIERS = ("customer_segment", "country", "credit_band", "name_end")
+_PERSONS = ("(select customer_segment, country, cast(floor(credit_risk_score/20) as bigint) as credit_band, "
+            "substr(customer_name, length(customer_name), 1) as name_end from customer_master)")
+
+
+@query("b17_subset_anonymity", " union all ".join(
+    f"select '{','.join(s)}' as identifiers, {len(s)} as size, min(n) as smallest_group "
+    f"from (select {','.join(s)}, count(*) as n from {_PERSONS} group by all)"
+    for k in range(1, 5) for s in combinations(_IDENTIFIERS, k)))
+def b17_subsets(shop):
+    """Smallest group of all 15 subsets of four quasi-identifiers."""
+    persons = shop.raw("customer_master").select(
+        "customer_segment", "country", F.floor(F.col("credit_risk_score") / 20).cast("bigint").alias("credit_band"),
+        F.substring("customer_name", -1, 1).alias("name_end"))
+    return extended.subset_anonymity(persons, _IDENTIFIERS).select("identifiers", "size", "smallest_group")
+
+
 @query("b18_downtime_by_reason", f"""
 select machine_id, state_code, reason_code, count(*) as event_count, {xsum('event_duration_minutes')} as total_minutes
 from c_machine_state_event group by 1,2,3""")

@@ -238,6 +238,62 @@ def e01(shop):
     return listed
 
 
+MONTH_FIRST = "MM/dd/yyyy HH:mm:ss.SSSSSS"
+_SITE = {
+    "machine_state_event": fx.Contract(formats=(MONTH_FIRST,), strict=True),
+    "sensor_reading": fx.Contract(formats=(MONTH_FIRST,), strict=True, units={"temperature_c": (1 / 1.8, -32 / 1.8)}),
+}
+
+
+def _site_exports(shop) -> dict:
+    """Raw frames of a site that writes months first and degrees Fahrenheit, with marks no contract reads."""
+    root = shop.scratch("site")
+    stamp = lambda c: F.date_format(c, MONTH_FIRST)
+    states, sensors = shop.raw("machine_state_event"), shop.raw("sensor_reading")
+    states.withColumns({
+        "event_start": stamp("event_start"),
+        "event_end": F.when(F.col("reason_code").isNull(), "open").otherwise(stamp("event_end")),
+    }).write.option("header", True).csv(f"{root}/states", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    sensors.withColumns({
+        "timestamp": stamp("timestamp"),
+        "temperature_c": F.when(F.col("sensor_id") % 50 == 3, "broken").otherwise(
+            (F.col("temperature_c") * 1.8 + 32).cast("string")),
+    }).write.option("header", True).csv(f"{root}/sensors")
+    read = lambda name: csv_source.read_csv(shop.spark, f"{root}/{name}")
+    return {"machine_state_event": read("states"), "sensor_reading": read("sensors")}
+
+
+@query("p01_contract_times", """
+select cast(machine_id as varchar) as machine_id, state_code, event_start, case when reason_code is not null then event_end end as event_end,
+ reason_code, case when reason_code is not null then event_duration_minutes end as event_duration_minutes from c_machine_state_event""")
+def p01_times(shop):
+    """Month-first exports through their contract into the clean state events."""
+    table = "machine_state_event"
+    return clean.machine_state_events(_site_exports(shop)[table], contract=_SITE[table])
+
+
+@query("p01_contract_units", """
+select "timestamp", cast(machine_id as varchar) as machine_id, cast(sensor_id as varchar) as sensor_id,
+ case when sensor_id % 50 <> 3 then (temperature_c*1.8::double+32)*(1/1.8::double)+(-32/1.8::double) end as temperature_c, pressure_bar, sensor_hour
+from c_sensor_reading""")
+def p01_units(shop):
+    """Fahrenheit readings through their contract into the clean sensor table, the last copy kept."""
+    table = "sensor_reading"
+    cleaned = clean.sensor_readings(_site_exports(shop)[table], order=("seq",), contract=_SITE[table])
+    return cleaned.select("timestamp", "machine_id", "sensor_id", "temperature_c", "pressure_bar", "sensor_hour")
+
+
+@query("p01_rejected_values", """
+select 'machine_state_event' as table_name, 'event_end' as column_name, 'open' as value, count(*) as rows from machine_state_event
+where reason_code is null
+union all select 'sensor_reading', 'temperature_c', 'broken', count(*) from sensor_reading where sensor_id % 50 = 3""")
+def p01_rejected(shop):
+    """What the contracts could not read, by value."""
+    parts = [clean.rejected_values(t, raw, _SITE[t]) for t, raw in _site_exports(shop).items()]
+    return parts[0].unionByName(parts[1]).groupBy("table_name", "column_name", "value").agg(
+        F.count(F.lit(1)).alias("rows"))
+
+
 # -- projections and scalar functions -------------------------------------------
 
 @query("p01_lenient_timestamp", """

@@ -172,6 +172,45 @@ def test_full_refresh_and_rerun(spark, tmp_path, lake):
     assert len(log) == 6 and json.loads(log[0]["detail"])["status"] == "ok"
 
 
+def test_contracts_through_the_refresh(spark, tmp_path, lake):
+    """Work orders written month first, runs in seconds, sensors with a zone of their own; rejects are listed."""
+    import re
+
+    from plantlens.functions.coerce import Contract
+
+    files = dict(FILES)
+    files["work_order"] = re.sub(r"2026-(\d\d)-(\d\d)", r"\1/\2/2026", FILES["work_order"])
+    files["production_run"] = FILES["production_run"].replace(",100,10,1,1, DONE", ",6000,ten,1,1, DONE")
+    for table, text in files.items():
+        put(tmp_path / "src" / csv_source.RAW_FILES[table], text)
+    contracts = {
+        "work_order": Contract(formats=("MM/dd/yyyy HH:mm:ss",), strict=True),
+        "production_run": Contract(units={"runtime_minutes": (1 / 60, 0.0)}),
+    }
+    refresh.run_all(spark, str(tmp_path / "src"), lake, contracts=contracts, line_breaks=True)
+    order = lake.read("clean", "work_order").first()
+    assert (str(order["actual_end_datetime"]), order["schedule_delay_minutes"]) == ("2026-01-01 12:00:00", -720.0)
+    run = lake.read("clean", "production_run").first()
+    assert (run["runtime_minutes"], run["idle_minutes"]) == (100.0, None)
+    assert sorted(r["rule_id"] for r in lake.read("clean", "dq_issue_log").collect()).count("DQ-WO-DUP") == 2
+    rejected = lake.read("clean", "rejected_value").collect()
+    assert [(r["table_name"], r["column_name"], r["value"]) for r in rejected] == [("production_run", "idle_minutes", "ten")] * 2
+    assert {r["_ingest_row"] for r in rejected} == {0, 1}
+    assert ("clean", "rejected_value") in {tuple(r) for r in lake.tables().collect()}
+
+
+def test_contract_in_the_stream(spark, lake, tmp_path):
+    from plantlens.functions.coerce import Contract
+
+    put(tmp_path / "in" / "p.jsonl", json.dumps(
+        {**READING, "timestamp": "02/01/2026 08:10", "temperature_c": "212", "seq": 1}))
+    contract = Contract(formats=("MM/dd/yyyy HH:mm",), strict=True, units={"temperature_c": (1 / 1.8, -32 / 1.8)})
+    stream = telemetry.read_telemetry(spark, str(tmp_path / "in"), extra="seq int")
+    telemetry.merge_hourly(stream, lake, ["seq"], str(tmp_path / "c"), contract=contract).awaitTermination()
+    hour = lake.read("mart", "fact_sensor_hourly_live").first()
+    assert (str(hour["sensor_hour"]), round(hour["avg_temperature_c"], 6)) == ("2026-02-01 08:00:00", 100.0)
+
+
 def test_streamed_hours_equal_the_batch(spark, tmp_path):
     start = dt.datetime(2026, 1, 1)
     lines = []
