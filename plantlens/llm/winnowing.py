@@ -1,21 +1,25 @@
 """Document fingerprints by winnowing (operator 2).
 
-Every ``GRAM`` consecutive characters that begin at a unit are hashed; units
-are pieces of up to ``UNIT`` characters of the words, cut from each word's
-start, so an edit moves the units of its own word only.  Of every ``WINDOW``
-consecutive hashes the least is chosen, the rightmost of equal ones, and its
-place (number of the unit) is kept.  So a passage that holds ``WINDOW`` whole
-grams and stands in two texts gives both a hash in common for sure, and
-nothing shorter than a gram does.
-
-A chosen hash and its place are one long: 40 bits of hash above 24 bits of
-place counted down, so the least long is the least hash, rightmost at a tie.
-(Beyond 16 million units the places start over.)
-
-Everything is built-in column expressions.  Each row is handled alone; only
-the neighbour by descending id takes a shuffle: ids are cut into ranges at
-exact ids, a window runs over each range, and the document at a range's edge
-is also sent to the range above.
+The ``GRAM`` characters from every position on are hashed, blanks included.  Of
+every ``WINDOW`` consecutive hashes the least is chosen, the rightmost of equal
+ones, and its position is kept.  So a passage of ``GRAM + WINDOW - 1``
+characters that stands in two texts, wherever it stands and whatever script it
+is in, gives both a hash in common for sure, and nothing shorter than a gram
+does.
+
+A chosen hash and its position are one long: 40 bits of hash above 24 bits of
+position counted down, so the least long is the least hash, rightmost at a tie.
+(Beyond 16 million characters the positions start over.)
+
+Everything is built-in column expressions.  Grams are cut from the text's code
+points as fixed-width bytes, where a position costs no search, and a text is
+worked on in stretches of ``STRETCH`` windows, so that memory holds what is
+chosen and one stretch's hashes.  An edited text shares the windows of its
+unchanged beginning with the text, and only the rest is hashed again.
+
+Each row is handled alone; only the neighbour by descending id takes a shuffle:
+ids are cut into ranges at exact ids, a window runs over each range, and the
+document at a range's edge is also sent to the range above.
 
 Null texts count as empty; texts shorter than a gram are one gram, empty ones
 none.  Two empty fingerprints are alike (1), an empty and another are not (0).
@@ -26,36 +30,80 @@ own next one.  An empty table gives no rows.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .frames import digest, table
 
-UNIT = 3
 GRAM = 12
-WINDOW = 4  # a power of two
+WINDOW = 16  # a power of two
+STRETCH = 4096
 RANGES_PER_PARTITION = 4
 
 _PLACES = (1 << 24) - 1
+_WIDTH = 4  # bytes of a code point in UTF-32
+
+
+def _with(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _window_minima(hashes: Column, step: int = 1) -> Column:
+    """Least of each hash and those after it: of 2, of 4, ... up to ``WINDOW``; cut short at the end."""
+    if step == WINDOW:
+        return hashes
+    return _with(hashes, lambda h: _window_minima(
+        F.zip_with(h, F.slice(h, step + 1, F.size(h)), lambda a, b: F.least(a, b)), step * 2))
+
+
+def chosen(text: Column, first: Column | int = 0) -> Column:
+    """The chosen (hash, position) longs of a text in their order; positions count from ``first``."""
+    first = F.lit(first) if isinstance(first, int) else first
+
+    def of_points(points: Column) -> Column:
+        length = F.floor(F.octet_length(points) / _WIDTH).cast("int")
+        n_grams = F.greatest(length - (GRAM - 1), F.least(length, F.lit(1)))
+        n_windows = F.greatest(n_grams - (WINDOW - 1), F.least(n_grams, F.lit(1)))
+
+        def gram(at: Column) -> Column:
+            place = (first + at).bitwiseAND(F.lit(_PLACES))
+            return F.shiftleft(F.xxhash64(F.substring(points, at * _WIDTH + 1, F.lit(GRAM * _WIDTH))), 24).bitwiseOR(
+                F.lit(_PLACES) - place)
+
+        def stretch(begin: Column) -> Column:
+            windows = F.least(F.lit(STRETCH), n_windows - begin)
+            last = F.least(begin + windows + (WINDOW - 2), n_grams - 1)
+            minima = _window_minima(F.transform(F.sequence(begin, last), gram))
+            return F.array_distinct(F.slice(minima, F.lit(1), windows))
+
+        begins = F.sequence(F.lit(0), n_windows - 1, F.lit(STRETCH))
+        none = F.array().cast("array<bigint>")
+        return F.when(n_windows > 0, F.array_distinct(F.flatten(F.transform(begins, stretch)))).otherwise(none)
+
+    return _with(F.encode(text, "UTF-32"), of_points)
 
 
 def with_fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
-    """``df`` with the chosen (hash, place) longs of a text in their order."""
-    grams = F.regexp_extract_all(F.col(text), F.lit(rf"(?s)(?=(.{{{GRAM}}}))\S{{1,{UNIT}}}\s*"), F.lit(1))
-    whole = F.when(F.col(text) == "", F.array().cast("array<string>")).otherwise(F.array(text))
-    placed = F.transform(
-        F.when(F.size(grams) > 0, grams).otherwise(whole),
-        lambda gram, i: F.shiftleft(F.xxhash64(gram), 24).bitwiseOR(F.lit(_PLACES) - i.bitwiseAND(F.lit(_PLACES))))
-    df = df.withColumn("_0", placed)
-    step, level = 1, 0
-    while step < WINDOW:  # minima of 2, 4, ... neighbours; past the end a window is cut short
-        before = F.col(f"_{level}")
-        df = df.withColumn(f"_{level + 1}", F.zip_with(
-            before, F.slice(before, step + 1, F.size(before)), lambda a, b: F.least(a, b)))
-        step, level = step * 2, level + 1
-    full = F.slice(F.col(f"_{level}"), 1, F.greatest(F.size("_0") - (WINDOW - 1), F.lit(1)))
-    return df.withColumn(out, F.array_distinct(full)).drop(*[f"_{i}" for i in range(level + 1)])
+    """``df`` with the chosen (hash, position) longs of a text in their order."""
+    return df.withColumn(out, chosen(F.col(text)))
+
+
+def with_edited_fingerprint(df: DataFrame, fingerprint: str, edited: str, kept: Column, out: str) -> DataFrame:
+    """``df`` with the fingerprint of ``edited``, whose first ``kept`` characters are
+    those of the text that has ``fingerprint``.
+
+    The last window inside the kept part is common to both, and so is all that
+    was chosen before; from there on the edited text is hashed.
+    """
+    common = kept - (GRAM + WINDOW - 1)  # start of that window
+    begin = F.greatest(common, F.lit(0))
+    rest = chosen(F.substr(F.col(edited), begin + 1), begin)
+    before = F.slice(F.col(fingerprint), F.lit(1), F.array_position(F.col(fingerprint), F.get("_rest", F.lit(0))).cast("int") - 1)
+    return df.withColumn("_rest", rest).withColumn(
+        out, F.when(common >= 0, F.concat(before, F.col("_rest"))).otherwise(F.col("_rest"))).drop("_rest")
 
 
 def likeness(a: str, b: str) -> Column:
@@ -67,7 +115,7 @@ def likeness(a: str, b: str) -> Column:
 
 
 def places(c: str) -> Column:
-    """Units at which a fingerprint's hashes were chosen."""
+    """Positions at which a fingerprint's hashes were chosen."""
     return F.transform(c, lambda v: F.lit(_PLACES) - v.bitwiseAND(F.lit(_PLACES)))
 
 
@@ -95,7 +143,7 @@ def neighbours(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     ranges = RANGES_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = docs.select(F.percentile_approx("doc_id", [i / ranges for i in range(1, ranges)], 10_000)).first()[0]
+    cuts = docs.select(F.percentile_approx("doc_id", [i / ranges for i in range(1, ranges)], max(10_000, 4 * ranges))).first()[0]
     number = _range_of(F.col("doc_id"), sorted(set(cuts or [])))
     tops = {r.n: r.top for r in docs.where("doc_id is not null").groupBy(number.alias("n")).agg(
         F.max("doc_id").alias("top")).collect()}  # one row a range
@@ -124,13 +172,13 @@ def compared(docs: DataFrame) -> DataFrame:
     length = F.char_length("text")
     third = F.floor(length / 3).cast("int")
     rows = rows.select(
-        "doc_id", "_range", "_apart", "_lent", "_mark", "text", length.cast("long").alias("n_chars"),
+        "doc_id", (length - third).alias("_kept"), "_range", "_apart", "_lent", "_mark", "text", length.cast("long").alias("n_chars"),
         F.when(F.col("_lent") == 0, F.concat(
             F.substr("text", F.lit(1), length - third), F.substr("next_text", F.lit(1), third))).otherwise("").alias("edited"))
     rows = with_fingerprint(rows, "text", "chosen")
-    rows = with_fingerprint(rows, "edited", "edited_chosen").withColumn("edited_sha256", digest(F.col("edited").cast("binary")))
+    rows = with_edited_fingerprint(rows, "chosen", "edited", F.col("_kept"), "edited_chosen").withColumn("edited_sha256", digest(F.col("edited").cast("binary")))
     along = Window.partitionBy("_range").orderBy("_apart", "_lent", F.desc("doc_id"), "_mark")
-    rows = rows.drop("text", "edited").withColumn(
+    rows = rows.drop("text", "edited", "_kept").withColumn(
         "next_chosen", F.when(F.col("_apart"), F.col("chosen")).otherwise(F.lead("chosen").over(along))).where("_lent = 0")
     return rows.select(
         "doc_id", "n_chars", "edited_sha256", "chosen", "edited_chosen",

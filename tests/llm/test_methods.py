@@ -50,34 +50,67 @@ def test_toxicity_held_out(spark):
 
 
 # 2
-def _fingerprint(text):
-    """Winnowing by hand: (gram, place) of each window's choice."""
-    units = list(re.finditer(r"(?s)(?=(.{%d}))\S{1,%d}\s*" % (winnowing.GRAM, winnowing.UNIT), text))
-    return [m[1] for m in units] or ([text] if text else [])
+def _grams(text):
+    """The gram of every position; a shorter text is one gram."""
+    return [text[i:i + winnowing.GRAM] for i in range(max(len(text) - winnowing.GRAM + 1, 1 if text else 0))]
 
 
-def test_winnowing_by_hand(spark, docs):
-    texts = [f"{'the cat sat on the mat ' * n}and {n} dogs ran over the old hill" for n in range(1, 6)] + ["short", ""]
-    frame = winnowing.with_fingerprint(docs(*texts).select("doc_id", "text"), "text", "chosen").withColumn(
-        "places", winnowing.places("chosen"))
-    grams = sorted({g for t in texts for g in _fingerprint(t)})
+def _chosen_by_hand(spark, texts):
+    """Winnowing of each text, window by window: (hash, place) of each choice."""
+    grams = sorted({g for t in texts for g in _grams(t)})
     hashes = {r.g: r.h for r in spark.createDataFrame([(g,) for g in grams], "g string").select(
-        "g", F.expr("shiftright(shiftleft(xxhash64(g), 24), 24) as h")).collect()}
-    for row in frame.collect():
-        h = [hashes[g] for g in _fingerprint(row.text)]
-        want = []
+        "g", F.expr("shiftright(shiftleft(xxhash64(encode(g, 'UTF-32')), 24), 24) as h")).collect()}
+    made = {}
+    for text in texts:
+        h, picked = [hashes[g] for g in _grams(text)], []
         for i in range(max(1, len(h) - winnowing.WINDOW + 1) if h else 0):
             window = h[i:i + winnowing.WINDOW]
             place = i + max(j for j, x in enumerate(window) if x == min(window))
-            if place not in want:
-                want.append(place)
-        assert row.places == want
+            if place not in picked[-1:]:
+                picked.append(place)
+        made[text] = [(h[p], p) for p in picked]
+    return made
+
+
+def _likeness_by_hand(a, b):
+    a, b = {h for h, _ in a}, {h for h, _ in b}
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def test_winnowing_by_hand(spark, docs):
+    random.seed(5)
+    least = winnowing.GRAM + winnowing.WINDOW
+    texts = {i: "".join(random.choice("ab é🙂\n文") for _ in range(n)) for i, n in enumerate(
+        [0, 1, 11, 12, 13, least - 2, least - 1, least, 3 * least // 2, *(random.randrange(400) for _ in range(30)), 9000])}
+    texts |= {100: "x" * 200, 101: "the cat sat on the mat " * 9, 102: ""}
+    ids = sorted(texts, reverse=True)
+    following = {d: texts[ids[(i + 1) % len(ids)]] for i, d in enumerate(ids)}
+    edited = {d: t[:len(t) - len(t) // 3] + following[d][:len(t) // 3] for d, t in texts.items()}
+    want = _chosen_by_hand(spark, {*texts.values(), *edited.values()})
+    rows = winnowing.compared(docs(*texts.items())).withColumn("places", winnowing.places("chosen")).collect()
+    whole = (1 << 24) - 1
+    as_pairs = lambda longs: [(v >> 24, whole - (v & whole)) for v in longs]
+    for r in rows:
+        text, changed = texts[r.doc_id], edited[r.doc_id]
+        assert as_pairs(r.chosen) == want[text] and as_pairs(r.edited_chosen) == want[changed]
+        assert r.places == [p for _, p in want[text]]
+        assert r.near_edited == pytest.approx(_likeness_by_hand(want[text], want[changed]))
+        assert r.near_next == pytest.approx(_likeness_by_hand(want[text], want[following[r.doc_id]]))
+
+
+@pytest.mark.parametrize("letters", ["的一是不了人我在有他这中大来上国", "ABCDEFabcdef0123456789+/"])
+def test_inserted_character_keeps_unbroken_texts_alike(docs, letters):
+    random.seed(6)
+    text = "".join(random.choice(letters) for _ in range(600))
+    frame = winnowing.with_fingerprint(docs(text, "x" + text, text[:300] + "x" + text[300:]).select("doc_id", "text"), "text", "chosen")
+    sets = [{v >> 24 for v in r.chosen} for r in frame.orderBy("doc_id").collect()]
+    assert all(len(sets[0] & s) / len(sets[0] | s) > 0.9 for s in sets[1:])
 
 
 def test_winnowing_guarantee(docs):
     random.seed(3)
     word = lambda: "".join(random.choice("abcdefghij") for _ in range(random.randint(2, 8)))
-    shared = " ".join(word() for _ in range(12))
+    shared = " ".join(word() for _ in range(12))[:winnowing.GRAM + winnowing.WINDOW - 1]
     texts = [" ".join([*(word() for _ in range(random.randint(5, 40))), shared, *(word() for _ in range(20))]) for _ in range(12)]
     frame = winnowing.with_fingerprint(docs(*texts).select("doc_id", "text"), "text", "chosen")
     sets = [{v >> 24 for v in r.chosen} for r in frame.collect()]
