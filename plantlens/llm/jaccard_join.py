@@ -158,12 +158,20 @@ def _unseen(nodes: np.ndarray, seen: set[int]) -> np.ndarray:
     return fresh
 
 
+def _marks(shingles: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+    """32 bits that tell a shingle's sets apart; the bits of two sets agree for each shingle anew."""
+    with np.errstate(over="ignore"):
+        return mix(shingles * np.uint64(0x9E3779B97F4A7C15) ^ nodes) & np.uint64(0xFFFFFFFF)
+
+
 def rarity(docs: DataFrame, gram: int, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
     """Bitmap of shared shingles, the frequent ones with counts, and the mean
     number of sets that a shingle stands in.
 
-    A shingle's sets are told apart by 32 bits of their node, so that copies
-    count once.  What is shuffled is 8 bytes a shingle.
+    A shingle's sets are told apart by 32 bits of their node's hash with the
+    shingle, so that copies count once.  What is shuffled is 8 bytes a shingle.
+    A link is missed only if these bits agree for all of the listed shingles
+    that the two sets share with no third one: a chance of 2^-32 for each.
     """
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -189,8 +197,7 @@ def rarity(docs: DataFrame, gram: int, buckets: int) -> tuple[np.ndarray, np.nda
                 nodes = node_ids(shingles, first)
                 fresh = _unseen(nodes, seen)
                 every = np.repeat(fresh, np.diff(first))
-                marks = np.repeat(nodes & np.uint64(0xFFFFFFFF), np.diff(first))
-                held.append((shingles[every], marks[every]))
+                held.append((shingles[every], _marks(shingles[every], np.repeat(nodes, np.diff(first))[every])))
                 size += len(held[-1][0])
                 if size >= HELD:
                     yield from flush()

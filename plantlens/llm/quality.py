@@ -16,6 +16,7 @@ named like the new ones are replaced; equal texts score alike.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,6 +34,8 @@ RIDGE = 1.0
 STEPS = 1000         # resolution of the calibration's score axis
 THRESHOLD = 0.3
 SEED = 20240
+PART = 1 << 16         # parts of 1 in which statistics are added up
+SUM_PART = 1 << 32     # the same of the sums that a task hands on
 
 _CLASSES = {
     "upper": bytes(range(0x41, 0x5B)), "lower": bytes(range(0x61, 0x7B)), "digit": b"0123456789",
@@ -150,15 +153,24 @@ def isotonic(at: np.ndarray, mean: np.ndarray, weight: np.ndarray) -> tuple[np.n
     return np.array(xs), np.array(ys)
 
 
+def _moments(row) -> tuple[float, float]:
+    """Mean and standard deviation from whole sums, exact until the last division."""
+    total, squares = int(row.sum), int(row.squares)
+    return total / row.n / PART, math.sqrt((row.n * squares - total * total) / (row.n * row.n)) / PART
+
+
 def fit(train: DataFrame, features: int = FEATURES, bandwidth: float = BANDWIDTH, ridge: float = RIDGE) -> Model:
     """Model from rows with ``statistics`` and a 0/1 ``label``; null labels are left out."""
     train = train.where("label is not null").select("statistics", F.col("label").cast("double").alias("label"))
-    spread = {r.i: r for r in train.select(F.posexplode("statistics").alias("i", "v")).groupBy("i").agg(
-        F.avg("v").alias("mean"), F.stddev_pop("v").alias("dev")).collect()}  # one row a statistic
+    # Whole numbers add up to the same in any order, so a rerun after a loss gives the same model.
+    whole = F.round(F.col("v") * float(PART)).cast("decimal(18,0)")
+    spread = {r.i: _moments(r) for r in train.select(F.posexplode("statistics").alias("i", "v")).groupBy("i").agg(
+        F.count("v").alias("n"), F.sum(whole).alias("sum"), F.sum((whole * whole).cast("decimal(38,0)")).alias("squares")
+    ).collect()}  # one row a statistic
     random = np.random.default_rng(SEED)
     model = Model(
-        centre=np.array([spread[i].mean if i in spread else 0.0 for i in range(N_STATISTICS)]),
-        scale=np.array([max(spread[i].dev, 1e-6) if i in spread else 1.0 for i in range(N_STATISTICS)]),
+        centre=np.array([spread[i][0] if i in spread else 0.0 for i in range(N_STATISTICS)]),
+        scale=np.array([max(spread[i][1], 1e-6) if i in spread else 1.0 for i in range(N_STATISTICS)]),
         directions=random.normal(0.0, 1.0 / bandwidth, (N_STATISTICS, features)),
         phases=random.uniform(0.0, 2 * np.pi, features), weights=np.zeros(features + 1))
     shared = train.sparkSession.sparkContext.broadcast(model)
@@ -171,9 +183,10 @@ def fit(train: DataFrame, features: int = FEATURES, bandwidth: float = BANDWIDTH
             y = batch.column(1).to_numpy(zero_copy_only=False)
             total += z.T @ np.column_stack([z, y])
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(total.size)), pa.array(total.ravel())], names=["cell", "v"])
+            [pa.array(np.arange(total.size)), pa.array(np.rint(total.ravel() * SUM_PART).astype(np.int64))], names=["cell", "v"])
 
-    cells = map_arrow(train, sums, "cell long, v double").groupBy("cell").agg(F.sum("v").alias("v")).toPandas()
+    cells = map_arrow(train, sums, "cell long, v long").groupBy("cell").agg(
+        (F.sum(F.col("v").cast("decimal(20,0)")).cast("double") / float(SUM_PART)).alias("v")).toPandas()
     if not len(cells):
         return model
     total = np.zeros(width * (width + 1))

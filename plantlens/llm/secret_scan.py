@@ -107,10 +107,18 @@ def train(docs: DataFrame) -> np.ndarray | None:
 
 
 def by_model(text: str, ratio: np.ndarray, taken: list[Span]) -> list[Span]:
-    found = []
+    found, apart = [], []
+    for s, e, _ in taken:  # by start; joined where they overlap
+        if apart and s <= apart[-1][1]:
+            apart[-1][1] = max(e, apart[-1][1])
+        else:
+            apart.append([s, e])
+    at = 0  # both tokens and taken stretches go forward, so each is looked at once
     for m in _TOKEN.finditer(text):
         start, end = m.span()
-        if any(s < end and start < e for s, e, _ in taken):
+        while at < len(apart) and apart[at][1] <= start:
+            at += 1
+        if at < len(apart) and apart[at][0] < end:
             continue
         codes = _CODE[np.frombuffer(b" " + m[0].encode(), dtype=np.uint8)]
         total = float(ratio[codes[:-1], codes[1:]].sum())

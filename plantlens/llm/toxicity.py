@@ -57,15 +57,15 @@ _letters = str.maketrans({**HOMOGLYPHS, **{c: "" for c in UNSEEN}})
 _digits = str.maketrans(DIGITS)
 _foreign = re.compile("[" + "".join(HOMOGLYPHS) + UNSEEN + "]")
 _word = re.compile(r"[\w@$]+")
+_accents = re.compile("[\u0300-\u036f]")
 _masked = re.compile(r"[\d_@$]")
 
 
 def _unmask(word: str) -> str:
-    """Substituted digits and signs read as letters, in words that hold a letter."""
-    core = word.strip("@$_")
-    if core.isalpha() or not any(c.isalpha() for c in core):
-        return core
-    return core.translate(_digits).replace("_", "")
+    """Substituted digits and signs read as letters, wherever they stand in a word that holds a letter."""
+    if not any(c.isalpha() for c in word):
+        return word.strip("@$_")
+    return word.translate(_digits).replace("_", "")
 
 
 def fold(text: str | None) -> str:
@@ -74,7 +74,8 @@ def fold(text: str | None) -> str:
         return " "
     folded = text.lower()
     if not folded.isascii():
-        folded = unicodedata.normalize("NFKC", folded)
+        # Letters and their marks apart, marks left out, what is left put together again.
+        folded = unicodedata.normalize("NFKC", _accents.sub("", unicodedata.normalize("NFKD", folded)))
         if _foreign.search(folded):
             folded = folded.translate(_letters)
     words = _word.findall(folded)

@@ -25,6 +25,8 @@ def test_fold_reads_through_disguises():
     assert toxicity.fold("You 1d10t, ѕсum! p@thetic") == " you idiot scum pathetic "
     assert toxicity.fold(None) == toxicity.fold("...") == " "
     assert toxicity.fold("2024 was 17") == " 2024 was 17 "
+    assert toxicity.fold("a$$ $hit @sshole $tupid") == " ass shit asshole stupid "
+    assert toxicity.fold("ïdïot s\u0301cum _x_ $5") == " idiot scum x 5 "
 
 
 def test_exceptions_and_length():
