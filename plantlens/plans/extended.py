@@ -244,16 +244,15 @@ def downtime_by_reason(state_events: DataFrame) -> DataFrame:
 # -- risk tables --------------------------------------------------------------
 
 def quality_risk(
-    features: DataFrame, runs: DataFrame, products: DataFrame, suppliers: DataFrame, operators: DataFrame
+    features: DataFrame, products: DataFrame, suppliers: DataFrame, operators: DataFrame
 ) -> DataFrame:
-    """Quality features with the supplier score of the product and the operator group."""
-    who = runs.select("run_id", "operator_id")
+    """Quality features, made with ``carry=["operator_id"]``, with the supplier score of the
+    product and the operator group."""
     source = products.select("product_id", F.col("primary_supplier_id").alias("supplier_id"))
     score = suppliers.select("supplier_id", F.col("quality_score").alias("supplier_quality_score"))
     group = operators.select("operator_id", F.col("fairness_group").alias("operator_fairness_group"))
     return (
-        features.join(who, "run_id", "left")
-        .join(source, "product_id", "left")
+        features.join(source, "product_id", "left")
         .join(score, "supplier_id", "left")
         .join(group, "operator_id", "left")
     )

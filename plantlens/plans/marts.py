@@ -8,6 +8,8 @@ splits where a key is hot.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -151,10 +153,15 @@ def quality_features(
     machines: DataFrame,
     inspections: DataFrame,
     hourly: DataFrame,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """Run-level feature table; a run with several inspections gives several rows."""
+    """Run-level feature table; a run with several inspections gives several rows.
+
+    ``carry`` names further columns of the runs to keep, so that nothing has to
+    join the runs once more.
+    """
     facts = runs.select(
-        "run_id", "work_order_id", "machine_id", "run_start_datetime",
+        "run_id", "work_order_id", "machine_id", "run_start_datetime", *carry,
         "setup_minutes", "runtime_minutes", "idle_minutes", "speed_ratio", "scrap_rate",
     )
     risk = inspections.select("run_id", "defect_rate", "high_defect_risk")
@@ -178,5 +185,6 @@ def quality_features(
             F.coalesce("avg_temperature_c", F.lit(0.0)).alias("avg_temperature_c"),
             F.coalesce("max_vibration_mm_s", F.lit(0.0)).alias("max_vibration_mm_s"),
             F.coalesce("sensor_valid_rate", F.lit(1.0)).alias("sensor_valid_rate"),
+            *carry,
         )
     )

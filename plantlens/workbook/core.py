@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +28,10 @@ ROW_ORDER = {
     "quality_inspection": ("inspection_id",),
     "sensor_reading": ("machine_id", "timestamp"),
 }
+EXPORT_ORDER = {
+    "work_order": ("load_timestamp",), "production_run": RUN_ORDER, "quality_inspection": QMS_ORDER,
+    "sensor_reading": ("seq",),
+}
 CORE_TABLES = ("work_order", "production_run", "quality_inspection", "sensor_reading")
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,11 +102,29 @@ class Shop:
 
     @cached_property
     def features(self) -> DataFrame:
+        return self.features_with()
+
+    def features_with(self, *carry: str) -> DataFrame:
+        """The feature table from written clean tables, whose joins read both sides twice."""
         return marts.quality_features(
-            self.runs, self.work_orders, self.raw("product_master"), self.raw("machine_master"),
-            self.inspections, self.hourly,
+            self.kept(self.runs, "runs"), self.work_orders, self.raw("product_master"), self.raw("machine_master"),
+            self.kept(self.inspections, "inspections"), self.hourly, carry,
         )
 
+    def kept(self, df: DataFrame, label: str) -> DataFrame:
+        """Written to the shared folder and read back, as the refresh does with clean tables."""
+        path = self.scratch(label)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    @cached_property
+    def kpis(self) -> DataFrame:
+        """Executive row over written clean tables, which several of its parts read."""
+        runs, orders = self.kept(self.runs, "runs"), self.kept(self.work_orders, "work-orders")
+        return dashboard.kpi_row(
+            orders, runs, marts.oee_daily_line(runs, orders), self.issue_counts,
+            marts.quality_daily(self.inspections, orders, self.raw("product_master")), self.delivery)
+
     @cached_property
     def core_raw(self) -> dict[str, DataFrame]:
         return {t: self.raw(t) for t in CORE_TABLES}
@@ -136,21 +158,26 @@ class Shop:
     def scratch(self, label: str) -> str:
         return scratch_path(self.spark, label)
 
-    def export_csv(self, name: str, path: str, headers: Callable[[str], str] = lambda c: c) -> None:
-        """Write an entity the way an exporting system would."""
-        df = self.raw(name)
+    def export_csv(
+        self, name: str, path: str, headers: Callable[[str], str] = lambda c: c, order: Sequence[str] = (),
+    ) -> None:
+        """Write an entity the way an exporting system would, in ``order`` if it names columns."""
+        df = self.raw(name).orderBy(*order) if order else self.raw(name)
         (df.toDF(*[headers(c) for c in df.columns]).write
            .option("header", True).option("escape", '"')
            .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
            .csv(path))
 
-    def export_all(self) -> tuple[str, dict[str, str]]:
-        """Every entity as CSV under its export path; returns folder and file map."""
+    def export_all(self, ordered: bool = False) -> tuple[str, dict[str, str]]:
+        """Every entity as CSV under its export path; returns folder and file map.
+
+        ``ordered`` exports stand in the order that decides which duplicate is the last.
+        """
         root = self.scratch("exports")
         files = {t: f for t, f in RAW_FILES.items() if t in fixtures.ENTITIES}
         for table, relative in files.items():
-            self.export_csv(table, f"{root}/{relative}")
+            self.export_csv(table, f"{root}/{relative}", order=EXPORT_ORDER.get(table, ()) if ordered else ())
         return root, files
 
 

@@ -142,7 +142,7 @@ from m_features f left join c_production_run r on f.run_id=r.run_id left join pr
 left join supplier_master s on p.primary_supplier_id=s.supplier_id left join operator_master o on r.operator_id=o.operator_id""")
 def b07(shop):
     return extended.quality_risk(
-        shop.features, shop.runs, shop.raw("product_master"), shop.raw("supplier_master"), shop.raw("operator_master"))
+        shop.features_with("operator_id"), shop.raw("product_master"), shop.raw("supplier_master"), shop.raw("operator_master"))
 
 
 @query("b08_delivery_risk", """

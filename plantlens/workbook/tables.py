@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import coerce as fx
-from ..functions.numeric import clamp_zero, ratio, round_half_up
+from ..functions.numeric import RATE, clamp_zero, exact_sum, ratio, round_half_up
 from ..operators import dedup
 from ..plans import clean, dashboard, refresh
 from ..sources import csv_source, lake as lk
 from .core import QMS_ORDER, RUN_ORDER, query
+from .oracle import r4, xsum
 
 # -- sources and sinks ---------------------------------------------------------
 
@@ -226,7 +230,8 @@ def e01(shop):
     """Exports to marts in one call; row counts of the tables that do not depend
     on which duplicate arrived last."""
     source, files = shop.export_all()
-    lake = lk.Lake(shop.spark, shop.scratch("lake"))
+    root = shop.scratch("lake")
+    lake = lk.Lake(shop.spark, root, prefix=f"e{root[-32:]}_")
     audits = refresh.run_all(shop.spark, source, lake, files)
     layers = {"ingest_raw_data": "raw", "clean_and_validate": "clean", "build_feature_marts": "mart"}
     listed = None
@@ -238,6 +243,42 @@ def e01(shop):
     return listed
 
 
+# (layer, table, reference table, measures)
+_VALUES = (
+    ("clean", "work_order", "c_work_order", ("good_quantity", "schedule_delay_minutes")),
+    ("clean", "production_run", "c_production_run", ("good_quantity", "scrap_rate", "speed_ratio")),
+    ("clean", "quality_inspection", "c_quality_inspection", ("defect_rate", "high_defect_risk")),
+    ("clean", "sensor_reading", "c_sensor_reading", ("temperature_c", "sensor_valid_flag")),
+    ("clean", "machine_state_event", "c_machine_state_event", ("event_duration_minutes",)),
+    ("clean", "shipment", "shipment", ("shipped_quantity", "delay_days")),
+    ("mart", "fact_oee_daily_line", "m_oee", ("oee", "output_quantity", "planned_production_minutes")),
+    ("mart", "fact_quality_daily", "m_quality", ("defect_rate", "sample_size")),
+    ("mart", "fact_sensor_hourly", "m_sensor", ("avg_temperature_c", "max_vibration_mm_s", "reading_count")),
+    ("mart", "fact_delivery_order", "m_delivery", ("net_order_value", "delay_days")),
+    ("mart", "feature_quality_model", "m_features", ("defect_rate", "avg_temperature_c", "scrap_rate")),
+)
+
+
+@query("e01_refresh_values", " union all ".join(
+    f"select '{layer}' as layer, '{t}' as table_name, '{m}' as measure, count({m}) as rows, {r4(xsum(m, 10))} as total from {src}"
+    for layer, t, src, measures in _VALUES for m in measures))
+def e01_values(shop):
+    """CSV exports to marts, compared by the sums of their measures; exports stand in arrival order."""
+    source, files = shop.export_all(ordered=True)
+    root = shop.scratch("lake")
+    lake = lk.Lake(shop.spark, root, prefix=f"e{root[-32:]}_")
+    refresh.run_all(shop.spark, source, lake, files)
+    parts = []
+    for layer, table, _, measures in _VALUES:
+        sums = lake.read(layer, table).agg(F.array(*[F.struct(
+            F.lit(m).alias("measure"), F.count(m).alias("rows"), round_half_up(exact_sum(m, RATE)).alias("total"))
+            for m in measures]).alias("_sums"))
+        parts.append(sums.select(
+            F.lit(layer).alias("layer"), F.lit(table).alias("table_name"), F.explode("_sums").alias("s")).select(
+            "layer", "table_name", "s.*"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 MONTH_FIRST = "MM/dd/yyyy HH:mm:ss.SSSSSS"
 _SITE = {
     "machine_state_event": fx.Contract(formats=(MONTH_FIRST,), strict=True),
@@ -599,6 +640,18 @@ def c07(shop):
     return parts
 
 
+def _register_master(table: str) -> None:
+    @query(f"c07_{table}", f"select * from {table}")
+    def whole(shop):
+        return clean.master(table, shop.raw(table))
+
+    whole.__doc__ = f"Clean {table}, value by value."
+
+
+for _table in clean.MASTERS:
+    _register_master(_table)
+
+
 @query("c07_sales_order", """
 select sales_order_id, order_line_id, customer_id, product_id, order_date, promised_delivery_date,
  ordered_quantity, unit_price, discount_pct, customer_priority from sales_order""")
