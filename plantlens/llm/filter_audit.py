@@ -86,7 +86,7 @@ def with_failures(docs: DataFrame, part: str = "source") -> DataFrame:
     """doc_id, part and failed (mask of A to E) of each row; its texts are read once."""
     rows = written(
         with_text_failures(docs.select(
-            "doc_id", F.coalesce(F.col(part), F.lit("")).alias("part"), F.coalesce("text", F.lit("")).alias("text"))
+            "doc_id", F.coalesce(F.col(part).cast("string"), F.lit("")).alias("part"), F.coalesce("text", F.lit("")).alias("text"))
         ).select("doc_id", "part", "failed", F.unhex(F.sha2("text", 256)).alias("digest")), "filter-failures")
     repeated = rows.groupBy("digest").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1")
     copy = F.coalesce(F.col("doc_id") > F.col("least"), F.lit(False)).cast("int")

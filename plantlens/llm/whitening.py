@@ -16,7 +16,8 @@ entries are left out, also vectors whose length isn't that of most rows (the
 longer of tied lengths); null ids stay.  Repeated rows and equal vectors get
 equal results.  Components whose eigenvalue is 0 to double precision can't be
 scaled and are left out, so a table of one distinct vector, or an empty one,
-gives no rows.  A deviation beyond 64 bits is null.
+gives no rows.  A deviation beyond 64 bits is null, and x ends at the bounds of
+64 bits.
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ SCALE = 256
 COMPONENTS = 4
 UNIT = 1 << 60  # parts of 1 in which whitened products are added, to be the same in any order
 
+HALF = 10 ** 18  # sums travel as two numbers, so that decimals hold them at any input
+
 _EPS = np.finfo(float).eps
 _SHIFTS = (0.0, 0.125, -0.125, 0.3, -0.3, 0.6, -0.6)
 
@@ -119,26 +122,37 @@ def _matrix(batch: pa.RecordBatch, vector: str, width: int) -> np.ndarray:
     return batch.column(batch.schema.get_field_index(vector)).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
 
+def _largest(x: np.ndarray) -> int:
+    return max(int(x.max()), -int(x.min()), 0) if x.size else 0
+
+
+def _minus(x: np.ndarray, centre: list[int]) -> np.ndarray:
+    """Differences, in 64 bits where that holds them."""
+    kind = np.int64 if _largest(x) + max(map(abs, centre), default=0) < 1 << 62 else object
+    return x.astype(kind) - np.array(centre, dtype=kind)
+
+
 def _added(df: DataFrame, size: int, of_batch: Callable[[pa.RecordBatch], np.ndarray]) -> list[int]:
     """Sums of the whole numbers ``of_batch`` gives, by place; one row a task and place is shuffled."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = [0] * size
         for batch in batches:
             total = [a + int(b) for a, b in zip(total, of_batch(batch).ravel().tolist(), strict=True)]
-        held = [(i, str(v)) for i, v in enumerate(total) if v]
+        held = [(i, *divmod(v, HALF)) for i, v in enumerate(total) if v]
         yield pa.RecordBatch.from_arrays(
-            [pa.array([i for i, _ in held], type=pa.int32()), pa.array([v for _, v in held], type=pa.string())],
-            names=["place", "v"])
+            [pa.array([i for i, _, _ in held], type=pa.int32()), pa.array([str(v) for _, v, _ in held], type=pa.string()),
+             pa.array([v for _, _, v in held], type=pa.int64())], names=["place", "high", "low"])
 
     total = [0] * size
-    for r in map_arrow(df, run, "place int, v string").groupBy("place").agg(
-            F.sum(F.col("v").cast("decimal(38,0)")).alias("v")).collect():  # at most `size` rows
-        total[r.place] = int(r.v)
+    for r in map_arrow(df, run, "place int, high string, low long").groupBy("place").agg(
+            F.sum(F.col("high").cast("decimal(38,0)")).alias("high"),
+            F.sum(F.col("low").cast("decimal(20,0)")).alias("low")).collect():  # at most `size` rows
+        total[r.place] = int(r.high) * HALF + int(r.low)
     return total
 
 
 def _exact_sum(x: np.ndarray) -> np.ndarray:
-    fits = len(x) == 0 or int(np.abs(x).max()) * len(x) < 1 << 63
+    fits = _largest(x) * len(x) < 1 << 63
     return (x if fits else x.astype(object)).sum(axis=0)
 
 
@@ -147,7 +161,7 @@ def _exact_products(y: np.ndarray) -> np.ndarray:
     total = np.zeros((y.shape[1], y.shape[1]), dtype=object)
     if not len(y):
         return total
-    largest = max(1, int(np.abs(y).max()))
+    largest = max(1, _largest(y))
     rows = (1 << 53) // (largest * largest)
     if not rows:
         y = y.astype(object)
@@ -184,14 +198,14 @@ class Whitening:
 
     def offsets(self, x: np.ndarray) -> np.ndarray:
         """n * x - S, in 64 bits where that holds it."""
-        largest = max([1, *map(abs, self.sums)]) + self.n * (int(np.abs(x).max()) if x.size else 0)
+        largest = max([1, *map(abs, self.sums)]) + self.n * _largest(x)
         if largest < 1 << 62:
             return self.n * x - np.array(self.sums, dtype=np.int64)
         return self.n * x.astype(object) - np.array(self.sums, dtype=object)
 
     def deviation(self, x: np.ndarray) -> list[int | None]:
         off = self.offsets(x)
-        if off.dtype != object and (not off.size or int(np.abs(off).max()) ** 2 * off.shape[1] < 1 << 63):
+        if off.dtype != object and _largest(off) ** 2 * off.shape[1] < 1 << 63:
             return (off * off).sum(axis=1).tolist()
         total = (off.astype(object) ** 2).sum(axis=1)
         return [v if v < 1 << 63 else None for v in total]
@@ -216,7 +230,7 @@ def fit(rows: DataFrame, vector: str = "x", wanted: int = COMPONENTS) -> Whiteni
     n, *sums = _added(distinct, width + 1, count_and_sums)
     centre = [(2 * s + n) // (2 * n) for s in sums]  # nearest whole number to the mean
     products = _added(distinct, width * width, lambda batch: _exact_products(
-        _matrix(batch, vector, width) - np.array(centre, dtype=np.int64)))
+        _minus(_matrix(batch, vector, width), centre)))
     rest = [s - n * c for s, c in zip(sums, centre, strict=True)]
     # (sum of y y^T) / n - mean(y) mean(y)^T, from whole numbers until the one division.
     covariance = np.array([

@@ -89,6 +89,9 @@ def test_whitening_odd_rows(spark):
     far = whitening.whitened_components(far).toPandas()
     assert len(far) == 2 and far["deviation"].isna().all()
     assert np.allclose(np.abs(far["whitened"]), 1.0)
+    ends = spark.createDataFrame([(1, [1e300, 0.5]), (2, [-1e300, 0.25]), (3, [0.0, 0.0])], "vec_id long, embedding array<double>")
+    ends = whitening.whitened_components(ends).toPandas()
+    assert len(ends) and np.isfinite(ends["whitened"]).all() and set(ends.loc[ends["vec_id"] == 3, "deviation"]) == {1 + 192 ** 2}
 
 
 # 12
