@@ -7,6 +7,7 @@ every table.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping
 from functools import reduce
 
@@ -135,9 +136,7 @@ LASTING_VIEWS = {
 def register_all(lake: Lake, audits: Mapping[str, Mapping[str, int]]) -> None:
     """Catalog entries of all written tables, and views that outlive the session."""
     layers = {"ingest_raw_data": "raw", "clean_and_validate": "clean", "build_feature_marts": "mart"}
-    for step, layer in layers.items():
-        for table in audits.get(step, ()):
-            lake.register(layer, table)
+    lake.register_all([(layer, table) for step, layer in layers.items() for table in audits.get(step, ())])
     for view, (layer, table) in LASTING_VIEWS.items():
         columns = dashboard.DATASET_COLUMNS[view]
         grouped = "issue_count" in columns
@@ -171,10 +170,11 @@ def run_all(
     }
     audits, counted = {}, {}
     for step, run in steps.items():
+        began = time.monotonic()
         audits[step] = run()
         # The audit is one row per table, so its size does not grow with the data.
         counts = {r["table_name"]: r["row_count"] for r in audits[step].collect()}
-        lake.log(step, "ok", {"status": "ok", "tables": counts})
+        lake.log(step, "ok", {"status": "ok", "tables": counts, "seconds": round(time.monotonic() - began, 1)})
         counted[step] = counts
     create_views(lake)
     if register:

@@ -135,6 +135,8 @@ class Lake:
             rows = rows.sortWithinPartitions(*partition_by, *sort_by)
         folder = self.folder(layer, table)
         done, highest = self._versions(folder)
+        if mode == "append" and done and self._manifest(folder, done[-1]) is not None:
+            raise ValueError(f"{layer}.{table} lies in parts; merge rows into it instead of appending")
         target = f"{folder}/v{done[-1]}" if mode == "append" and done else f"{folder}/v{highest + 1}"
         writer = rows.write.mode("append" if mode == "append" else "errorifexists")
         if partition_by:
@@ -166,7 +168,7 @@ class Lake:
 
     def write_all(
         self, layer: str, frames: Mapping[str, DataFrame], *,
-        sort_by: Mapping[str, Sequence[str]] | None = None, parallel: int = 4,
+        sort_by: Mapping[str, Sequence[str]] | None = None, parallel: int = 8,
     ) -> dict[str, DataFrame]:
         """Full refresh of several tables at once.
 
@@ -177,8 +179,17 @@ class Lake:
             table, df = item
             return table, self.write(layer, table, df, sort_by=(sort_by or {}).get(table, ()))
 
+        return dict(self._together(one, frames.items(), parallel))
+
+    def _together(self, one: Callable, items, parallel: int) -> list:
         with ThreadPoolExecutor(max_workers=parallel) as pool:
-            return dict(pool.map(inheritable_thread_target(self.spark)(one), frames.items()))
+            return list(pool.map(inheritable_thread_target(self.spark)(one), items))
+
+    def register_all(self, tables: Sequence[tuple[str, str]], parallel: int = 8) -> list[str]:
+        """Catalog entries of several (layer, table), a few at a time."""
+        for layer in dict.fromkeys(layer for layer, _ in tables):
+            self.create_database(layer)
+        return self._together(lambda t: self.register(*t), tables, parallel)
 
     def append(self, layer: str, table: str, df: DataFrame) -> DataFrame:
         return self.write(layer, table, df, mode="append")

@@ -155,8 +155,10 @@ def merge_hourly(
     merged into the parts that it touches, and the hours of these parts are
     computed again and replace those of the mart.  So the mart equals the batch
     plan over everything that has arrived, in whatever order it came, and a
-    batch costs what its days hold.  A batch that is repeated after a failure
-    finds its rows merged and writes the same hours.
+    batch costs what its parts hold: choose ``machine_parts`` (fixed for the
+    tables' life) so that a day of one part is some gigabytes at most.  A batch
+    that is repeated after a failure finds its rows merged and writes the same
+    hours.
     """
     layout = f"day and hash of machine_id in {machine_parts}"
 

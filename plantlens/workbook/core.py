@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -176,8 +178,15 @@ class Shop:
         """
         root = self.scratch("exports")
         files = {t: f for t, f in RAW_FILES.items() if t in fixtures.ENTITIES}
-        for table, relative in files.items():
+        for table in files:
+            self.raw(table)  # made by this thread
+
+        def one(item: tuple[str, str]) -> None:
+            table, relative = item
             self.export_csv(table, f"{root}/{relative}", order=EXPORT_ORDER.get(table, ()) if ordered else ())
+
+        with ThreadPoolExecutor(max_workers=8) as pool:
+            list(pool.map(inheritable_thread_target(self.spark)(one), files.items()))
         return root, files
 
 

@@ -273,6 +273,8 @@ def test_upsert_keeps_the_files_of_untouched_parts(spark, lake):
     held = [f"{v}/{p}" for v in lake._children(lake.folder("lab", "m"))
             for p in lake._children(f"{lake.folder('lab', 'm')}/{v}/parts") if p.startswith("_part=")]
     assert len(held) == 9 and lake.read("lab", "m").count() == 202
+    with pytest.raises(ValueError, match="lies in parts"):
+        lake.append("lab", "m", spark.createDataFrame([(1000, "x")], "k long, v string"))
     lake.write("lab", "m", lake.read("lab", "m").where("k < 5"))
     assert lake.manifest("lab", "m") is None and lake.read("lab", "m").count() == 5
 
