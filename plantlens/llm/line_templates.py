@@ -2,18 +2,25 @@
 
 Lines are cut into messages (at line ends and after ``.``, ``!`` or ``?``).  A
 message's way through the tree is of fixed depth: its number of tokens, then
-its first ``LEAD`` tokens.  At the leaf its variable fields are generalised:
-
-* tokens with a digit are a wildcard everywhere, also on the way;
-* of a message of ``LONG`` tokens or more, either half behind the leading
-  tokens may vary, the other has to agree.
-
-So a message has one or three templates, and a template's key needs no
-neighbour to be computed.  A template recurs if it stands in two different
-texts or more.  Its messages are dropped everywhere but in the text of least
-hash, so the passage stays once; copies of a text count as one text and are
-treated alike.  Messages of fewer than ``LEAST`` tokens have no template of
-their own and are dropped between two dropped longer ones.
+its first ``LEAD`` tokens.  Tokens with a digit are a wildcard, also on the way.
+The messages of a leaf form groups that agree but for one field:
+
+* in messages of fewer than ``LONG`` tokens the field is a run of a fifth of
+  the tokens, at least one, wherever it stands behind the leading tokens, so
+  at least four tokens in five agree;
+* in longer messages it is either half behind the leading tokens.
+
+Each group is a template with the field as a wildcard; messages that agree
+wholly are one too.  A first pass finds the leaves that two different texts or
+more reach; the second gives each message of such a leaf its groups' keys, so
+no neighbour is needed to compute them and no leaf is ever held in one place.
+A group whose members all agree wholly says nothing new and is left out.
+
+A template recurs if it stands in two different texts or more.  Its messages
+are dropped everywhere but in the text of least hash, so the passage stays
+once; copies of a text count as one text and are treated alike.  Messages of
+fewer than ``LEAST`` tokens have no template of their own and are dropped
+between two dropped longer ones.
 
 With ``whole_lines``, which the query and the pipeline ask for, a line of any
 length is a template too: its number of tokens and all of them, with the same
@@ -22,8 +29,9 @@ that recurs loses all its messages in the same way.
 
 The counts are minima and maxima of text hashes by key, so they combine before
 the shuffle and a line that a third of all documents hold is a few rows.  The
-keys that recur are handed to the tasks as a bitmap of fixed size, which thins
-out the messages that are joined with them; the join decides.
+leaves and the keys that recur are handed to the tasks as bitmaps of fixed
+size, which thin out the messages that are given keys and joined with them; the
+exact counts decide.
 
 Null and empty texts stay as they are.  Repeated rows are treated alike.  A
 column of the input called like a new one is replaced.
@@ -31,10 +39,11 @@ column of the input called like a new one is replaced.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +53,7 @@ from .textarrays import IS_SPACE, LOWER, byte_table, mix, pieces, row_of, span_h
 LEAD = 3
 LEAST = 5
 LONG = 13
+FIELD = 5               # one token in so many may vary in shorter messages
 BITMAP_BITS = 1 << 26   # 8 MB at any input
 HELD = 1 << 20          # keys that a task collects before it combines them
 
@@ -76,20 +86,36 @@ def messages(data: np.ndarray, offsets: np.ndarray):
     return starts, ends, hashed, bounds, np.searchsorted(bounds, first), lines
 
 
-def template_keys(hashed: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(message, key) of all templates of messages that are long enough."""
-    begin, end = bounds[:-1], bounds[1:]
-    size = end - begin
+def leaf_keys(hashed: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(message, leaf) of the messages that are long enough."""
+    size = np.diff(bounds)
     usable = np.flatnonzero(size >= LEAST)
-    begin, end, size = begin[usable], end[usable], size[usable]
+    begin = bounds[:-1][usable]
+    with np.errstate(over="ignore"):
+        return usable, mix(span_hash(hashed, begin, begin + LEAD) + size[usable].astype(np.uint64))
+
+
+def template_keys(
+    hashed: np.ndarray, bounds: np.ndarray, at: np.ndarray, leaf: np.ndarray,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(message, key, form) of all templates of these messages and their
+    leaves; the form is the key of agreeing wholly."""
+    begin, end = bounds[at], bounds[at + 1]
+    size = end - begin
     lead, middle = begin + LEAD, begin + LEAD + (size - LEAD) // 2
     long = size >= LONG
+    field = np.maximum(1, size // FIELD)
+    count = np.where(long, 0, size - LEAD - field + 1)
+    each = np.repeat(np.arange(len(at)), count)
+    open_ = lead[each] + np.arange(len(each)) - np.repeat(np.cumsum(count) - count, count)
     with np.errstate(over="ignore"):
-        path = mix(span_hash(hashed, begin, lead) + size.astype(np.uint64))
-        exact = mix(path * np.uint64(3) + span_hash(hashed, lead, end))
-        late = mix(path * np.uint64(5) + span_hash(hashed, middle, end))[long]
-        early = mix(path * np.uint64(7) + span_hash(hashed, lead, middle))[long]
-    return np.concatenate((usable, usable[long], usable[long])), np.concatenate((exact, late, early))
+        exact = mix(leaf * np.uint64(3) + span_hash(hashed, lead, end))
+        late = mix(leaf * np.uint64(5) + span_hash(hashed, middle, end))[long]
+        early = mix(leaf * np.uint64(7) + span_hash(hashed, lead, middle))[long]
+        before = mix(leaf[each] * np.uint64(17) + span_hash(hashed, lead[each], open_))
+        run = mix(before * np.uint64(19) + span_hash(hashed, open_ + field[each], end[each]))
+    return (np.concatenate((at, at[long], at[long], at[each])), np.concatenate((exact, late, early, run)),
+            np.concatenate((exact, exact[long], exact[long], exact[each])))
 
 
 def line_keys(
@@ -112,46 +138,67 @@ def line_keys(
     return at, count, keys
 
 
-def _place(keys: np.ndarray) -> np.ndarray:
-    return (keys & np.uint64(BITMAP_BITS - 1)).astype(np.int64)
+def _marked(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    place = (keys & np.uint64(BITMAP_BITS - 1)).astype(np.int64)
+    return (bitmap[place >> 6] >> (place & 63)) & 1 == 1
 
 
-def recurring(texts: DataFrame, whole_lines: bool = False) -> DataFrame:
-    """(key, keep): templates of two different texts or more, and the hash of
-    the text that keeps them.  ``texts`` has text and its hash ``h``."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        size = 0
+def _combined(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    """One row a key, with the least and the greatest of each other value."""
+    keys, *values = (np.concatenate(column).view(np.int64) for column in zip(*held, strict=True))
+    order = np.argsort(keys)
+    keys = keys[order]
+    cuts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    ends = [f.reduceat(v[order], cuts) for v in values for f in (np.minimum, np.maximum)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(keys[cuts]), *map(pa.array, ends)], names=["key", "lo", "hi", "form_lo", "form_hi"][:1 + len(ends)])
 
-        def flush() -> pa.RecordBatch:
-            keys = np.concatenate([h[0] for h in held]).view(np.int64)
-            marks = np.concatenate([h[1] for h in held])
-            order = np.argsort(keys)
-            keys, marks = keys[order], marks[order]
-            cuts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-            return pa.RecordBatch.from_arrays(
-                [pa.array(keys[cuts]), pa.array(np.minimum.reduceat(marks, cuts)),
-                 pa.array(np.maximum.reduceat(marks, cuts))], names=["key", "lo", "hi"])
 
+def _by_key(texts: DataFrame, keyed: Callable, forms: bool) -> DataFrame:
+    """Least and greatest text hash, and form, of each key.  ``keyed`` gives
+    the row, key and form of each message from what ``messages`` returns."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+        size = 0
         for batch in batches:
             marks = batch.column(1).to_numpy(zero_copy_only=False)
             for start, end, data, offsets in pieces(batch.column(0)):
-                starts, ends, hashed, bounds, first, lines = messages(data, offsets)
-                at, keys = template_keys(hashed, bounds)
-                if whole_lines:
-                    line_at, _, more = line_keys(data, starts, ends, hashed, bounds, lines)
-                    at, keys = np.concatenate((at, line_at)), np.concatenate((keys, more))
+                found = messages(data, offsets)
+                at, keys, *form = keyed(data, *found)
                 if len(keys):
-                    held.append((keys, marks[start:end][row_of(first)[at]]))
+                    held.append((keys, marks[start:end][row_of(found[4])[at]], *form))
                     size += len(keys)
                 if size >= HELD:
-                    yield flush()
+                    yield _combined(held)
                     held, size = [], 0
         if size:
-            yield flush()
+            yield _combined(held)
 
-    return map_arrow(texts.select("text", "h"), run, "key long, lo long, hi long").groupBy("key").agg(
-        F.min("lo").alias("keep"), F.max("hi").alias("hi")).where("keep <> hi").select("key", "keep")
+    ends = ["lo", "hi", "form_lo", "form_hi"][:4 if forms else 2]
+    return map_arrow(texts.select("text", "h"), run, "key long, " + ", ".join(f"{c} long" for c in ends)).groupBy("key").agg(
+        *[(F.min if c.endswith("lo") else F.max)(c).alias(c) for c in ends])
+
+
+def leaves(texts: DataFrame) -> np.ndarray:
+    """Bitmap of the leaves that two different texts or more reach."""
+    return _bitmap(_by_key(texts, lambda _data, _s, _e, hashed, bounds, *_: leaf_keys(hashed, bounds), False).where("lo <> hi"))
+
+
+def recurring(texts: DataFrame, shared: Broadcast, whole_lines: bool = False) -> DataFrame:
+    """(key, keep): templates of two different texts or more, and the hash of
+    the text that keeps them.  ``texts`` has text and its hash ``h``; ``shared``
+    is the bitmap of ``leaves``."""
+    def keyed(data, starts, ends, hashed, bounds, first, lines):
+        at, leaf = leaf_keys(hashed, bounds)
+        likely = _marked(shared.value, leaf)
+        at, keys, form = template_keys(hashed, bounds, at[likely], leaf[likely])
+        if whole_lines:
+            line_at, _, more = line_keys(data, starts, ends, hashed, bounds, lines)
+            at, keys, form = (np.concatenate(c) for c in ((at, line_at), (keys, more), (form, more)))
+        return at, keys, form
+
+    # A key that is its own form agrees wholly; another counts if its field varies.
+    return _by_key(texts, keyed, True).where("lo <> hi and (form_lo <> form_hi or form_lo = key)").selectExpr("key", "lo as keep")
 
 
 def _bitmap(keys: DataFrame) -> np.ndarray:
@@ -164,27 +211,23 @@ def _bitmap(keys: DataFrame) -> np.ndarray:
     return bitmap
 
 
-def drops(texts: DataFrame, again: DataFrame, whole_lines: bool = False) -> DataFrame:
+def drops(texts: DataFrame, again: DataFrame, shared: Broadcast, whole_lines: bool = False) -> DataFrame:
     """(doc_id, h, gone): numbers of the messages that each row loses."""
-    shared = texts.sparkSession.sparkContext.broadcast(_bitmap(again))
+    templates = texts.sparkSession.sparkContext.broadcast(_bitmap(again))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap = shared.value
-
-        def marked(keys: np.ndarray) -> np.ndarray:
-            place = _place(keys)
-            return (bitmap[place >> 6] >> (place & 63)) & 1 == 1
-
         for batch in batches:
             marks = batch.column(2).to_numpy(zero_copy_only=False)
             for start, end, data, offsets in pieces(batch.column(1)):
                 starts, ends, hashed, bounds, first, lines = messages(data, offsets)
-                at, keys = template_keys(hashed, bounds)
-                likely = marked(keys)
+                at, leaf = leaf_keys(hashed, bounds)
+                likely = _marked(shared.value, leaf)
+                at, keys, _ = template_keys(hashed, bounds, at[likely], leaf[likely])
+                likely = _marked(templates.value, keys)
                 at, keys = at[likely], keys[likely]
                 if whole_lines:
                     line_at, count, more = line_keys(data, starts, ends, hashed, bounds, lines)
-                    likely = marked(more)
+                    likely = _marked(templates.value, more)
                     line_at, count, more = line_at[likely], count[likely], more[likely]
                     # A line's key goes with each of its messages.
                     within = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
@@ -230,8 +273,9 @@ def dedup_lines(docs: DataFrame, whole_lines: bool = False) -> DataFrame:
     number of messages that went as ``n_dropped``."""
     base = docs.drop("n_dropped")
     texts = base.select("doc_id", "text", F.xxhash64("text").alias("h"))
-    again = written(recurring(texts, whole_lines), "line-templates")
-    gone = drops(texts, again, whole_lines).select(F.col("doc_id").alias("of"), F.col("h").alias("of_h"), "gone")
+    shared = docs.sparkSession.sparkContext.broadcast(leaves(texts))
+    again = written(recurring(texts, shared, whole_lines), "line-templates")
+    gone = drops(texts, again, shared, whole_lines).select(F.col("doc_id").alias("of"), F.col("h").alias("of_h"), "gone")
     # The row travels as one value, so its names meet no others.
     whole = base.select(F.struct(*[F.col(f"`{c}`") for c in base.columns]).alias("row"), F.xxhash64("text").alias("h"))
     extra = free_name(base, "gone")

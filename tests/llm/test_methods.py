@@ -158,7 +158,10 @@ def _keys(tokens):
     lead, n = tuple(tokens[:3]), len(tokens)
     mid = 3 + (n - 3) // 2
     keys = [("exact", n, tuple(tokens))]
-    return keys if n < line_templates.LONG else [*keys, ("late", n, lead, tuple(tokens[mid:])), ("early", n, tuple(tokens[:mid]))]
+    if n < line_templates.LONG:
+        field = max(1, n // 5)
+        return keys + [("run", n, i, tuple(tokens[:i]), tuple(tokens[i + field:])) for i in range(3, n - field + 1)]
+    return [*keys, ("late", n, lead, tuple(tokens[mid:])), ("early", n, tuple(tokens[:mid]))]
 
 
 def test_line_templates_by_hand(spark):
@@ -189,6 +192,24 @@ def test_shared_passage_stays_once(docs):
     assert all("opens in its very own way" in t for t in got) is False or len(got) == 3
 
 
+def test_fields_without_digits(docs):
+    names = ("anna", "bert", "carla", "dora")
+    messages = ["The user called {} has signed in.", "The job of this night was done by {} and nobody else.", "Please ask our dear colleague {}."]
+    texts = [" ".join([f"Text {n} has a {n} beginning and a {n} ending.", *(m.format(n) for m in messages)]) for n in names]
+    texts += ["The user called anna has never left."]  # two tokens of seven differ
+    got = [r.text for r in line_templates.dedup_lines(docs(*texts)).collect()]
+    for m in messages:
+        assert sum(m.format(n) in t for n, t in zip(names, got)) == 1
+    assert got[4] == texts[4] and all(f"a {n} ending." in t for n, t in zip(names, got))
+
+
+def test_field_of_one_form_adds_nothing(spark, docs):
+    frame = docs("The user anna has signed in. One.", "The user anna has signed in. Two.").select(
+        "text", F.xxhash64("text").alias("h"))
+    shared = spark.sparkContext.broadcast(line_templates.leaves(frame))
+    assert line_templates.recurring(frame, shared).count() == 1  # agrees wholly: no template with a field
+
+
 def _line_key(line):
     tokens = ["*" if re.search("[0-9]", t) else t.lower() for t in line.split()]
     return ("line", tuple(tokens)) if set(tokens) != {"*"} else ("line", tuple(line.split()))

@@ -27,6 +27,7 @@ OPERATORS = {
     "winnowing": winnowing.compared,
     "quality": _quality,
     "line_templates": line_templates.dedup_lines,
+    "whole_lines": lambda d: line_templates.dedup_lines(d, whole_lines=True),
     "kneser_ney": lambda d: kneser_ney.score(d, kneser_ney.train(d)),
     "secret_scan": lambda d: secret_scan.scan(d, secret_scan.train(d)),
     "byte_bpe": _bpe,
@@ -51,7 +52,7 @@ def test_empty_table(docs, name):
 
 
 def test_kept_columns(odd):
-    for name in ("toxicity", "line_templates", "byte_bpe", "secret_scan"):
+    for name in ("toxicity", "line_templates", "whole_lines", "byte_bpe", "secret_scan"):
         got = OPERATORS[name](odd)
         assert set(odd.columns) <= set(got.columns)
         assert got.where("key = 'mine'").count() == odd.count()
