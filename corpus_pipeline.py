@@ -14,11 +14,17 @@ from plantlens.llm import byte_bpe, decontamination, jaccard_join, line_template
 from plantlens.llm.frames import free_name, table, written
 
 
-def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is among ``ids``; null is an id like others."""
-    name = free_name(docs, "kept_id")
+def _marked(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) of ``docs`` with a hash of both in the place of the id, so
+    that rows of one id, or of none, are decided each by its own text."""
+    return docs.select(F.xxhash64("doc_id", "text").alias("doc_id"), "text")
+
+
+def _only(docs: DataFrame, marks: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose mark is among the values of ``marks``."""
+    name = free_name(docs, "kept_mark")
     return docs.join(
-        ids.select(F.col("doc_id").alias(name)).distinct(), F.col("doc_id").eqNullSafe(F.col(name)), "left_semi")
+        marks.select(F.col(marks.columns[0]).alias(name)).distinct(), F.xxhash64("doc_id", "text") == F.col(name), "left_semi")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,10 +44,13 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least id of each group of near copies: five-word
-    shingles, likeness of 0.8 or more."""
-    linked = jaccard_join.link(docs.select("doc_id", "text"), gram=5, percent=80, n_links=False)
-    first = linked.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    """The document of least id (null last) of each group of near copies:
+    five-word shingles, likeness of 0.8 or more.  Of repeated rows one stays."""
+    linked = jaccard_join.link(_marked(docs), gram=5, percent=80, n_links=False)
+    ids = docs.select("doc_id", F.xxhash64("doc_id", "text").alias("mark"))
+    order = F.struct(F.col("ids.doc_id").isNull(), F.col("ids.doc_id"), F.col("ids.mark").alias("mark"))
+    first = linked.alias("linked").join(ids.alias("ids"), F.col("linked.doc_id") == F.col("ids.mark")).groupBy(
+        "linked.component_id").agg(F.min(order).alias("first")).select("first.mark")
     repeated = not linked.groupBy("doc_id").count().where("count > 1").isEmpty()
     kept = _only(docs, first)
     return kept.dropDuplicates(["doc_id", "text"]) if repeated else kept
@@ -49,7 +58,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that aren't contaminated with items of the benchmark."""
-    flagged = decontamination.contaminated(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    flagged = decontamination.contaminated(_marked(docs), table(spark, sf_dir, "benchmark"))
     return _only(docs, flagged.where("not contaminated"))
 
 

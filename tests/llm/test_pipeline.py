@@ -81,11 +81,47 @@ def test_near_copies_by_hand(spark, docs, words):
     assert got == set(group)
 
 
+def test_near_copies_of_edited_sentences(spark, docs, words):
+    """Near copies whose sentences differ by a word lose their text to the first or link with it."""
+    random.seed(14)
+    base = [[random.choice(words) for _ in range(12)] for _ in range(40)]
+    texts = []
+    for i in range(6):
+        edited = [list(m) for m in base]
+        for k in random.sample(range(40), 6):
+            edited[k][random.randrange(4, 11)] = f"edit{chr(97 + i)}"
+        texts.append(" ".join(" ".join(m).capitalize() + "." for m in edited))
+    clean = [_text(words, 200) for _ in range(10)]
+    lined = corpus_pipeline.written(corpus_pipeline.dedup_lines(spark, docs(*texts, *clean), ""), "lined")
+    got = {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, lined, "").collect()}
+    assert len(got & set(range(6))) == 1 and got >= set(range(6, 16))
+
+
+def test_rows_of_one_id_are_decided_apart(spark, docs, tables, words):
+    random.seed(15)
+    a, b, c, item = (_text(words, n) for n in (80, 80, 80, 40))
+    near = " ".join([*a.split()[:-1], "changed."])
+    rows = docs((1, a), (1, b), (2, near), (None, c), (None, f"{c} {item}"), (None, None), (3, b))
+    kept = {(r.doc_id, r.text) for r in corpus_pipeline.drop_near_copies(spark, rows, "").collect()}
+    assert kept == {(1, a), (1, b), (None, c), (None, f"{c} {item}"), (None, None)}
+    folder = tables(benchmark=spark.createDataFrame([(1, item)], "item_id long, text string"))
+    kept = {(r.doc_id, r.text) for r in corpus_pipeline.decontaminate(spark, rows, folder).collect()}
+    assert kept == {(1, a), (1, b), (2, near), (None, c), (None, None), (3, b)}
+
+
 def test_odd_documents(spark, odd, tables):
     labels = spark.createDataFrame([(1, 1, 0), (None, None, None), (5, 0, None)], "doc_id long, quality int, toxic int")
     benchmark = spark.createDataFrame([(None, None), (1, "")], "item_id long, text string")
     folder = tables(documents=odd, labels=labels, benchmark=benchmark)
-    assert corpus_pipeline.run(spark, folder).count() > 0
+    got = corpus_pipeline.run(spark, folder).collect()
+    # The repeated row goes, every different text or id stays.
+    assert len(got) == odd.select("doc_id", "text").distinct().count()
+
+
+def test_empty_tables(spark, odd, tables):
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    benchmark = spark.createDataFrame([], "item_id long, text string")
+    assert corpus_pipeline.run(spark, tables(documents=odd.limit(0), labels=labels, benchmark=benchmark)).count() == 0
 
 
 def test_run_small(spark):
