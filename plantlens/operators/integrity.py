@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import exact_sum
-from ..session import cut_lineage
+from ..session import stored
 
 
 @dataclass(frozen=True)
@@ -124,48 +124,64 @@ def chain_order(chain: DataFrame) -> DataFrame:
 
     Returns (transaction_hash, origin_hash, position, children, state).  Each
     round replaces a transaction's ancestor by that ancestor's ancestor and adds
-    the distances, so a chain of n takes log2(n) rounds; what has reached its
-    origin takes part in no more joins.  A fork is a transaction with several
+    the distances, so a longest chain of n takes log2(n) rounds; what has
+    reached its origin takes part in no more joins, and a round in which nothing
+    does leaves only what has none.  A fork is a transaction with several
     ``children``.  ``state`` is ``linked``; ``broken`` for an origin whose
     previous hash names no transaction; ``cycle`` for the members of a cycle
     and ``into_cycle`` for what leads to one, both without origin and position.
 
     Of rows that share a hash the least previous hash counts; rows without a
-    hash have no place.
+    hash have no place.  Rounds work on numbers given to the transactions and
+    are written out, so neither rows nor plans grow with them.
     """
-    links = chain.filter(F.col("transaction_hash").isNotNull()).groupBy("transaction_hash").agg(
-        F.min("previous_hash").alias("previous_hash"))
-    links = cut_lineage(links)
-    children = links.filter(F.col("previous_hash").isNotNull()).groupBy(F.col("previous_hash").alias("node")).agg(
-        F.count(F.lit(1)).alias("children"))
-    known = links.select(F.col("transaction_hash").alias("previous_hash"), F.lit(True).alias("_known"))
-    nodes = cut_lineage(
+    links = stored(
+        chain.filter(F.col("transaction_hash").isNotNull()).groupBy("transaction_hash").agg(
+            F.min("previous_hash").alias("previous_hash")).withColumn("node", F.monotonically_increasing_id()),
+        "chain-links")
+    known = links.select(F.col("transaction_hash").alias("previous_hash"), F.col("node").alias("_previous"))
+    nodes = stored(
         links.join(known, "previous_hash", "left").select(
-            F.col("transaction_hash").alias("node"),
-            F.coalesce(F.when(F.col("_known"), F.col("previous_hash")), F.col("transaction_hash")).alias("at"),
-            F.when(F.col("_known"), 1).otherwise(0).cast("bigint").alias("distance"),
-            F.col("_known").isNull().alias("done"),
-            (F.col("previous_hash").isNotNull() & F.col("_known").isNull()).alias("broken")))
-    placed, active = nodes.filter("done"), nodes.filter("not done")
-    rounds = max(1, nodes.count()).bit_length() + 1
-    for _ in range(rounds):
-        if active.isEmpty():
-            break
+            "node", "transaction_hash", F.coalesce("_previous", "node").alias("at"),
+            F.col("_previous").isNull().alias("done"),
+            (F.col("previous_hash").isNotNull() & F.col("_previous").isNull()).alias("broken")),
+        "chain-nodes", partition_by=("done",))
+    children = nodes.filter("not done").groupBy(F.col("at").alias("node")).agg(F.count(F.lit(1)).alias("children"))
+    origins = nodes.filter("done").select(
+        F.col("node").alias("at"), F.col("transaction_hash").alias("origin_hash"), "broken")
+
+    steps = nodes.select("node", "at", F.when(F.col("done"), 0).otherwise(1).cast("bigint").alias("distance"), "done")
+    placed, active = steps.filter("done"), steps.filter("not done")
+    reached = True
+    while reached and not active.isEmpty():
         ahead = placed.unionByName(active).select(
-            F.col("node").alias("at"), F.col("at").alias("_at"), F.col("distance").alias("_distance"),
-            F.col("done").alias("_done"))
-        moved = cut_lineage(active.join(ahead, "at").select(
-            "node", F.col("_at").alias("at"), (F.col("distance") + F.col("_distance")).alias("distance"),
-            F.col("_done").alias("done"), "broken"))
-        placed, active = placed.unionByName(moved.filter("done")), moved.filter("not done")
-    # What is left leads into cycles, and 2**rounds steps ahead of it is every cycle member.
-    members = active.select(F.col("at").alias("node")).distinct().withColumn("_member", F.lit(True))
-    unrooted = active.join(members, "node", "left").select(
-        "node", F.lit(None).cast("string").alias("origin_hash"), F.lit(None).cast("bigint").alias("position"),
+            F.col("node").alias("at"), F.col("at").alias("_at"), F.col("distance").alias("_distance"), "done")
+        moved = stored(active.drop("done").join(ahead, "at").select(
+            "node", F.col("_at").alias("at"), (F.col("distance") + F.col("_distance")).alias("distance"), "done"),
+            "chain-round", partition_by=("done",))
+        # The round takes in distances from 2**k up to 2**(k+1); where one of them is missing, all larger ones are.
+        now = moved.filter("done")
+        reached = not now.isEmpty()
+        placed, active = placed.unionByName(now), moved.filter("not done")
+
+    # What is left leads into cycles.  The places that 2**k steps lead to are fewer every round until
+    # only members of cycles, whose steps go round, are among them.
+    active = active.select("node", "at")
+    members = active.select(F.col("at").alias("node")).distinct()
+    count, before = members.count(), None
+    while count != before:
+        ahead = active.select(F.col("node").alias("at"), F.col("at").alias("_at"))
+        active = stored(active.join(ahead, "at").select("node", F.col("_at").alias("at")), "chain-cycles")
+        members = active.select(F.col("at").alias("node")).distinct()
+        count, before = members.count(), count
+    unrooted = active.join(members.withColumn("_member", F.lit(True)), "node", "left").select(
+        "node", F.lit(None).cast(chain.schema["transaction_hash"].dataType).alias("origin_hash"),
+        F.lit(None).cast("bigint").alias("position"),
         F.when(F.col("_member"), "cycle").otherwise("into_cycle").alias("state"))
-    rooted = placed.select(
-        "node", F.col("at").alias("origin_hash"), F.col("distance").alias("position"),
-        F.when(F.col("broken"), "broken").otherwise("linked").alias("state"))
-    return rooted.unionByName(unrooted).join(children, "node", "left").select(
-        F.col("node").alias("transaction_hash"), "origin_hash", "position",
+    rooted = placed.join(origins, "at").select(
+        "node", "origin_hash", F.col("distance").alias("position"),
+        F.when(F.col("broken") & (F.col("distance") == 0), "broken").otherwise("linked").alias("state"))
+    return rooted.unionByName(unrooted).join(nodes.select("node", "transaction_hash"), "node").join(
+        children, "node", "left").select(
+        "transaction_hash", "origin_hash", "position",
         F.coalesce("children", F.lit(0).cast("bigint")).alias("children"), "state")

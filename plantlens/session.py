@@ -99,6 +99,18 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, label: str, *, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """Written to the shared folder and read back.
+
+    Unlike a checkpoint, whose estimated size is that of the plan behind it (a
+    join's is the product of its sides, so it squares with every round of a
+    loop), the result has the size of its files.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder."""
     shared_root(df.sparkSession)

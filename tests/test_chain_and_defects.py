@@ -107,3 +107,22 @@ def test_spikes_by_hand(spark):
     got = sorted(r.i for r in defects.spikes(df, "x", hours=6, limit=8.0).collect())
     assert got == _spikes_by_hand(rows, 6, 8.0)
     assert set(range(0, 400, 50)) <= set(got)
+
+
+def test_chain_rounds_neither_repeat_nor_swell_the_plan(spark, monkeypatch):
+    """A cycle behind a long lead among many short chains: few rounds, and sizes that are those of files."""
+    rows = [(f"n{i}", f"n{i - 1}" if i % 3 else None) for i in range(600)]
+    rows += [("c0", "c2"), ("c1", "c0"), ("c2", "c1"), ("t0", "c0")] + [(f"t{i}", f"t{i - 1}") for i in range(1, 12)]
+    written = []
+    kept = integrity.stored
+    monkeypatch.setattr(integrity, "stored", lambda df, label, **more: written.append(label) or kept(df, label, **more))
+    ordered = integrity.chain_order(spark.createDataFrame(rows, "transaction_hash string, previous_hash string"))
+    size = ordered._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    assert int(str(size)).bit_length() < 400
+    assert written.count("chain-round") <= 4 and written.count("chain-cycles") <= 4
+    found = {r["transaction_hash"]: r for r in ordered.collect()}
+    assert len(found) == len(rows)
+    assert all((found[f"n{i}"]["origin_hash"], found[f"n{i}"]["position"]) == (f"n{i - i % 3}", i % 3) for i in range(600))
+    assert {found[f"c{i}"]["state"] for i in range(3)} == {"cycle"}
+    assert {found[f"t{i}"]["state"] for i in range(12)} == {"into_cycle"}
+    assert found["c0"]["children"] == 2 and found["n5"]["children"] == 0 and found["n4"]["children"] == 1
