@@ -131,43 +131,52 @@ def demand_runs(sales_orders: DataFrame, back: int = 7) -> DataFrame:
 
     A day is idle when neither it nor the ``back`` days before it have an order
     and all of these days lie within the calendar; its demand, lags and mean
-    are 0.  All other days are a run of one day.  An order day states what it
-    contributes to itself and to the days that look back at it, so the size is
-    a few rows an order day instead of one a product and date, and lags and
-    means are sums instead of windows.  ``expand_runs`` gives the dense frame.
+    are 0.  All other days are a run of one day.  Windows run over the order
+    days of a product (at most one row a date of the calendar); each then gives
+    the days up to the next one, so what moves is one row an order day, not one
+    a product and date.  ``expand_runs`` gives the dense frame.
     """
     bounds = sales_orders.agg(F.min(date_of("order_date")).alias("lo"), F.max(date_of("order_date")).alias("hi"))
     low, high = bounds.select("lo").scalar(), bounds.select("hi").scalar()
-    ordered = sales_orders.filter(F.col("order_date").isNotNull()).groupBy(
-        "product_id", date_of("order_date").alias("day")
-    ).agg(exact_sum("ordered_quantity").alias("quantity"), F.count(F.lit(1)).alias("lines"))
-    # The first days have a short past, so they are never idle.
+    lines = sales_orders.filter(F.col("order_date").isNotNull()).select(
+        "product_id", date_of("order_date").alias("day"), "ordered_quantity", F.lit(1).cast("bigint").alias("lines"))
+    # The first days have a short past, so they are never idle: every product states the first day.
     begun = sales_orders.select("product_id").distinct().select(
-        "product_id", low.alias("day"), F.lit(None).cast("double").alias("quantity"), F.lit(0).cast("bigint").alias("lines"),
-        F.lit(back - 1).alias("reach"))
-    reached = ordered.withColumn("reach", F.lit(back)).unionByName(begun).select(
-        "product_id", "quantity", "lines", "day",
-        F.posexplode(F.expr("sequence(day, date_add(day, reach))")).alias("ahead", "on")
-    ).filter(F.col("on") <= high)
-    from_day = lambda k: exact_sum(F.when(F.col("ahead") == k, F.col("quantity")))
-    days = reached.groupBy("product_id", F.col("on").alias("day")).agg(
-        from_day(0).alias("q"), F.sum(F.when(F.col("ahead") == 0, F.col("lines"))).alias("n"),
-        from_day(1).alias("l1"), from_day(back).alias("l7"),
-        exact_sum(F.when(F.col("ahead") > 0, F.col("quantity"))).alias("past"))
-    age = F.datediff("day", low)
+        "product_id", low.alias("day"), F.lit(None).cast("double").alias("ordered_quantity"), F.lit(0).cast("bigint").alias("lines"))
+    stated = lines.unionByName(begun).groupBy("product_id", "day").agg(
+        exact_sum("ordered_quantity").alias("quantity"), F.sum("lines").alias("lines"))
+    by_day = Window.partitionBy("product_id").orderBy(F.unix_date("day"))
     zero = lambda c: F.coalesce(c, F.lit(0.0))
-    busy = days.select(
-        "product_id", F.col("day").alias("from_date"), F.col("day").alias("to_date"),
-        zero(F.col("q")).alias("demand_quantity"), F.coalesce("n", F.lit(0).cast("bigint")).alias("order_lines"),
-        F.when(age >= 1, zero(F.col("l1"))).alias("lag_1"), F.when(age >= back, zero(F.col("l7"))).alias("lag_7"),
-        F.try_divide(zero(F.col("past")), F.least(F.lit(back), age)).alias("mean_prior_7d"))
-    following = F.coalesce(
-        F.lead("day").over(Window.partitionBy("product_id").orderBy("day")), F.date_add(high, 1))
-    idle = days.select("product_id", F.date_add("day", 1).alias("from_date"), F.date_sub(following, 1).alias("to_date")).filter(
-        F.col("from_date") <= F.col("to_date")
-    ).select("*", *[F.lit(0.0).alias(c) for c in ("demand_quantity", "lag_1", "lag_7", "mean_prior_7d")],
-             F.lit(0).cast("bigint").alias("order_lines"))
-    return busy.unionByName(idle)
+    on = lambda k: F.max("quantity").over(by_day.rangeBetween(-k, -k))
+    # A day k days on is preceded by the days up to this one alone, as it comes before the next stated day.
+    past = lambda k: exact_sum("quantity", over=by_day.rangeBetween(k - back, 0 if k else -1))
+    placed = stated.withColumns({
+        "_following": F.coalesce(F.lead("day").over(by_day), F.date_add(high, 1)),
+        "_before": on(1),
+        **{f"_past{k}": past(k) for k in range(back + 1)},
+        **{f"_back{k}": on(back - k) for k in range(back)},
+    }).withColumn("_last", F.least(
+        F.date_add("day", F.when(F.col("lines") > 0, back).otherwise(back - 1)), F.date_sub("_following", 1)))
+    nothing, none = F.lit(0.0), F.lit(0).cast("bigint")
+
+    def busy(k: int) -> Column:
+        day = F.date_add("day", k)
+        age = F.datediff(day, low)
+        lag_1 = zero(F.col("_before")) if k == 0 else zero(F.col("quantity")) if k == 1 else nothing
+        return F.struct(
+            day.alias("from_date"), day.alias("to_date"),
+            (nothing if k else zero(F.col("quantity"))).alias("demand_quantity"),
+            (none if k else F.col("lines")).alias("order_lines"), F.when(age >= 1, lag_1).alias("lag_1"),
+            F.when(age >= back, zero(F.col("quantity" if k == back else f"_back{k}"))).alias("lag_7"),
+            F.try_divide(zero(F.col(f"_past{k}")), F.least(F.lit(back), age)).alias("mean_prior_7d"))
+
+    idle = F.struct(
+        F.date_add("_last", 1).alias("from_date"), F.date_sub("_following", 1).alias("to_date"),
+        nothing.alias("demand_quantity"), none.alias("order_lines"), nothing.alias("lag_1"), nothing.alias("lag_7"),
+        nothing.alias("mean_prior_7d"))
+    runs = F.slice(F.array(*[busy(k) for k in range(back + 1)]), F.lit(1), F.datediff("_last", "day") + 1)
+    left = F.filter(F.array(idle), lambda r: r["from_date"] <= r["to_date"])
+    return placed.select("product_id", F.inline(F.concat(runs, left)))
 
 
 def expand_runs(runs: DataFrame) -> DataFrame:

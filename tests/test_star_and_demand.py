@@ -72,3 +72,11 @@ def test_demand_runs_stay_small_over_a_long_calendar(spark):
     orders = _orders(spark, [("a", 0, 1.0), ("a", 30_000, 2.0), ("b", 15_000, 3.0)])
     assert extended.demand_runs(orders).count() < 50
     assert extended.demand_runs(orders.limit(0)).count() == 0
+
+
+def test_demand_runs_move_order_days_and_not_the_days_around_them(spark):
+    """Days that look back at an order are made after the last shuffle; one sort serves all windows."""
+    orders = _orders(spark, [("a", 0, 1.0), ("a", 3, 2.0), ("b", 40, 3.0)])
+    plan = extended.demand_runs(orders)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Generate") == 1 and plan.index("Generate") < plan.index("HashAggregate")
+    assert plan.count("Window") <= 8
