@@ -21,6 +21,16 @@ RUNTIME = {
 }
 
 SHUFFLE_TARGET_BYTES = 256 * 1024 * 1024
+SHUFFLE_EXPANSION = 16      # rows in memory, keys and derived columns included, take up to so many times their file
+SCAN_SPLIT_BYTES = 32 * 1024 * 1024
+
+# Sizes of what one task takes, at most.  Dedup sorts what a scan task holds before the first shuffle, and rows without a
+# key meet in one partition of an outer join, which AQE splits from the threshold on; both have to fit as rows.
+CEILINGS = {
+    "spark.sql.files.maxPartitionBytes": SCAN_SPLIT_BYTES,
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": 32 * 1024 * 1024,
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": 64 * 1024 * 1024,
+}
 SHUFFLE_CEILING = 100_000
 
 _scratch_roots: dict[str, str] = {}
@@ -41,9 +51,17 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else built."""
     for key, value in RUNTIME.items():
         spark.conf.set(key, value)
+    for key, most in CEILINGS.items():
+        spark.conf.set(key, str(min(most, _bytes(spark, key))))
     return spark
 
 
+def _bytes(spark: SparkSession, key: str) -> int:
+    """A size setting in bytes, whatever unit it was given in."""
+    text = spark.conf.get(key)
+    return int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(text))
+
+
 def shuffle_partitions_for(input_bytes: int, parallelism: int) -> int:
     """Initial shuffle width for an input of this size.
 
@@ -68,9 +86,9 @@ def input_bytes(spark: SparkSession, path: str, pattern: str = "*") -> int:
 
 
 def size_shuffles(spark: SparkSession, path: str, pattern: str = "*") -> int:
-    """Set ``spark.sql.shuffle.partitions`` from the size of the input folder."""
+    """Set ``spark.sql.shuffle.partitions`` from the size of the input folder, as rows in memory."""
     width = shuffle_partitions_for(
-        input_bytes(spark, path, pattern), spark.sparkContext.defaultParallelism
+        SHUFFLE_EXPANSION * input_bytes(spark, path, pattern), spark.sparkContext.defaultParallelism
     )
     spark.conf.set("spark.sql.shuffle.partitions", str(width))
     return width

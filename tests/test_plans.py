@@ -112,3 +112,24 @@ def test_filters_and_columns_reach_the_scan(spark, tmp_path):
 
 def test_oee_needs_no_row_expansion(spark):
     assert "Expand" not in plan(Shop(spark, SMALL).oee)
+
+
+def test_shuffles_and_scans_are_sized_for_rows_in_memory(spark, tmp_path):
+    """A gigabyte of files makes more shuffle partitions than cores, and no scan task takes 128 MB."""
+    from unittest import mock
+
+    from plantlens import session
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        with mock.patch.object(session, "input_bytes", return_value=1 << 30):
+            assert session.size_shuffles(spark, str(tmp_path)) >= 64
+        spark.conf.set(keys[1], "128m")
+        session.configure(spark)
+        assert int(spark.conf.get(keys[1])) == session.SCAN_SPLIT_BYTES
+        spark.conf.set(keys[1], "4m")
+        session.configure(spark)
+        assert int(spark.conf.get(keys[1])) == 4 << 20
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
