@@ -37,6 +37,7 @@ MANIFEST = "_manifest.json"
 PART = "_part"
 PART_BYTES = 1 << 30        # aimed at when a table is laid out in parts by key
 PART_CEILING = 10_000
+CODEC = "zstd"              # tables are written once and kept, so size counts
 
 RUN_LOG_SCHEMA = (
     "run_id string, step_name string, status string, detail string, "
@@ -138,7 +139,7 @@ class Lake:
         if mode == "append" and done and self._manifest(folder, done[-1]) is not None:
             raise ValueError(f"{layer}.{table} lies in parts; merge rows into it instead of appending")
         target = f"{folder}/v{done[-1]}" if mode == "append" and done else f"{folder}/v{highest + 1}"
-        writer = rows.write.mode("append" if mode == "append" else "errorifexists")
+        writer = rows.write.mode("append" if mode == "append" else "errorifexists").option("compression", CODEC)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(target)
@@ -240,7 +241,7 @@ class Lake:
             rows = combine(self.read(layer, table), new) if done else combine(new.limit(0), new)
         target = f"v{highest + 1}"
         rows = rows.select(*new.columns).withColumn(PART, part)
-        rows.hint("rebalance", PART).write.partitionBy(PART).parquet(f"{folder}/{target}/parts")
+        rows.hint("rebalance", PART).write.option("compression", CODEC).partitionBy(PART).parquet(f"{folder}/{target}/parts")
         made = {n.removeprefix(f"{PART}="): f"{target}/parts/{n}"
                 for n in self._children(f"{folder}/{target}/parts") if n.startswith(f"{PART}=")}
         kept = {p: path for p, path in current.items() if int(p) not in set(touched)}

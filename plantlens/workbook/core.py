@@ -34,6 +34,7 @@ EXPORT_ORDER = {
     "work_order": ("load_timestamp",), "production_run": RUN_ORDER, "quality_inspection": QMS_ORDER,
     "sensor_reading": ("seq",),
 }
+EXPORT_RECORDS = 500_000  # of a compressed export file
 CORE_TABLES = ("work_order", "production_run", "quality_inspection", "sensor_reading")
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -169,6 +170,7 @@ class Shop:
            .option("header", True).option("escape", '"')
            .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+           .option("compression", "gzip").option("maxRecordsPerFile", EXPORT_RECORDS)  # one task reads a file whole
            .csv(path))
 
     def export_all(self, ordered: bool = False) -> tuple[str, dict[str, str]]:

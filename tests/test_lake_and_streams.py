@@ -389,3 +389,24 @@ def test_shuffle_width():
 def test_shared_folder_comes_from_the_session(spark):
     assert session.shared_root(spark) == session.shared_root(spark)
     assert session.scratch_path(spark, "a") != session.scratch_path(spark, "a")
+
+
+def test_exports_and_tables_are_compressed_and_keep_rows_and_order(spark, tmp_path):
+    """Exports in arrival order stay in it over several compressed files; layer tables are zstd files."""
+    from unittest import mock
+
+    from plantlens.sources.csv_source import read_csv
+    from plantlens.workbook import core
+    shop = core.Shop(spark, "/root/testdata/sf0.001")
+    with mock.patch.object(core, "EXPORT_RECORDS", 40):
+        shop.export_csv("sensor_reading", str(tmp_path / "csv"), order=("sensor_id", "seq"))
+    files = [p.name for p in (tmp_path / "csv").iterdir() if p.name.startswith("part-")]
+    assert len(files) > 2 and all(n.endswith(".csv.gz") for n in files)
+    rows = read_csv(spark, str(tmp_path / "csv")).orderBy(*core.clean.INGEST_ORDER).collect()
+    assert len(rows) == shop.raw("sensor_reading").count()
+    keys = [(int(r["sensor_id"]), int(r["seq"])) for r in rows]
+    assert keys == sorted(keys)
+    lake = Lake(spark, str(tmp_path / "lake"))
+    lake.write("raw", "t", spark.range(5))
+    written = [p.name for p in (tmp_path / "lake/raw/t/v1").iterdir() if p.name.startswith("part-")]
+    assert written and all("zstd" in n for n in written)
