@@ -452,6 +452,7 @@ def b19_supplier(shop):
 
 # -- streams ------------------------------------------------------------------------------
 
+TELEMETRY_RECORDS = 200_000  # of a file
 _TEXT_MACHINE = "* replace (cast(machine_id as varchar) as machine_id)"
 
 
@@ -460,7 +461,8 @@ select {_TEXT_MACHINE} from m_sensor where sensor_hour + interval '3' hour <= (s
 def b15(shop):
     """Telemetry documents with repeated and conflicting readings, streamed into closed hours."""
     readings = shop.raw("sensor_reading")
-    path = _telemetry_files(shop, [readings.unionByName(readings.filter(F.col("sensor_id") % 40 == 1))])
+    path = shop.scratch("telemetry")
+    _telemetry_files(readings.unionByName(readings.filter(F.col("sensor_id") % 40 == 1)), path)
     stream = telemetry.read_telemetry(shop.spark, path, extra="seq int")
     return telemetry.drain(telemetry.hourly_stream(stream, order=["seq"]), "sensor-hourly")
 
@@ -471,21 +473,19 @@ def b15_revised(shop):
     correct, and the mart equals the batch plan over all hours."""
     readings = shop.raw("sensor_reading")
     corrections, early = F.col("seq") == 1, F.col("sensor_id") % 80 == 1
-    path = _telemetry_files(shop, [
-        readings.filter(corrections & early), readings.filter(~corrections), readings.filter(corrections & ~early)])
-    stream = telemetry.read_telemetry(shop.spark, path, files_per_trigger=1, extra="seq int")
-    lake = Lake(shop.spark, shop.scratch("lake"))
-    telemetry.merge_hourly(stream, lake, ["seq"], shop.scratch("ckpt")).awaitTermination()
+    lake, path, checkpoint = Lake(shop.spark, shop.scratch("lake")), shop.scratch("telemetry"), shop.scratch("ckpt")
+    for batch in (readings.filter(corrections & early), readings.filter(~corrections), readings.filter(corrections & ~early)):
+        _telemetry_files(batch, path)
+        stream = telemetry.read_telemetry(shop.spark, path, extra="seq int")
+        telemetry.merge_hourly(stream, lake, ["seq"], checkpoint).awaitTermination()
     return lake.read("mart", "fact_sensor_hourly_live")
 
 
-def _telemetry_files(shop, batches):
-    """Readings as JSON lines, one file a batch, in this order of arrival."""
-    path = shop.scratch("telemetry")
-    for batch in batches:
-        text = batch.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
-        text.select(*[F.col(c).cast("string") for c in text.columns if c != "seq"], "seq").coalesce(1).write.mode("append").json(path)
-    return path
+def _telemetry_files(batch, path):
+    """Readings added to a folder of JSON lines, as many files as tasks write, none larger than a task should read."""
+    text = batch.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    text.select(*[F.col(c).cast("string") for c in text.columns if c != "seq"], "seq").write.option(
+        "maxRecordsPerFile", TELEMETRY_RECORDS).mode("append").json(path)
 
 
 @query("b16_stream_alarm_windows", """

@@ -410,3 +410,17 @@ def test_exports_and_tables_are_compressed_and_keep_rows_and_order(spark, tmp_pa
     lake.write("raw", "t", spark.range(5))
     written = [p.name for p in (tmp_path / "lake/raw/t/v1").iterdir() if p.name.startswith("part-")]
     assert written and all("zstd" in n for n in written)
+
+
+def test_telemetry_batches_are_written_by_many_tasks(spark, tmp_path):
+    """A batch is not one file that one task writes and reads; records a file are bounded and none is lost."""
+    from unittest import mock
+
+    from plantlens.workbook import core, extended
+    shop = core.Shop(spark, "/root/testdata/sf0.001")
+    readings = shop.raw("sensor_reading")
+    with mock.patch.object(extended, "TELEMETRY_RECORDS", 25):
+        extended._telemetry_files(readings, str(tmp_path / "t"))
+    files = [p for p in (tmp_path / "t").iterdir() if p.name.startswith("part-")]
+    sizes = [len(p.read_text().splitlines()) for p in files]
+    assert len(files) > 2 and max(sizes) <= 25 and sum(sizes) == readings.count()
