@@ -18,6 +18,14 @@ from ..functions.numeric import RATE, exact_avg, exact_sum, ratio
 from ..operators.joins import left_join_many
 
 
+# Columns of the clean runs and inspections that the feature table reads.
+FEATURE_RUNS = (
+    "run_id", "work_order_id", "machine_id", "run_start_datetime",
+    "setup_minutes", "runtime_minutes", "idle_minutes", "speed_ratio", "scrap_rate",
+)
+FEATURE_INSPECTIONS = ("run_id", "defect_rate", "high_defect_risk")
+
+
 def runs_with_orders(runs: DataFrame, work_orders: DataFrame) -> DataFrame:
     """Runs with the plant and line of their work order."""
     place = work_orders.select("work_order_id", "plant_id", "line_id")
@@ -160,11 +168,8 @@ def quality_features(
     ``carry`` names further columns of the runs to keep, so that nothing has to
     join the runs once more.
     """
-    facts = runs.select(
-        "run_id", "work_order_id", "machine_id", "run_start_datetime", *carry,
-        "setup_minutes", "runtime_minutes", "idle_minutes", "speed_ratio", "scrap_rate",
-    )
-    risk = inspections.select("run_id", "defect_rate", "high_defect_risk")
+    facts = runs.select(*FEATURE_RUNS, *carry)
+    risk = inspections.select(*FEATURE_INSPECTIONS)
     place = work_orders.select("work_order_id", "plant_id", "line_id", "product_id")
     kind = products.select("product_id", "product_family", "complexity_score")
     build = machines.select("machine_id", "machine_age_years", "criticality")

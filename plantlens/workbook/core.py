@@ -16,6 +16,7 @@ from ..operators.access import user_plant_map
 from ..plans import clean, dashboard, marts, semantic
 from ..session import configure, scratch_path, size_shuffles
 from ..sources.csv_source import RAW_FILES
+from ..sources.lake import CODEC
 from . import fixtures
 from .oracle import with_ctes
 
@@ -109,15 +110,20 @@ class Shop:
 
     def features_with(self, *carry: str) -> DataFrame:
         """The feature table from written clean tables, whose joins read both sides twice."""
+        return self.features_from(
+            self.kept(self.runs.select(*marts.FEATURE_RUNS, *carry), "runs"),
+            self.kept(self.inspections.select(*marts.FEATURE_INSPECTIONS), "inspections"), self.work_orders, carry)
+
+    def features_from(
+        self, runs: DataFrame, inspections: DataFrame, work_orders: DataFrame, carry: Sequence[str] = (),
+    ) -> DataFrame:
         return marts.quality_features(
-            self.kept(self.runs, "runs"), self.work_orders, self.raw("product_master"), self.raw("machine_master"),
-            self.kept(self.inspections, "inspections"), self.hourly, carry,
-        )
+            runs, work_orders, self.raw("product_master"), self.raw("machine_master"), inspections, self.hourly, carry)
 
     def kept(self, df: DataFrame, label: str) -> DataFrame:
         """Written to the shared folder and read back, as the refresh does with clean tables."""
         path = self.scratch(label)
-        df.write.parquet(path)
+        df.write.option("compression", CODEC).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     @cached_property

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import coerce as fx
 from ..functions.numeric import RATE, clamp_zero, exact_sum, ratio, round_half_up
 from ..operators import dedup
-from ..plans import clean, dashboard, refresh
+from ..plans import clean, dashboard, marts, refresh
 from ..sources import csv_source, lake as lk
 from .core import QMS_ORDER, RUN_ORDER, query
 from .oracle import r4, xsum
@@ -179,12 +179,19 @@ union all select 'fact_sensor_hourly', count(*) from m_sensor
 union all select 'fact_delivery_order', count(*) from m_delivery
 union all select 'feature_quality_model', count(*) from m_features""")
 def s13(shop):
+    """Row counts of clean tables and marts; what several marts read is deduplicated and written once, as in the refresh."""
+    oee_runs = ("output_quantity", "scrap_quantity", "good_quantity", "speed_standard_ppm")
+    runs = shop.kept(shop.runs.select(*marts.FEATURE_RUNS, *oee_runs), "runs")
+    orders = shop.kept(shop.work_orders.select("work_order_id", "plant_id", "line_id", "product_id"), "work-orders")
+    inspections = shop.kept(shop.inspections.select(
+        "inspection_id", "inspection_datetime", "work_order_id", "product_id", "defect_code", "sample_size", "defect_count",
+        *marts.FEATURE_INSPECTIONS), "inspections")
     return lk.row_counts({
-        "work_order": shop.work_orders, "production_run": shop.runs,
-        "quality_inspection": shop.inspections, "sensor_reading": shop.sensors,
-        "fact_oee_daily_line": shop.oee, "fact_quality_daily": shop.quality,
+        "work_order": orders, "production_run": runs, "quality_inspection": inspections, "sensor_reading": shop.sensors,
+        "fact_oee_daily_line": marts.oee_daily_line(runs, orders),
+        "fact_quality_daily": marts.quality_daily(inspections, orders, shop.raw("product_master")),
         "fact_sensor_hourly": shop.hourly, "fact_delivery_order": shop.delivery,
-        "feature_quality_model": shop.features,
+        "feature_quality_model": shop.features_from(runs, inspections, orders),
     })
 
 

@@ -133,3 +133,16 @@ def test_shuffles_and_scans_are_sized_for_rows_in_memory(spark, tmp_path):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_features_write_the_columns_they_read(spark, monkeypatch):
+    """The written clean tables behind the feature table hold no column that it doesn't read."""
+    from plantlens.workbook import core, tables
+    written = []
+    kept = core.Shop.kept
+    monkeypatch.setattr(core.Shop, "kept", lambda shop, df, label: written.append((label, df.columns)) or kept(shop, df, label))
+    core.Shop(spark, "/root/testdata/sf0.001").features_with("operator_id")
+    assert dict(written) == {"runs": [*marts.FEATURE_RUNS, "operator_id"], "inspections": [*marts.FEATURE_INSPECTIONS]}
+    written.clear()
+    tables.s13(core.Shop(spark, "/root/testdata/sf0.001"))
+    assert sorted(label for label, _ in written) == ["inspections", "runs", "work-orders"]
