@@ -43,12 +43,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .frames import free_name, map_arrow, table, with_columns, written
-from .textarrays import IS_SPACE, LOWER, byte_table, mix, pieces, row_of, span_hash, spans
+from .textarrays import byte_table, mix, pieces, row_of, span_hash, spans
 
 LEAD = 3
 LEAST = 5
@@ -56,34 +57,40 @@ LONG = 13
 FIELD = 5               # one token in so many may vary in shorter messages
 BITMAP_BITS = 1 << 26   # 8 MB at any input
 HELD = 1 << 20          # keys that a task collects before it combines them
+CACHED = 1 << 17        # bytes cut at a time, so that their 64-bit values stay in a core's cache
 
+_BLANKS = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 _STOP = byte_table(b".!?")
-_DIGIT = byte_table(b"0123456789")
 _WILD = np.uint64(0x5DEECE66D)
 
 
-def messages(data: np.ndarray, offsets: np.ndarray):
+def cut(data: np.ndarray, offsets: np.ndarray):
     """Token bounds and messages of some texts.
 
-    Returns token starts and ends, masked token hashes, each message's first
-    token (one entry more than messages), each text's first message, and each
-    line's first message (one entry more than lines that hold tokens).
+    Returns token starts and ends, each message's first token (one entry more
+    than messages), each text's first message, and each line's first message
+    (one entry more than lines that hold tokens).
     """
-    starts, ends, first = spans(~IS_SPACE[data], offsets)
+    starts, ends, first = spans((data != 0x20) & (data - np.uint8(0x09) > 4), offsets)
     n = len(starts)
     if n == 0:
         none = np.zeros(1, dtype=np.int64)
-        return starts, ends, np.empty(0, np.uint64), none, np.zeros(len(offsets), dtype=np.int64), none
-    hashed = span_hash(LOWER[data], starts, ends)
-    digits = np.concatenate(([0], np.cumsum(_DIGIT[data], dtype=np.int64)))
-    hashed[digits[ends] > digits[starts]] = _WILD
-    breaks = np.concatenate(([0], np.cumsum(data == 0x0A, dtype=np.int64)))
+        return starts, ends, none, np.zeros(len(offsets), dtype=np.int64), none
     ended = np.zeros(n, dtype=bool)
-    ended[:-1] = breaks[starts[1:]] > breaks[ends[:-1]]
+    before = np.searchsorted(starts, np.flatnonzero(data == 0x0A)) - 1
+    ended[before[before >= 0]] = True
     ended[first[1:][np.diff(first) > 0] - 1] = True
     bounds = np.concatenate(([0], np.flatnonzero(_STOP[data[ends - 1]] | ended) + 1))
     lines = np.searchsorted(bounds, np.concatenate(([0], np.flatnonzero(ended) + 1)))
-    return starts, ends, hashed, bounds, np.searchsorted(bounds, first), lines
+    return starts, ends, bounds, np.searchsorted(bounds, first), lines
+
+
+def messages(data: np.ndarray, offsets: np.ndarray):
+    """What ``cut`` returns, with the masked token hashes behind the token bounds."""
+    starts, ends, *rest = cut(data, offsets)
+    hashed = span_hash(data + ((data - np.uint8(0x41) < 26) * np.uint8(0x20)), starts, ends)
+    hashed[np.searchsorted(starts, np.flatnonzero(data - np.uint8(0x30) < 10), side="right") - 1] = _WILD
+    return starts, ends, hashed, *rest
 
 
 def leaf_keys(hashed: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -162,7 +169,7 @@ def _by_key(texts: DataFrame, keyed: Callable, forms: bool) -> DataFrame:
         size = 0
         for batch in batches:
             marks = batch.column(1).to_numpy(zero_copy_only=False)
-            for start, end, data, offsets in pieces(batch.column(0)):
+            for start, end, data, offsets in pieces(batch.column(0), CACHED):
                 found = messages(data, offsets)
                 at, keys, *form = keyed(data, *found)
                 if len(keys):
@@ -218,7 +225,7 @@ def drops(texts: DataFrame, again: DataFrame, shared: Broadcast, whole_lines: bo
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             marks = batch.column(2).to_numpy(zero_copy_only=False)
-            for start, end, data, offsets in pieces(batch.column(1)):
+            for start, end, data, offsets in pieces(batch.column(1), CACHED):
                 starts, ends, hashed, bounds, first, lines = messages(data, offsets)
                 at, leaf = leaf_keys(hashed, bounds)
                 likely = _marked(shared.value, leaf)
@@ -245,26 +252,54 @@ def drops(texts: DataFrame, again: DataFrame, shared: Broadcast, whole_lines: bo
         F.collect_set("message").alias("gone"))
 
 
-def without(text: str, gone: list[int]) -> tuple[str, int]:
-    """The text without these messages and short ones between them, and how many went."""
-    data = np.frombuffer(text.encode(), dtype=np.uint8)
-    starts, ends, _, bounds, _, _ = messages(data, np.array([0, len(data)]))
-    n = len(bounds) - 1
-    drop = np.zeros(n, dtype=bool)
-    drop[[g for g in gone if g < n]] = True
-    fixed = np.flatnonzero(np.diff(bounds) >= LEAST)
-    for left, right in zip(fixed[:-1], fixed[1:], strict=True):
-        if drop[left] and drop[right]:
-            drop[left:right] = True
-    raw, out = data.tobytes(), bytearray()
-    out += raw[:starts[0]] if n else raw
-    for i in range(n):
-        stop = int(starts[bounds[i + 1]]) if i + 1 < n else len(raw)
-        if not drop[i]:
-            out += raw[starts[bounds[i]]:stop]
-        elif b"\n" in raw[ends[bounds[i + 1] - 1]:stop] and out and not out.endswith(b"\n"):
-            out += b"\n"
-    return bytes(out).decode().rstrip(), int(drop.sum())
+def without(texts: pa.Array, gone: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The texts without their messages of these numbers and short ones between
+    them, and how many went of each.  Where whole lines go, one line end stays."""
+    at = np.concatenate(([0], np.cumsum(pc.list_value_length(gone).to_numpy())))
+    numbers = gone.flatten().to_numpy()
+    made, went = [], []
+    for row, row_end, data, offsets in pieces(texts, CACHED):
+        starts, ends, bounds, first, _ = cut(data, offsets)
+        n, rows = len(bounds) - 1, row_of(first)
+        drop = np.zeros(n, dtype=bool)
+        of, number = row_of(at[row:row_end + 1]), numbers[at[row]:at[row_end]]
+        known = number < np.diff(first)[of]
+        drop[first[of[known]] + number[known]] = True
+        fixed = np.flatnonzero(np.diff(bounds) >= LEAST)
+        left, right = fixed[:-1], fixed[1:]
+        both = drop[left] & drop[right] & (rows[left] == rows[right])
+        drop |= _covered(left[both], right[both], n)
+        begin = starts[bounds[:-1]]
+        stop = np.minimum(np.concatenate((begin[1:], [len(data)]))[:n], offsets[rows + 1])
+        out = np.flatnonzero(drop)
+        keep = ~_covered(begin[out], stop[out], len(data))
+        # Of each run of such messages the first line end, if text that ends no line stands before the run.
+        head = np.ones(len(out), dtype=bool)
+        head[1:] = (np.diff(out) > 1) | (np.diff(rows[out]) > 0)
+        breaks = np.concatenate((np.flatnonzero(data == 0x0A), [len(data)]))
+        line_end = breaks[np.searchsorted(breaks, ends[bounds[1:] - 1][out])]
+        run = np.cumsum(head) - 1
+        ending = np.flatnonzero(line_end < stop[out])
+        ending = ending[np.diff(run[ending], prepend=-1) > 0]
+        opens = begin[out[head]][run[ending]]
+        ending = ending[(opens > offsets[rows[out[ending]]]) & (data[opens - 1] != 0x0A)]
+        keep[line_end[ending]] = True
+        size = np.where(drop, stop - begin, 0)
+        size[out[ending]] -= 1
+        less, fewer = (np.diff(np.concatenate(([0], np.cumsum(x)))[first]) for x in (size, drop))
+        ends_at = np.concatenate(([0], np.cumsum(np.diff(offsets) - less)))
+        made.append(pa.Array.from_buffers(
+            pa.large_string(), row_end - row, [None, pa.py_buffer(ends_at), pa.py_buffer(data[keep])]))
+        went.append(fewer)
+    return pc.utf8_rtrim(pa.concat_arrays(made), characters=_BLANKS), np.concatenate(went)
+
+
+def _covered(begin: np.ndarray, end: np.ndarray, n: int) -> np.ndarray:
+    """Which of ``n`` places lie in one of these ranges, which don't overlap."""
+    edges = np.zeros(n + 1, dtype=np.int8)
+    edges[begin] += 1
+    edges[end] -= 1
+    return np.cumsum(edges[:-1], dtype=np.int8) > 0
 
 
 def dedup_lines(docs: DataFrame, whole_lines: bool = False) -> DataFrame:
@@ -287,15 +322,14 @@ def dedup_lines(docs: DataFrame, whole_lines: bool = False) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = schema.names.index("text")
         for batch in batches:
-            gone_ = batch.column(batch.schema.get_field_index(extra)).to_pylist()
+            gone_ = batch.column(batch.schema.get_field_index(extra))
             texts_ = batch.column(at)
             lost = np.zeros(batch.num_rows, dtype=np.int32)
-            changed = [i for i, g in enumerate(gone_) if g]
-            if changed:
-                values = texts_.to_pylist()
-                for i in changed:
-                    values[i], lost[i] = without(values[i], gone_[i])
-                texts_ = pa.array(values, type=pa.string())
+            changed = pc.fill_null(pc.greater(pc.list_value_length(gone_), 0), False)
+            if changed.true_count:
+                cut_texts, went = without(texts_.filter(changed), gone_.filter(changed))
+                lost[changed.to_numpy(zero_copy_only=False)] = went
+                texts_ = pc.replace_with_mask(texts_, changed, cut_texts.cast(texts_.type))
             columns = [texts_ if i == at else batch.column(i) for i in range(len(schema) - 1)]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(lost)], names=schema.names)
 

@@ -65,15 +65,15 @@ def span_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         return mix(raw + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
-def pieces(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end row, bytes, offsets) of consecutive rows; null is empty."""
+def pieces(column: pa.Array, size: int = PIECE) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, bytes, offsets) of consecutive rows of about ``size`` bytes; null is empty."""
     column = column.cast(pa.large_string()).fill_null("")
     offsets = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset:column.offset + len(column) + 1]
     raw = column.buffers()[2]
     data = np.frombuffer(raw, dtype=np.uint8) if raw is not None else np.empty(0, dtype=np.uint8)
     row = 0
     while row < len(column):
-        end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + PIECE, side="right")) - 1)
+        end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + size, side="right")) - 1)
         at = offsets[row:end + 1]
         yield row, end, data[at[0]:at[-1]], at - at[0]
         row = end

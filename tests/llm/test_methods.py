@@ -7,6 +7,7 @@ import re
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -251,6 +252,37 @@ def test_short_lines_stay_once(docs):
     assert all(sum(f"\n{n}\n" in t for t in got) == 1 for n in range(3))  # of wildcards only, but different
 
 
+def _without_by_hand(text, gone):
+    """Message after message: a text's head, what stays, and a line end for lines that go."""
+    found = [m for m in re.finditer(r"[^\n]*?\S*?(?:[.!?](?=\s|$)|(?=[ \t]*\n)|(?=\s*$))\s*", text) if m.group().strip()]
+    long = [i for i, m in enumerate(found) if len(m.group().split()) >= line_templates.LEAST]
+    drop = {g for g in gone if g < len(found)}
+    for a, b in zip(long, long[1:]):
+        drop |= set(range(a, b)) if {a, b} <= drop else set()
+    out = ""
+    for i, m in enumerate(found):
+        body = m.group().rstrip()
+        if i not in drop:
+            out += m.group()
+        elif "\n" in m.group()[len(body):] and out and not out.endswith("\n"):
+            out += "\n"
+    return out.rstrip(), len(drop)
+
+
+def test_texts_are_cut_together(monkeypatch):
+    random.seed(4)
+    parts = ["One two three four five six.", "a b c d e", "é!", "文字 🙂", "x 1", "Q?"]
+    texts = ["".join(random.choice(parts) + random.choice([" ", "\n", " \n\n", "\t "]) for _ in range(random.randint(0, 12))) for _ in range(500)]
+    gone = [sorted(random.sample(range(15), random.randint(0, 9))) for _ in texts]
+    cuts, cut = [], line_templates.cut
+    monkeypatch.setattr(line_templates, "cut", lambda *a: cuts.append(1) or cut(*a))
+    got, went = line_templates.without(pa.array(texts), pa.array(gone, pa.list_(pa.int32())))
+    assert list(zip(got.to_pylist(), went.tolist())) == [_without_by_hand(t, g) for t, g in zip(texts, gone)]
+    assert len(cuts) == 1  # not once for each text
+    got, went = line_templates.without(pa.array(["a\u3000", None, "", " \n", "one. two.\x85"]), pa.array([[5], [0], [0], [], [0]], pa.list_(pa.int32())))
+    assert got.to_pylist() == ["a", "", "", "", "two."] and went.tolist() == [0, 0, 0, 0, 1]
+
+
 # 5
 def test_discounts_stay_probabilities():
     assert all(0 < d < k for k, d in zip((1, 2, 3), discounts(0, 0, 0, 0)))
