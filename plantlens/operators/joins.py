@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .dedup import spread
+from .dedup import apart
 
 
 def left_join_many(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -28,7 +28,7 @@ def left_join_many(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Da
     keyed = left.filter(complete)
     matched = keyed.join(right, keys, "inner")
     # Grouped by their hash too, so the join shuffles the keys again and can split the left side.
-    known = right.select(spread(keys).alias("_spread"), *keys).distinct().drop("_spread")
+    known = right.select(*keys, apart(keys).alias("_apart")).distinct().drop("_apart")
     unmatched = keyed.join(known, keys, "left_anti")
     return matched.unionByName(
         unmatched.unionByName(left.filter(~complete)), allowMissingColumns=True

@@ -8,7 +8,7 @@ splits where a key is hot.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +25,15 @@ FEATURE_RUNS = (
 )
 FEATURE_INSPECTIONS = ("run_id", "defect_rate", "high_defect_risk")
 
+# Columns of the clean tables that the daily marts read.
+OEE_RUNS = (
+    "run_id", "work_order_id", "machine_id", "run_start_datetime", "runtime_minutes", "idle_minutes", "setup_minutes",
+    "output_quantity", "scrap_quantity", "good_quantity", "speed_standard_ppm",
+)
+QUALITY_INSPECTIONS = (
+    "work_order_id", "product_id", "inspection_datetime", "defect_code", "sample_size", "defect_count", "high_defect_risk",
+)
+
 
 def runs_with_orders(runs: DataFrame, work_orders: DataFrame) -> DataFrame:
     """Runs with the plant and line of their work order."""
@@ -162,22 +171,27 @@ def quality_features(
     inspections: DataFrame,
     hourly: DataFrame,
     carry: Sequence[str] = (),
+    *,
+    step: Callable[[DataFrame, str], DataFrame] = lambda df, label: df,
 ) -> DataFrame:
     """Run-level feature table; a run with several inspections gives several rows.
 
     ``carry`` names further columns of the runs to keep, so that nothing has to
-    join the runs once more.
+    join the runs once more.  ``step`` may write what a step hands on and read it
+    back: its shuffle files can go then, and the next join knows its size, so
+    that machine-days, whose estimate is that of all readings, are broadcast
+    instead of shuffling the runs once more.
     """
     facts = runs.select(*FEATURE_RUNS, *carry)
     risk = inspections.select(*FEATURE_INSPECTIONS)
     place = work_orders.select("work_order_id", "plant_id", "line_id", "product_id")
     kind = products.select("product_id", "product_family", "complexity_score")
     build = machines.select("machine_id", "machine_age_years", "criticality")
-    daily = machine_day(hourly)
+    daily = step(machine_day(hourly), "machine_day")
+    context = step(place.join(kind, "product_id", "left"), "order_context")
     return (
-        left_join_many(facts, risk, ["run_id"])
-        .join(place, "work_order_id", "left")
-        .join(kind, "product_id", "left")
+        step(left_join_many(facts, risk, ["run_id"]), "inspected_runs")
+        .join(context, "work_order_id", "left")
         .join(build, "machine_id", "left")
         .withColumn("sensor_date", date_of("run_start_datetime"))
         .join(daily, ["sensor_date", "machine_id"], "left")

@@ -88,10 +88,11 @@ def build_marts(lake: Lake) -> DataFrame:
         **{name: semantic.registry(lake.spark, name) for name in semantic.REGISTRIES},
         "superset_rls_user_plant": user_plant_map(c("plant_master")),
     }, sort_by=order)
-    # Reads the hourly mart from its files instead of aggregating the sensors again.
+    # Reads the hourly mart from its files instead of aggregating the sensors again; machine-days are few and written.
+    step = lambda df, label: lake.write("lab", label, df) if label == "machine_day" else df
     features = lake.write("mart", "feature_quality_model", marts.quality_features(
         c("production_run"), c("work_order"), c("product_master"), c("machine_master"),
-        c("quality_inspection"), facts["fact_sensor_hourly"]))
+        c("quality_inspection"), facts["fact_sensor_hourly"], step=step))
     return row_counts({**facts, "feature_quality_model": features})
 
 

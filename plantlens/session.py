@@ -18,6 +18,8 @@ RUNTIME = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Shuffle files go once their query has ended; otherwise they stay until the driver collects garbage.
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
 }
 
 SHUFFLE_TARGET_BYTES = 256 * 1024 * 1024
@@ -117,7 +119,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, label: str, *, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def stored(df: DataFrame, label: str, *, partition_by: tuple[str, ...] = (), codec: str = "snappy") -> DataFrame:
     """Written to the shared folder and read back.
 
     Unlike a checkpoint, whose estimated size is that of the plan behind it (a
@@ -125,7 +127,7 @@ def stored(df: DataFrame, label: str, *, partition_by: tuple[str, ...] = ()) ->
     loop), the result has the size of its files.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.partitionBy(*partition_by).parquet(path)
+    df.write.partitionBy(*partition_by).option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

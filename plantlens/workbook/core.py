@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from ..operators import quality_rules
 from ..operators.access import user_plant_map
 from ..plans import clean, dashboard, marts, semantic
-from ..session import configure, scratch_path, size_shuffles
+from ..session import configure, scratch_path, size_shuffles, stored
 from ..sources.csv_source import RAW_FILES
 from ..sources.lake import CODEC
 from . import fixtures
@@ -118,7 +118,12 @@ class Shop:
         self, runs: DataFrame, inspections: DataFrame, work_orders: DataFrame, carry: Sequence[str] = (),
     ) -> DataFrame:
         return marts.quality_features(
-            runs, work_orders, self.raw("product_master"), self.raw("machine_master"), inspections, self.hourly, carry)
+            runs, work_orders, self.raw("product_master"), self.raw("machine_master"), inspections, self.hourly, carry,
+            step=self.step)
+
+    def step(self, df: DataFrame, label: str = "step") -> DataFrame:
+        """What a step of a plan hands on, written to the shared folder and read back."""
+        return stored(df, label, codec=CODEC)
 
     def kept(self, df: DataFrame, label: str) -> DataFrame:
         """Written to the shared folder and read back, as the refresh does with clean tables."""

@@ -424,3 +424,12 @@ def test_telemetry_batches_are_written_by_many_tasks(spark, tmp_path):
     files = [p for p in (tmp_path / "t").iterdir() if p.name.startswith("part-")]
     sizes = [len(p.read_text().splitlines()) for p in files]
     assert len(files) > 2 and max(sizes) <= 25 and sum(sizes) == readings.count()
+
+
+def test_shuffle_files_go_with_their_query(spark, tmp_path):
+    """Steps of a plan leave no shuffle behind for the driver's garbage collector."""
+    session.configure(spark)
+    master = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses()
+    before = master.size()
+    spark.range(1000).repartition(3, "id").write.parquet(str(tmp_path / "t"))
+    assert master.size() <= before

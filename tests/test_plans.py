@@ -146,3 +146,24 @@ def test_features_write_the_columns_they_read(spark, monkeypatch):
     written.clear()
     tables.s13(core.Shop(spark, "/root/testdata/sf0.001"))
     assert sorted(label for label, _ in written) == ["inspections", "runs", "work-orders"]
+
+
+def test_dedup_shuffles_no_hash_of_the_key(spark):
+    """Rows go through the shuffle without 8 bytes of hash, sorted by their key; the join on the key still shuffles them."""
+    rows = facts(spark, 1000)
+    once = dedup.keep_last(rows, ["k"], ["id"])
+    text = once._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(k#" in text and "xxhash64(k#" not in text.split("Exchange hashpartitioning(")[1].split("\n")[0]
+    joined = once.join(rows.select("k", F.lit(1).alias("x")).hint("merge"), "k")
+    assert joined._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(k#") == 3
+
+
+def test_features_join_machine_days_of_known_size(spark, monkeypatch):
+    """Machine-days, order contexts and inspected runs are written, so the last plan shuffles no reading."""
+    from plantlens.workbook import core
+    steps = []
+    step = core.Shop.step
+    monkeypatch.setattr(core.Shop, "step", lambda shop, df, label="step": steps.append(label) or step(shop, df, label))
+    text = plan(core.Shop(spark, SMALL).features_with("operator_id"))
+    assert steps == ["machine_day", "order_context", "inspected_runs"]
+    assert "events.parquet" not in text and "Window" not in text
