@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -32,17 +32,20 @@ def single_row(parts: Sequence[DataFrame]) -> DataFrame:
 def kpi_row(
     work_orders: DataFrame, runs: DataFrame, oee: DataFrame, issues: DataFrame,
     quality: DataFrame, delivery: DataFrame, *, stamp: bool = True,
+    step: Callable[[DataFrame], DataFrame] = lambda part: part,
 ) -> DataFrame:
     """Executive KPIs: one aggregate pass per table, merged into one row.
 
-    ``issues`` is the issue log or its summary; a summary is added up.
+    ``issues`` is the issue log or its summary; a summary is added up.  ``step``
+    may write the row of each pass, so that shuffle files of one pass only
+    stand at a time.
     """
     serious = F.col("severity").isin("high", "medium")
     if "issue_count" in issues.columns:
         counted = F.coalesce(F.sum(F.when(serious, F.col("issue_count"))), F.lit(0).cast("bigint"))
     else:
         counted = F.count_if(serious)
-    row = single_row([
+    row = single_row([step(part) for part in (
         work_orders.agg(F.count(F.lit(1)).alias("work_orders")),
         runs.agg(F.count(F.lit(1)).alias("production_runs")),
         oee.agg(
@@ -52,7 +55,7 @@ def kpi_row(
         issues.agg(counted.alias("dq_issues_high_medium")),
         quality.agg(round_half_up(exact_avg("defect_rate", RATE)).alias("avg_defect_rate")),
         delivery.agg(round_half_up(exact_avg("late_delivery_flag")).alias("late_delivery_rate")),
-    ])
+    )])
     return row.withColumn("refreshed_at", F.current_timestamp()) if stamp else row
 
 

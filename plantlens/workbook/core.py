@@ -131,13 +131,15 @@ class Shop:
         df.write.option("compression", CODEC).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    @cached_property
-    def kpis(self) -> DataFrame:
-        """Executive row over written clean tables, which several of its parts read."""
-        runs, orders = self.kept(self.runs, "runs"), self.kept(self.work_orders, "work-orders")
+    def kpis(self, stamp: bool = True) -> DataFrame:
+        """Executive row over written clean tables, narrow as its parts need them, one part after the other."""
+        runs = self.kept(self.runs.select(*marts.OEE_RUNS), "runs")
+        orders = self.kept(self.work_orders.select("work_order_id", "plant_id", "line_id"), "work-orders")
+        inspections = self.kept(self.inspections.select(*marts.QUALITY_INSPECTIONS), "inspections")
         return dashboard.kpi_row(
             orders, runs, marts.oee_daily_line(runs, orders), self.issue_counts,
-            marts.quality_daily(self.inspections, orders, self.raw("product_master")), self.delivery)
+            marts.quality_daily(inspections, orders, self.raw("product_master")), self.delivery,
+            stamp=stamp, step=self.step)
 
     @cached_property
     def core_raw(self) -> dict[str, DataFrame]:

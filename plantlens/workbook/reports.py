@@ -117,8 +117,7 @@ _KPI = f"""select (select count(*) from c_work_order) as work_orders, (select co
 
 @query("a06_kpi_aggregates", _KPI)
 def a06(shop):
-    return dashboard.kpi_row(shop.work_orders, shop.runs, shop.oee, shop.issue_counts,
-                             shop.quality, shop.delivery, stamp=False)
+    return shop.kpis(stamp=False)
 
 
 @query("a07_defect_pareto", f"""
@@ -192,7 +191,7 @@ def m05_preview(shop):
 @query("m06_dashboard_kpis", _KPI)
 def m06(shop):
     """Executive row with its refresh stamp (left out of the comparison)."""
-    return shop.kpis.drop("refreshed_at")
+    return shop.kpis().drop("refreshed_at")
 
 
 @query("m07_view_oee", """

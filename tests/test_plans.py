@@ -167,3 +167,17 @@ def test_features_join_machine_days_of_known_size(spark, monkeypatch):
     text = plan(core.Shop(spark, SMALL).features_with("operator_id"))
     assert steps == ["machine_day", "order_context", "inspected_runs"]
     assert "events.parquet" not in text and "Window" not in text
+
+
+def test_kpis_stand_on_narrow_tables_and_one_row_a_part(spark, monkeypatch):
+    from plantlens.workbook import core, reports
+    written, steps = [], []
+    kept, step = core.Shop.kept, core.Shop.step
+    monkeypatch.setattr(core.Shop, "kept", lambda shop, df, label: written.append((label, df.columns)) or kept(shop, df, label))
+    monkeypatch.setattr(core.Shop, "step", lambda shop, df, label="step": steps.append(step(shop, df, label)) or steps[-1])
+    for run in (reports.a06, reports.m06):
+        written.clear(), steps.clear()
+        text = plan(run(core.Shop(spark, SMALL)))
+        assert dict(written) == {"runs": [*marts.OEE_RUNS], "work-orders": ["work_order_id", "plant_id", "line_id"],
+                                 "inspections": [*marts.QUALITY_INSPECTIONS]}
+        assert len(steps) == 6 and all(s.count() == 1 for s in steps) and "lineitem" not in text
