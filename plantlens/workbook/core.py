@@ -184,6 +184,7 @@ class Shop:
            .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
            .option("compression", "gzip").option("maxRecordsPerFile", EXPORT_RECORDS)  # one task reads a file whole
+           .option("zlib.compress.level", "BEST_SPEED")  # read once or twice, so time counts more than size
            .csv(path))
 
     def export_all(self, ordered: bool = False) -> tuple[str, dict[str, str]]:
@@ -191,18 +192,21 @@ class Shop:
 
         ``ordered`` exports stand in the order that decides which duplicate is the last.
         """
-        root = self.scratch("exports")
-        files = {t: f for t, f in RAW_FILES.items() if t in fixtures.ENTITIES}
-        for table in files:
-            self.raw(table)  # made by this thread
+        root, files = self.scratch("exports"), dict(self.export_files)
+        self.each_export(lambda table, relative: self.export_csv(
+            table, f"{root}/{relative}", order=EXPORT_ORDER.get(table, ()) if ordered else ()))
+        return root, files
 
-        def one(item: tuple[str, str]) -> None:
-            table, relative = item
-            self.export_csv(table, f"{root}/{relative}", order=EXPORT_ORDER.get(table, ()) if ordered else ())
+    @property
+    def export_files(self) -> dict[str, str]:
+        return {t: f for t, f in RAW_FILES.items() if t in fixtures.ENTITIES}
 
-        with ThreadPoolExecutor(max_workers=8) as pool:
-            list(pool.map(inheritable_thread_target(self.spark)(one), files.items()))
-        return root, files
+    def each_export(self, one: Callable[[str, str], DataFrame | None], parallel: int = 8) -> list:
+        """``one(table, relative path)`` for every export, a few at a time."""
+        for table in self.export_files:
+            self.raw(table)  # made by this thread
+        with ThreadPoolExecutor(max_workers=parallel) as pool:
+            return list(pool.map(inheritable_thread_target(self.spark)(lambda item: one(*item)), self.export_files.items()))
 
 
 def plain(df: DataFrame) -> DataFrame:

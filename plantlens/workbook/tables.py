@@ -11,6 +11,7 @@ from ..functions import coerce as fx
 from ..functions.numeric import RATE, clamp_zero, exact_sum, ratio, round_half_up
 from ..operators import dedup
 from ..plans import clean, dashboard, marts, refresh
+from ..session import discard
 from ..sources import csv_source, lake as lk
 from .core import QMS_ORDER, RUN_ORDER, query
 from .oracle import r4, xsum
@@ -66,9 +67,16 @@ _COUNTED = ("plant_master", "line_master", "machine_master", "product_master", "
 @query("s03_batch_ingest", " union all ".join(
     f"select '{t}' as table_name, count(*) as row_count from {t}" for t in _COUNTED))
 def s03(shop):
-    """Every export copied into the raw layer, with row counts."""
-    source, files = shop.export_all()
-    return refresh.ingest(shop.spark, source, lk.Lake(shop.spark, shop.scratch("lake")), files)
+    """Every export copied into the raw layer, with row counts; an export goes once its rows are in their table."""
+    source, lake = shop.scratch("exports"), lk.Lake(shop.spark, shop.scratch("lake"))
+
+    def one(table, relative):
+        shop.export_csv(table, f"{source}/{relative}")
+        counts = refresh.ingest(shop.spark, source, lake, {table: relative})
+        discard(shop.spark, f"{source}/{relative}")
+        return counts
+
+    return reduce(DataFrame.unionByName, shop.each_export(one, parallel=2))
 
 
 @query("s04_header_normalization", """

@@ -433,3 +433,18 @@ def test_shuffle_files_go_with_their_query(spark, tmp_path):
     before = master.size()
     spark.range(1000).repartition(3, "id").write.parquet(str(tmp_path / "t"))
     assert master.size() <= before
+
+
+def test_batch_ingest_keeps_tables_and_no_exports(spark, monkeypatch):
+    """Each export goes once its raw table is written; all rows are in the tables."""
+    from pathlib import Path
+
+    from plantlens.workbook import core, tables
+    made = []
+    scratch = core.Shop.scratch
+    monkeypatch.setattr(core.Shop, "scratch", lambda shop, label: made.append((label, scratch(shop, label))) or made[-1][1])
+    shop = core.Shop(spark, "/root/testdata/sf0.001")
+    counts = {r["table_name"]: r["row_count"] for r in tables.s03(shop).collect()}
+    assert counts == {t: shop.raw(t).count() for t in tables._COUNTED}
+    folders = {label: Path(path.removeprefix("file:")) for label, path in made}
+    assert list(folders["lake"].rglob("*.parquet")) and not list(folders["exports"].rglob("part-*"))
