@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +32,9 @@ TIMESTAMP_FORMATS = (
     "dd-MM-yyyy[ HH:mm[:ss]]",
 )
 
+# Text that the first of those formats reads and a cast reads alike, without a formatter's time for each value.
+_PLAIN_TIME = "^[1-9][0-9]{3}-[0-9]{2}-[0-9]{2}([ T][0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]{6})?)?\\z"
+
 
 def column(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -87,11 +91,15 @@ def to_timestamp(
     """First format that parses the text; ``strict`` tries only the first.
 
     ``strict`` is the one-format-per-column behaviour; the default accepts a
-    column that mixes formats.
+    column that mixes formats.  The usual text of an export is cast, which gives
+    what the first of ``TIMESTAMP_FORMATS`` does; no other of them reads it.
     """
     text = F.trim(column(c))
     tried = formats[:1] if strict else formats
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in tried])
+    read = F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in tried])
+    if tuple(tried) not in (TIMESTAMP_FORMATS, TIMESTAMP_FORMATS[:1]):
+        return read
+    return F.when(text.rlike(_PLAIN_TIME), text.try_cast("timestamp")).otherwise(read)
 
 
 def finite(value: Column) -> Column:
@@ -127,13 +135,17 @@ def rejected_values(
     df: DataFrame, *, timestamps: Sequence[str] = (), numbers: Sequence[str] = (), contract: Contract = DEFAULT,
     keep: Sequence[str] = (),
 ) -> DataFrame:
-    """(*keep, column_name, value) of every text that ``coerce`` turns into null; one scan, no shuffle."""
+    """(*keep, column_name, value) of every text that ``coerce`` turns into null; one scan, no shuffle.
+
+    Rows without such a text are left out first, by compiled code; lists are made of the others only.
+    """
     texts = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
     read = {n: contract.timestamp(n) for n in timestamps if n in texts} | {n: to_number(n) for n in numbers if n in texts}
-    bad = [F.when(F.col(n).isNotNull() & value.isNull(), F.struct(F.lit(n).alias("column_name"), F.col(n).alias("value")))
-           for n, value in read.items()]
+    unread = {n: F.col(n).isNotNull() & value.isNull() for n, value in read.items()}
+    bad = [F.when(c, F.struct(F.lit(n).alias("column_name"), F.col(n).alias("value"))) for n, c in unread.items()]
     none = F.array().cast("array<struct<column_name:string,value:string>>")
-    return df.select(*keep, F.explode(F.array_compact(F.array(*bad)) if bad else none).alias("_bad")).select(*keep, "_bad.*")
+    found = df.filter(reduce(lambda a, b: a | b, unread.values(), F.lit(False)))
+    return found.select(*keep, F.explode(F.array_compact(F.array(*bad)) if bad else none).alias("_bad")).select(*keep, "_bad.*")
 
 
 def text_or_literal(c: str | Column, parity: bool) -> Column:

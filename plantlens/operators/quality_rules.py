@@ -128,8 +128,10 @@ def table_issues(
     carried = [F.col(c) for c in order]
     parts = []
     if predicates:
-        hits = F.array_compact(F.array(*[F.when(holds(F.expr(r.predicate)), _issue(r)) for r in predicates]))
-        parts.append(frame.select(*carried, F.explode(hits).alias("i")).select(*order, "i.*"))
+        broken = [holds(F.expr(r.predicate)) for r in predicates]
+        hits = F.array_compact(F.array(*[F.when(b, _issue(r)) for b, r in zip(broken, predicates)]))
+        rows = frame.filter(reduce(lambda a, b: a | b, broken))  # compiled; lists are made of these rows only
+        parts.append(rows.select(*carried, F.explode(hits).alias("i")).select(*order, "i.*"))
     for rule in duplicates:
         members = duplicate_members(frame, rule.duplicate_of)
         parts.append(members.select(*carried, _issue(rule).alias("i")).select(*order, "i.*"))
