@@ -5,7 +5,10 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -131,6 +134,17 @@ def stored(df: DataFrame, label: str, *, partition_by: tuple[str, ...] = (), cod
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def together(spark: SparkSession, one: Callable, items: Iterable, parallel: int = 8) -> list:
+    """``one(item)`` for every item, a few at a time, in threads of the session.
+
+    Each call has local properties of its own: Spark keeps the number of the
+    running query there, and calls that share them take it from each other.
+    """
+    calls = [(inheritable_thread_target(spark)(one), item) for item in items]
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        return list(pool.map(lambda call: call[0](call[1]), calls))
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a scratch folder of this run that nothing reads any more."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -19,15 +19,13 @@ import logging
 import re
 import uuid
 from collections.abc import Callable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import cut_lineage, input_bytes
+from ..session import cut_lineage, input_bytes, together
 
 logger = logging.getLogger(__name__)
 
@@ -183,8 +181,7 @@ class Lake:
         return dict(self._together(one, frames.items(), parallel))
 
     def _together(self, one: Callable, items, parallel: int) -> list:
-        with ThreadPoolExecutor(max_workers=parallel) as pool:
-            return list(pool.map(inheritable_thread_target(self.spark)(one), items))
+        return together(self.spark, one, items, parallel)
 
     def register_all(self, tables: Sequence[tuple[str, str]], parallel: int = 8) -> list[str]:
         """Catalog entries of several (layer, table), a few at a time."""

@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,7 +12,7 @@ from pyspark.sql import types as T
 from ..operators import quality_rules
 from ..operators.access import user_plant_map
 from ..plans import clean, dashboard, marts, semantic
-from ..session import configure, scratch_path, size_shuffles, stored
+from ..session import configure, scratch_path, size_shuffles, stored, together
 from ..sources.csv_source import RAW_FILES
 from ..sources.lake import CODEC
 from . import fixtures
@@ -205,8 +203,7 @@ class Shop:
         """``one(table, relative path)`` for every export, a few at a time."""
         for table in self.export_files:
             self.raw(table)  # made by this thread
-        with ThreadPoolExecutor(max_workers=parallel) as pool:
-            return list(pool.map(inheritable_thread_target(self.spark)(lambda item: one(*item)), self.export_files.items()))
+        return together(self.spark, lambda item: one(*item), self.export_files.items(), parallel)
 
 
 def plain(df: DataFrame) -> DataFrame:

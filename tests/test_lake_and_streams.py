@@ -448,3 +448,16 @@ def test_batch_ingest_keeps_tables_and_no_exports(spark, monkeypatch):
     assert counts == {t: shop.raw(t).count() for t in tables._COUNTED}
     folders = {label: Path(path.removeprefix("file:")) for label, path in made}
     assert list(folders["lake"].rglob("*.parquet")) and not list(folders["exports"].rglob("part-*"))
+
+
+def test_calls_at_once_have_local_properties_of_their_own(spark):
+    """A property that one call sets stays out of the calls beside it."""
+    from threading import Barrier
+    met = Barrier(4, timeout=60)
+
+    def one(n):
+        spark.sparkContext.setLocalProperty("plantlens.test", str(n))
+        met.wait()
+        return spark.sparkContext.getLocalProperty("plantlens.test")
+
+    assert session.together(spark, one, range(4), 4) == ["0", "1", "2", "3"]
